@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlake.functions.temporal import SAFETY_LAG_MINUTES, instant
-from auditlake.sources.lookups import MAX_BROADCAST_ROWS, small
+from auditlake.sources.local import MAX_BROADCAST_ROWS, small
 
 DEFAULT_START = "2023-01-01T00:00:00.000Z"
 

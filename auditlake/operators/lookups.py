@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from auditlake.functions.text import path_tail
 from auditlake.plans.mapping import MISSING_CAPTION, MISSING_ENUM_ID
-from auditlake.sources.lookups import small
+from auditlake.sources.local import small
 
 
 def normalize_term(

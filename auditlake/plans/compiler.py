@@ -1,10 +1,15 @@
-"""Compile a mapping document to native Spark expressions.
-
-Rules are folded on the driver: term lookup, prefix and enum id of a normalized
-value depend only on the document, so they become one ``CASE`` over constants and
-the transform is a narrow projection with no join, shuffle or Python UDF. The
-expressions are emitted as SQL text in three ``selectExpr`` steps: conditional
-sources, leaf values, nested record.
+"""Compile a mapping document to native Spark operators.
+
+What a rule writes is a constant that depends on the event type, a constant that
+depends on type and term, or a copy of a raw value. The constants are worked out
+on the driver and become two kinds of small broadcast table: one row per event
+type, and per normalized source one row per (type, term) that has an entry. An
+event takes them in hash lookups, whose cost does not grow with the number of
+types, terms or targets, and the generated code stays small. There is no shuffle
+and no Python UDF.
+
+The other expressions are emitted as SQL text: conditional sources first, then leaf
+values, then the nested record.
 """
 
 from __future__ import annotations
@@ -33,12 +38,14 @@ from auditlake.plans.mapping import (
     Target,
     TypeRules,
 )
+from auditlake.sources.local import local_frame, small
 
 # Transform hook: SQL text of the source value, rule, target -> SQL text, type.
 Hook = Callable[[str, Rule, Target], tuple[str, T.DataType]]
 
 _PREFIX = "__al_"
 _BAD = f"{_PREFIX}bad"
+_TYPE = f"{_PREFIX}type"
 
 
 @dataclass(frozen=True)
@@ -48,13 +55,34 @@ class Typed:
     nullable: bool = True
 
 
+@dataclass
+class Lookup:
+    """Constants joined to the events: key columns first, then one per slot.
+
+    ``term_sql`` is the source the terms belong to; without it the key is the type.
+    """
+
+    schema: T.StructType
+    rows: list[tuple]
+    term_sql: str | None = None
+
+    def join(self, df: DataFrame, type_column: str) -> DataFrame:
+        table = small(local_frame(df.sparkSession, self.rows, self.schema), len(self.rows))
+        names = self.schema.fieldNames()
+        if self.term_sql is None:
+            return df.join(table, df[type_column] == table[names[0]], "inner").drop(names[0])
+        matches = (df[type_column] == table[names[0]]) & (F.expr(self.term_sql) == table[names[1]])
+        return df.join(table, matches, "left").drop(*names[:2])
+
+
 @dataclass
 class CompiledMapping:
-    """Three projections that turn raw events of some types into records."""
+    """The steps that turn raw events of some types into records."""
 
     types: list[str]
     type_sql: str
     sources: list[str]
+    lookups: list[Lookup]
     values: list[str]
     record: list[str]
     bad: str | None
@@ -75,26 +103,27 @@ class CompiledMapping:
             valued = valued.filter(f"{_BAD} IS NULL")
         return valued.selectExpr(*self.record)
 
-    def rejected(self, df: DataFrame) -> DataFrame:
-        """Events that no rule set can take: no type, or a value no rule can map."""
-        reason = f"CASE WHEN {self.type_sql} IS NULL THEN 'event has no type' END"
-        if self.bad is None:
-            valued = df.filter(f"{self.type_sql} IS NULL").select(
-                F.struct("*").alias("data"), F.expr(reason).alias(_BAD)
-            )
-        else:
-            valued = self._valued(df.filter(f"{self.type_sql} IS NULL OR {self.type_sql} IN {in_list(self.types)}"), reason)
-        return valued.filter(f"{_BAD} IS NOT NULL").select(
-            F.to_json("data").alias("event"), F.col(_BAD).alias("reason")
+    def _valued(self, df: DataFrame) -> DataFrame:
+        joined = df.selectExpr("*", *self.sources)
+        for lookup in self.lookups:
+            joined = lookup.join(joined, _TYPE)
+        bad = [f"{self.bad} AS {_BAD}"] if self.bad else []
+        return joined.selectExpr(*self.values, *bad)
+
+    def untyped(self, df: DataFrame) -> DataFrame:
+        """Events without a type, as ``(event, reason)``."""
+        return df.filter(f"{self.type_sql} IS NULL").select(
+            F.to_json(F.struct("*")).alias("event"), F.lit("event has no type").alias("reason")
         )
 
-    def _valued(self, df: DataFrame, first_reason: str | None = None) -> DataFrame:
-        sourced = df.selectExpr("*", *self.sources) if self.sources else df
-        values = list(self.values)
-        if self.bad:
-            reasons = [first_reason, self.bad] if first_reason else [self.bad]
-            values.append(f"coalesce({', '.join(reasons)}) AS {_BAD}")
-        return sourced.selectExpr(*values)
+    def unmappable(self, df: DataFrame) -> DataFrame | None:
+        """Events holding a value no rule can map; None where the types rule it out."""
+        if self.bad is None:
+            return None
+        sourced = self.keep(df).select(F.struct("*").alias("event"), "*").selectExpr("*", *self.sources)
+        return sourced.select(F.to_json("event").alias("event"), F.expr(self.bad).alias("reason")).filter(
+            "reason IS NOT NULL"
+        )
 
     def undecided(self) -> Column:
         """Number of conditions of an event whose test is not defined."""
@@ -135,13 +164,14 @@ def compile_mapping(
 
     leaves: dict[tuple[str, ...], Leaf] = {}
     values = [f"{body.whole_sql()} AS {ident('data')}"]
+    type_sql = ident(_TYPE)
     paths = [("class_name",)]
     paths += [p for p in _in_order(per_type) if p != ("class_name",)]
     for number, path in enumerate(paths):
         found = {t: per_type[t][path] for t in types if path in per_type[t]}
         dtype = declared.get(path) or _common_type([v.dtype for v in found.values()])
         branches = {t: _cast(v, dtype) for t, v in found.items()}
-        sql = _dispatch(body.type_sql(), branches, types)
+        sql = _dispatch(type_sql, branches, types)
         if path in times:
             sql = _as_epoch(sql, dtype, ignore_offset)
         name = f"{_PREFIX}v{number}"
@@ -157,6 +187,7 @@ def compile_mapping(
         types=types,
         type_sql=body.type_sql(),
         sources=builder.source_columns(types),
+        lookups=builder.lookups(types),
         values=values,
         record=[*record, ident("data")],
         bad=builder.bad_sql(),
@@ -164,8 +195,19 @@ def compile_mapping(
     )
 
 
+@dataclass
+class _Slot:
+    """A constant per event type, and for normalized values per term too."""
+
+    name: str
+    dtype: T.DataType
+    term_sql: str | None = None
+    by_type: dict[str, Any] = field(default_factory=dict)
+    by_term: dict[tuple[str, str], Any] = field(default_factory=dict)
+
+
 class _Builder:
-    """Leaf expressions of each type, sharing the source columns they need."""
+    """Leaf expressions of each type, with the source columns and constants they use."""
 
     def __init__(
         self,
@@ -179,6 +221,7 @@ class _Builder:
         self.hooks = hooks
         self.declared = declared
         self._names: dict[str, str] = {}
+        self._slots: dict[tuple, _Slot] = {}
         # each of these maps SQL text to the event types that use it
         self._sources: dict[str, list[str]] = {}
         self._bad: dict[str, list[str]] = {}
@@ -186,12 +229,13 @@ class _Builder:
 
     def leaves(self, rules: TypeRules) -> dict[tuple[str, ...], Typed]:
         written: dict[tuple[str, ...], list[Typed]] = {
-            path: [_static(value)] for path, value in rules.statics.items()
+            path: [self._static(rules.event_type, path, value)] for path, value in rules.statics.items()
         }
         for rule in rules.rules:
             source = self._source(rules.event_type, rule)
             for target in rule.targets:
-                value = self._value(rules, rule, target, source)
+                place = len(written.get(target.path, ()))
+                value = self._value(rules, rule, target, source, place)
                 if not target.blank:
                     written.setdefault(target.path, []).append(value)
         # Only non-null values are written, so the last write is the first
@@ -222,36 +266,22 @@ class _Builder:
         _note(self._sources, sql, event_type)
         return ident(name)
 
-    def source_columns(self, types: list[str]) -> list[str]:
-        return [
-            f"{_dispatch(self.body.type_sql(), dict.fromkeys(users, sql), types)} AS {ident(self._names[sql])}"
-            for sql, users in self._sources.items()
-        ]
+    def _slot(self, key: tuple, dtype: T.DataType, term_sql: str | None = None) -> _Slot:
+        return self._slots.setdefault(key, _Slot(f"{_PREFIX}c{len(self._slots)}", dtype, term_sql))
 
-    def bad_sql(self) -> str | None:
-        if not self._bad:
-            return None
-        reasons = []
-        for source, users in self._bad.items():
-            kind = f"schema_of_variant({source})"
-            reasons.append(
-                f"CASE WHEN {self.body.type_sql()} IN {in_list(users)} "
-                f"AND ({kind} LIKE 'ARRAY<%' OR {kind} LIKE 'OBJECT<%') "
-                f"THEN 'a list or object cannot be normalized' END"
-            )
-        return f"coalesce({', '.join(reasons)})"
+    def _static(self, event_type: str, path: tuple[str, ...], value: Any) -> Typed:
+        typed = _static(value)
+        if value is None or isinstance(value, list):
+            return typed
+        slot = self._slot((path, "static", typed.dtype.simpleString()), typed.dtype)
+        slot.by_type[event_type] = value
+        return Typed(ident(slot.name), typed.dtype, nullable=False)
 
-    def undecided_sql(self) -> list[str]:
-        return [
-            f"({self.body.type_sql()} IN {in_list(users)} AND {test} IS NULL)"
-            for test, users in self._undecided.items()
-        ]
-
-    def _value(self, rules: TypeRules, rule: Rule, target: Target, source: Typed) -> Typed:
+    def _value(self, rules: TypeRules, rule: Rule, target: Target, source: Typed, place: int) -> Typed:
         if rule.normalizes:
             if isinstance(source.dtype, T.VariantType):
                 _note(self._bad, source.sql, rules.event_type)
-            return self._normalized(rules, rule, target, source)
+            return self._normalized(rules, rule, target, source, place)
         if rule.transform in self.hooks and not isinstance(source.dtype, T.NullType):
             sql, dtype = self.hooks[rule.transform](_text_of(source), rule, target)
             return Typed(f"CASE WHEN {_text_of(source)} IS NOT NULL THEN {sql} END", dtype)
@@ -261,42 +291,94 @@ class _Builder:
             return Typed(f"CASE WHEN {_text_of(source)} IS NOT NULL THEN {cast} END", wanted)
         return source
 
-    def _normalized(self, rules: TypeRules, rule: Rule, target: Target, source: Typed) -> Typed:
+    def _normalized(self, rules: TypeRules, rule: Rule, target: Target, source: Typed, place: int) -> Typed:
         terms = self.mapping.terms[rules.event_type]
         integer = rule.effective_output_type == "integer"
+        dtype = T.IntegerType() if integer else T.StringType()
 
-        def outcome(term: str | None) -> str:
+        def outcome(term: str | None) -> str | int:
             caption = rule.effective_prefix + terms.get(term, MISSING_CAPTION)
             if integer:
-                return literal(self.mapping.enum_id(rules.class_name, target.path, caption))
-            return literal(caption)
+                return self.mapping.enum_id(rules.class_name, target.path, caption)
+            return caption
 
-        dtype = T.IntegerType() if integer else T.StringType()
-        if isinstance(source.dtype, T.NullType):
+        if isinstance(source.dtype, T.NullType) or target.blank:
             return Typed("NULL", dtype)
-        present = _text_of(source)
-        if target.term is not None:
-            return Typed(f"CASE WHEN {present} IS NOT NULL THEN {outcome(target.term)} END", dtype)
-        miss = outcome(None)
-        if is_json_type(source.dtype):
+        if target.term is None and is_json_type(source.dtype):
             raise MappingError(
                 f"{rules.event_type}/{rule.source_text}: a {source.dtype.simpleString()} cannot be normalized"
             )
-        by_outcome: dict[str, list[str]] = {}
-        for term in terms:
-            if outcome(term) != miss:
-                by_outcome.setdefault(outcome(term), []).append(term)
-        hits = " ".join(f"WHEN {present} IN {in_list(found)} THEN {o}" for o, found in by_outcome.items())
-        if isinstance(source.dtype, T.StringType):
-            return Typed(f"CASE WHEN {present} IS NULL THEN NULL {hits} ELSE {miss} END", dtype)
-        if isinstance(source.dtype, T.VariantType):
-            # a number or boolean never equals a term, though its text might
-            return Typed(
-                f"CASE WHEN {present} IS NULL THEN NULL "
-                f"WHEN schema_of_variant({source.sql}) <> 'STRING' THEN {miss} {hits} ELSE {miss} END",
-                dtype,
+        term_sql = _term_of(source) if target.term is None else None
+        key = (target.path, place, term_sql, dtype.simpleString())
+        slot = self._slot(key, dtype, term_sql)
+        slot.by_type[rules.event_type] = outcome(target.term)
+        if term_sql is None:
+            value = ident(slot.name)
+        else:
+            found = {t: outcome(t) for t in terms if outcome(t) != outcome(None)}
+            slot.by_term.update({(rules.event_type, t): v for t, v in found.items()})
+            value = f"coalesce({ident(slot.name + 't')}, {ident(slot.name)})"
+        return Typed(f"CASE WHEN {_text_of(source)} IS NOT NULL THEN {value} END", dtype)
+
+    def source_columns(self, types: list[str]) -> list[str]:
+        """Event type, conditional sources, and constants that need no lookup."""
+        columns = [f"{self.body.type_sql()} AS {ident(_TYPE)}"]
+        columns += [
+            f"{_dispatch(self.body.type_sql(), dict.fromkeys(users, sql), types)} AS {ident(self._names[sql])}"
+            for sql, users in self._sources.items()
+        ]
+        for slot in self._slots.values():
+            if self._uniform(slot, types):
+                columns.append(f"{literal(next(iter(slot.by_type.values())))} AS {ident(slot.name)}")
+            if slot.term_sql and not slot.by_term:
+                columns.append(f"CAST(NULL AS {slot.dtype.simpleString()}) AS {ident(slot.name + 't')}")
+        return columns
+
+    def lookups(self, types: list[str]) -> list[Lookup]:
+        """The table of constants per type, then one per normalized source."""
+        tables = []
+        varying = [s for s in self._slots.values() if not self._uniform(s, types)]
+        if varying:
+            schema = T.StructType().add(f"{_PREFIX}kt", T.StringType())
+            for slot in varying:
+                schema = schema.add(slot.name, slot.dtype)
+            tables.append(Lookup(schema, [(t, *[s.by_type.get(t) for s in varying]) for t in types]))
+        by_source: dict[str, list[_Slot]] = {}
+        for slot in self._slots.values():
+            if slot.by_term:
+                by_source.setdefault(slot.term_sql, []).append(slot)
+        for number, (term_sql, slots) in enumerate(by_source.items()):
+            schema = T.StructType()
+            for name in (f"{_PREFIX}k{number}t", f"{_PREFIX}k{number}"):
+                schema = schema.add(name, T.StringType())
+            for slot in slots:
+                schema = schema.add(slot.name + "t", slot.dtype)
+            keys = list(dict.fromkeys(k for s in slots for k in s.by_term))
+            tables.append(Lookup(schema, [(*k, *[s.by_term.get(k) for s in slots]) for k in keys], term_sql))
+        return tables
+
+    @staticmethod
+    def _uniform(slot: _Slot, types: list[str]) -> bool:
+        return set(slot.by_type) == set(types) and len(set(slot.by_type.values())) == 1
+
+    def bad_sql(self) -> str | None:
+        if not self._bad:
+            return None
+        reasons = []
+        for source, users in self._bad.items():
+            kind = f"schema_of_variant({source})"
+            reasons.append(
+                f"CASE WHEN {ident(_TYPE)} IN {in_list(users)} "
+                f"AND ({kind} LIKE 'ARRAY<%' OR {kind} LIKE 'OBJECT<%') "
+                f"THEN 'a list or object cannot be normalized' END"
             )
-        return Typed(f"CASE WHEN {present} IS NOT NULL THEN {miss} END", dtype)
+        return f"coalesce({', '.join(reasons)})"
+
+    def undecided_sql(self) -> list[str]:
+        return [
+            f"({self.body.type_sql()} IN {in_list(users)} AND {test} IS NULL)"
+            for test, users in self._undecided.items()
+        ]
 
 
 def _note(users: dict[str, list[str]], sql: str, event_type: str) -> None:
@@ -310,6 +392,15 @@ def _text_of(value: Typed) -> str:
     return f"CAST({value.sql} AS STRING)" if isinstance(value.dtype, T.VariantType) else value.sql
 
 
+def _term_of(value: Typed) -> str:
+    """Value as a term; anything but text never equals one, though its text might."""
+    if isinstance(value.dtype, T.StringType):
+        return value.sql
+    if isinstance(value.dtype, T.VariantType):
+        return f"CASE WHEN schema_of_variant({value.sql}) = 'STRING' THEN {_text_of(value)} END"
+    return "CAST(NULL AS STRING)"
+
+
 def _static(value: Any) -> Typed:
     if value is None:
         return Typed("NULL", T.NullType())

@@ -20,7 +20,8 @@ from auditlake.plans.compiler import compile_mapping
 from auditlake.plans.conditions import condition_column
 from auditlake.plans.mapping import EventMapping, load_mapping
 from auditlake.sources import lake, raw as raw_source
-from auditlake.sources.lookups import enums_frame, rules_frame, small, terms_frame, types_frame, with_defaults
+from auditlake.sources.local import local_frame, small
+from auditlake.sources.lookups import enums_frame, rules_frame, terms_frame, types_frame, with_defaults
 from auditlake.sources.terms import ENUMS, TERMS
 from auditlake.sources.workspace import fresh_folder
 from auditlake.streaming.ingest import ingest_stream
@@ -604,7 +605,7 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     records.write.format("noop").mode("overwrite").save()
     counts = {**received.get, **done.get}
     schema = ", ".join(f"{name} bigint" for name in counts)
-    return spark.createDataFrame([tuple(counts.values())], schema)
+    return local_frame(spark, [tuple(counts.values())], schema)
 
 
 @query

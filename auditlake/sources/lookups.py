@@ -10,11 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditlake.plans.mapping import DEFAULT_OUTPUT_TYPE, DEFAULT_PREFIX, EventMapping
-
-# Rows up to which a lookup is broadcast. Lookup documents are held on the driver,
-# so their row count is known; a larger one is joined without a hint and AQE
-# splits hot keys.
-MAX_BROADCAST_ROWS = 100_000
+from auditlake.sources.local import local_frame
 
 RULE_COLUMNS = (
     "type string, class_name string, rule_no int, source string, condition string, "
@@ -28,7 +24,7 @@ def as_text(document: str | Mapping[str, Any]) -> str:
 
 
 def _document(spark: SparkSession, text: str, schema: str) -> DataFrame:
-    frame = spark.createDataFrame([(text,)], "text string")
+    frame = local_frame(spark, [(text,)], "text string")
     parsed = frame.select(F.from_json("text", schema, {"mode": "FAILFAST"}).alias("document"))
     return parsed.select(F.explode("document").alias("key", "entries"))
 
@@ -82,7 +78,7 @@ def rules_frame(spark: SparkSession, mapping: EventMapping) -> DataFrame:
                 for condition, source_field in branches
                 for target in rule.targets
             ]
-    return spark.createDataFrame(rows, RULE_COLUMNS)
+    return local_frame(spark, rows, RULE_COLUMNS)
 
 
 def with_defaults(rules: DataFrame) -> DataFrame:
@@ -98,9 +94,4 @@ def with_defaults(rules: DataFrame) -> DataFrame:
 def types_frame(spark: SparkSession, mapping: EventMapping) -> DataFrame:
     """``(type, class_name)`` of every mapped type."""
     rows = [(t, rules.class_name) for t, rules in mapping.types.items()]
-    return spark.createDataFrame(rows, "type string, class_name string")
-
-
-def small(frame: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a lookup of a known row count, when it is small enough."""
-    return F.broadcast(frame) if rows <= MAX_BROADCAST_ROWS else frame
+    return local_frame(spark, rows, "type string, class_name string")

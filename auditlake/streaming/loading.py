@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Collection
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from auditlake.functions.temporal import event_day
+from auditlake.operators.paging import append_pages
 from auditlake.plans.compiler import CompiledMapping, compile_mapping
 from auditlake.plans.mapping import EventMapping
 from auditlake.sources.lake import BATCH_KEY, Tenant, routes, with_partition_keys, write_lake
@@ -70,35 +71,51 @@ def load_batch(raw: DataFrame, job: LoadJob, batch_id: int) -> LoadResult:
     its own types only. Events without a type or a usable day go to the side table.
     """
     result = LoadResult(batch_id)
+    dayless = 0
     for class_name in job.mapping.classes():
         records = job.compiled(raw, class_name).transform(raw, job.on_bad)
-        keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True)).filter("eventDay IS NOT NULL")
+        keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True))
+        seen = Observation()
+        keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless"))
         written = write_lake(
-            keyed, job.location(class_name), cluster_on=job.cluster_on, batch_id=batch_id
+            keyed.filter("eventDay IS NOT NULL"),
+            job.location(class_name),
+            cluster_on=job.cluster_on,
+            batch_id=batch_id,
         )
         result.per_class[class_name] = written.get.get("transformed", 0)
-    result.rejected = _write_rejected(raw, job, batch_id)
+        # a retried task may count twice, which still tells none from some
+        dayless += seen.get.get("dayless", 0)
+    result.rejected = _write_rejected(rejected_events(raw, job, dayless > 0), job, batch_id)
     return result
 
 
-def rejected_events(raw: DataFrame, job: LoadJob) -> DataFrame:
-    """``(event, reason)`` of the events that reach no class folder for a fault of theirs."""
+def rejected_events(raw: DataFrame, job: LoadJob, dayless: bool = True) -> DataFrame:
+    """``(event, reason)`` of the events that reach no class folder for a fault of theirs.
+
+    ``dayless=False`` leaves out the search for events without a usable day, which
+    has to read every event.
+    """
     everything = job.compiled(raw)
-    dayless = everything.keep(raw).filter(event_day(job.created_sql(record=False)).isNull())
-    return everything.rejected(raw).unionByName(
-        dayless.select(F.to_json(F.struct("*")).alias("event"), F.lit("event has no usable day").alias("reason"))
-    )
+    parts = [everything.untyped(raw)]
+    if job.on_bad == "side" and (unmappable := everything.unmappable(raw)) is not None:
+        parts.append(unmappable)
+    if dayless:
+        faulty = everything.keep(raw).filter(event_day(job.created_sql(record=False)).isNull())
+        parts.append(
+            faulty.select(F.to_json(F.struct("*")).alias("event"), F.lit("event has no usable day").alias("reason"))
+        )
+    return append_pages(*parts)
 
 
-def _write_rejected(raw: DataFrame, job: LoadJob, batch_id: int) -> int:
-    rejected = rejected_events(raw, job).withColumn(BATCH_KEY, F.lit(batch_id))
+def _write_rejected(rejected: DataFrame, job: LoadJob, batch_id: int) -> int:
+    counted = Observation()
     (
-        rejected.write.mode("overwrite")
+        rejected.observe(counted, F.count(F.lit(1)).alias("n"))
+        .withColumn(BATCH_KEY, F.lit(batch_id))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_KEY)
         .parquet(job.rejected_location())
     )
-    # an empty write leaves no leaf, so only read back what is there
-    spark = raw.sparkSession
-    written = spark.read.schema(f"event string, reason string, {BATCH_KEY} int").parquet(job.rejected_location())
-    return written.filter(F.col(BATCH_KEY) == batch_id).count()
+    return counted.get.get("n", 0)
