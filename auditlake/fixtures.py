@@ -22,13 +22,12 @@ _K = "CAST(get_json_object(props, '\\u0024.k') AS INT)"
 
 _AUDIT_COLUMNS = [
     "CAST(event_id AS STRING) AS id",
-    """CASE WHEN k % 20 = 0 THEN 'PROVISIONING'
-            WHEN k % 20 = 1 THEN 'UNMAPPED'
-            WHEN event_type = 'signup' THEN 'USER_MANAGEMENT'
-            WHEN event_type = 'error' THEN 'SYSTEM_CONFIG'
-            WHEN event_type = 'click' THEN 'ACCESS_ITEM'
-            WHEN event_type = 'view' THEN 'AUTH'
-            WHEN event_type = 'purchase' THEN 'ACCESS_REQUEST' END AS type""",
+    # lookups rather than CASE branches: a filter on type repeats this expression at
+    # the scan, and each mention of k parses props again
+    """coalesce(
+         try_element_at(map(0, 'PROVISIONING', 1, 'UNMAPPED'), k % 20),
+         try_element_at(map('signup', 'USER_MANAGEMENT', 'error', 'SYSTEM_CONFIG', 'click', 'ACCESS_ITEM',
+                            'view', 'AUTH', 'purchase', 'ACCESS_REQUEST'), event_type)) AS type""",
     "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\") AS created",
     """element_at(array('CREATE', 'UPDATE', 'DELETE', 'ADD', 'REQUEST', 'LOGOUT', 'GRANT', 'ZZZ'),
                   k % 8 + 1) AS operation""",

@@ -279,7 +279,7 @@ class _Builder:
 
     def _value(self, rules: TypeRules, rule: Rule, target: Target, source: Typed, place: int) -> Typed:
         if rule.normalizes:
-            if isinstance(source.dtype, T.VariantType):
+            if target.term is None and isinstance(source.dtype, T.VariantType):
                 _note(self._bad, source.sql, rules.event_type)
             return self._normalized(rules, rule, target, source, place)
         if rule.transform in self.hooks and not isinstance(source.dtype, T.NullType):

@@ -23,7 +23,7 @@ def condition_sql(condition: Condition, body: Body) -> str:
     """Predicate: TRUE, FALSE, or NULL where the test is not defined."""
     field, dtype = body.get(condition.path)
     positive = _membership(condition.value, field, dtype)
-    return f"NOT ({positive})" if condition.negated else f"({positive})"
+    return f"(NOT ({positive}))" if condition.negated else f"({positive})"
 
 
 def condition_column(text: str, df: DataFrame, variant_column: str | None = None) -> Column:

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A micro-batch of a large backlog stays within what executors can hold on disk.
+MAX_BATCH_BYTES = 10**12
+
 # Only ``type`` and ``created`` are required of a raw event.
 RAW_EVENT = T.StructType(
     [
@@ -55,14 +58,15 @@ def stream_events(
     schema: T.StructType = RAW_EVENT,
     *,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = MAX_BATCH_BYTES,
     name_filter: str | None = None,
 ) -> DataFrame:
     """Streaming twin of :func:`scan_events`; the bounds apply to each micro-batch."""
     reader = spark.readStream.format(fmt).schema(schema)
     options = {
         "maxFilesPerTrigger": max_files,
-        "maxBytesPerTrigger": max_bytes,
+        # the file source takes one of the two bounds
+        "maxBytesPerTrigger": None if max_files else max_bytes,
         "pathGlobFilter": name_filter,
     }
     for key, value in options.items():

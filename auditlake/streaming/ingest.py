@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,10 +23,18 @@ def ingest_stream(
     Spark commits a batch's offsets once ``load_batch`` has returned. After a crash
     in between, the same files come again under the same batch id and replace their
     own leaves, so each event lands once.
+
+    A micro-batch arrives as computed rows, past any pushdown, and each class folder
+    is a write of its own. The batch is therefore kept on executor disks while it is
+    loaded; its size is bounded by the source, and a lost block is read again.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        loaded = load_batch(batch, job, batch_id)
+        batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            loaded = load_batch(batch, job, batch_id)
+        finally:
+            batch.unpersist()
         if on_batch:
             on_batch(loaded)
 
