@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,18 @@ def class_counts(column: str = "class_name") -> list:
     return counts + [F.count_if(F.col(column) == c).alias(c) for c in EVENT_CLASSES]
 
 
+def observed(observation: Observation) -> dict[str, int] | None:
+    """Counts seen by a finished action.
+
+    None when the planner found at run time that nothing is left to do and dropped
+    the node that counts.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return None
+
+
 def next_position(df: DataFrame, column: str = "created") -> DataFrame:
     """Text of the latest time among the rows read, as one row; NULL when empty."""
     is_text = isinstance(df.schema[column].dataType, T.StringType)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Collection
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from auditlake.functions.temporal import event_day
+from auditlake.operators.metrics import observed
 from auditlake.operators.paging import append_pages
 from auditlake.plans.compiler import CompiledMapping, compile_mapping
 from auditlake.plans.mapping import EventMapping
@@ -70,9 +73,7 @@ def load_batch(raw: DataFrame, job: LoadJob, batch_id: int) -> LoadResult:
     A failure propagates, so the caller does not move its position. Each class reads
     its own types only. Events without a type or a usable day go to the side table.
     """
-    result = LoadResult(batch_id)
-    dayless = 0
-    for class_name in job.mapping.classes():
+    def load_class(class_name: str) -> tuple[int, bool]:
         records = job.compiled(raw, class_name).transform(raw, job.on_bad)
         keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True))
         seen = Observation()
@@ -83,28 +84,37 @@ def load_batch(raw: DataFrame, job: LoadJob, batch_id: int) -> LoadResult:
             cluster_on=job.cluster_on,
             batch_id=batch_id,
         )
-        result.per_class[class_name] = written.get.get("transformed", 0)
-        # a retried task may count twice, which still tells none from some
-        dayless += seen.get.get("dayless", 0)
-    result.rejected = _write_rejected(rejected_events(raw, job, dayless > 0), job, batch_id)
-    return result
-
-
-def rejected_events(raw: DataFrame, job: LoadJob, dayless: bool = True) -> DataFrame:
+        # A retried task may count twice, which still tells none from some. Without
+        # a count every row may have been filtered out.
+        suspect = (observed(seen) or {}).get("dayless") != 0
+        return (observed(written) or {}).get("transformed", 0), suspect
+
+    # The classes are independent jobs: the next one fills the cluster while the last
+    # tasks of another run.
+    classes = job.mapping.classes()
+    with ThreadPoolExecutor(len(classes)) as pool:
+        run = inheritable_thread_target(raw.sparkSession)(load_class)
+        loaded = dict(zip(classes, pool.map(run, classes), strict=True))
+    suspects = [c for c, (_, suspect) in loaded.items() if suspect]
+    rejected = _write_rejected(rejected_events(raw, job, suspects), job, batch_id)
+    return LoadResult(batch_id, {c: n for c, (n, _) in loaded.items()}, rejected)
+
+
+def rejected_events(raw: DataFrame, job: LoadJob, suspects: Collection[str] | None = None) -> DataFrame:
     """``(event, reason)`` of the events that reach no class folder for a fault of theirs.
 
-    ``dayless=False`` leaves out the search for events without a usable day, which
-    has to read every event.
+    Events without a usable day are looked for among the classes in ``suspects``
+    only, all if None, since that search has to read every event of the class.
     """
     everything = job.compiled(raw)
     parts = [everything.untyped(raw)]
     if job.on_bad == "side" and (unmappable := everything.unmappable(raw)) is not None:
         parts.append(unmappable)
-    if dayless:
-        faulty = everything.keep(raw).filter(event_day(job.created_sql(record=False)).isNull())
-        parts.append(
-            faulty.select(F.to_json(F.struct("*")).alias("event"), F.lit("event has no usable day").alias("reason"))
-        )
+    no_day = event_day(job.created_sql(record=False)).isNull()
+    for class_name in job.mapping.classes() if suspects is None else suspects:
+        faulty = job.compiled(raw, class_name).keep(raw).filter(no_day)
+        reason = F.lit("event has no usable day").alias("reason")
+        parts.append(faulty.select(F.to_json(F.struct("*")).alias("event"), reason))
     return append_pages(*parts)
 
 
@@ -118,4 +128,4 @@ def _write_rejected(rejected: DataFrame, job: LoadJob, batch_id: int) -> int:
         .partitionBy(BATCH_KEY)
         .parquet(job.rejected_location())
     )
-    return counted.get.get("n", 0)
+    return (observed(counted) or {}).get("n", 0)
