@@ -25,7 +25,7 @@ from auditlake.sources.lookups import enums_frame, rules_frame, terms_frame, typ
 from auditlake.sources.terms import ENUMS, TERMS
 from auditlake.sources.workspace import fresh_folder
 from auditlake.streaming.ingest import ingest_stream
-from auditlake.streaming.loading import LoadJob, load_batch
+from auditlake.streaming.loading import LoadJob, load_batch, write_classes
 from auditlake.streaming.position import clamp_checkpoint as clamp_saved
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +132,14 @@ def with_caption(spark: SparkSession, raw: DataFrame) -> DataFrame:
     return lookups.normalize_term(raw, terms, "operation", N_TERMS, hit="hit")
 
 
+def landed(spark: SparkSession, job: LoadJob, raw: DataFrame) -> DataFrame:
+    parts = []
+    for class_name in job.mapping.classes():
+        record = job.compiled(raw, class_name).transform(raw).schema
+        parts.append(flat(lake.read_lake(spark, job.location(class_name), record), *lake.PARTITION_KEYS))
+    return paging.append_pages(*parts)
+
+
 # --- sources and sinks ----------------------------------------------------------
 
 
@@ -171,15 +179,9 @@ def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_of(spark, sf_dir)
-    mapping = fx.demo_mapping()
-    root = fresh_folder(spark, "lake")
-    written = []
-    for class_name, location in lake.routes().items():
-        compiled = compile_mapping(mapping, raw, class_name, time_paths=fx.TIME_PATHS)
-        records = lake.with_partition_keys(compiled.transform(raw), fx.TENANT)
-        lake.write_lake(records, f"{root}/{location}")
-        written.append(lake.read_lake(spark, f"{root}/{location}", records.schema))
-    return paging.append_pages(*[flat(part, *lake.PARTITION_KEYS) for part in written])
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "lake"), fx.TENANT)
+    write_classes(raw, job)
+    return landed(spark, job, raw)
 
 
 @query
@@ -763,18 +765,10 @@ def _ingested(spark: SparkSession, sf_dir: str, name: str) -> tuple[LoadJob, Dat
     return job, raw, max(b.batch_id for b in batches)
 
 
-def _landed(spark: SparkSession, job: LoadJob, raw: DataFrame) -> DataFrame:
-    parts = []
-    for class_name in job.mapping.classes():
-        record = job.compiled(raw, class_name).transform(raw).schema
-        parts.append(flat(lake.read_lake(spark, job.location(class_name), record), *lake.PARTITION_KEYS))
-    return paging.append_pages(*parts)
-
-
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     job, raw, _ = _ingested(spark, sf_dir, "stream")
-    return _landed(spark, job, raw)
+    return landed(spark, job, raw)
 
 
 @query
@@ -782,7 +776,7 @@ def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     job, raw, batch_id = _ingested(spark, sf_dir, "replay")
     # as after a crash between the write and its commit
     load_batch(raw_of(spark, sf_dir), job, batch_id)
-    return _landed(spark, job, raw).groupBy("class_name", "eventDay").agg(F.count("*").alias("n_events"))
+    return landed(spark, job, raw).groupBy("class_name", "eventDay").agg(F.count("*").alias("n_events"))
 
 
 @query

@@ -70,15 +70,29 @@ class LoadResult:
 def load_batch(raw: DataFrame, job: LoadJob, batch_id: int) -> LoadResult:
     """Write one batch of raw events; repeating it leaves the lake unchanged.
 
-    A failure propagates, so the caller does not move its position. Each class reads
-    its own types only. Events without a type or a usable day go to the side table.
+    A failure propagates, so the caller does not move its position. Events without a
+    type or a usable day go to the side table.
     """
-    def load_class(class_name: str) -> tuple[int, bool]:
+    written = write_classes(raw, job, batch_id)
+    suspects = [c for c, (_, suspect) in written.items() if suspect]
+    rejected = _write_rejected(rejected_events(raw, job, suspects), job, batch_id)
+    return LoadResult(batch_id, {c: n for c, (n, _) in written.items()}, rejected)
+
+
+def write_classes(raw: DataFrame, job: LoadJob, batch_id: int | None = None) -> dict[str, tuple[int, bool]]:
+    """Map the events of each class and write them to its folder.
+
+    Each class reads its own types only. The classes are independent jobs: the next
+    one fills the cluster while the last tasks of another run. Gives the rows written
+    and whether events without a usable day may have been left out.
+    """
+
+    def write_class(class_name: str) -> tuple[int, bool]:
         records = job.compiled(raw, class_name).transform(raw, job.on_bad)
         keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True))
         seen = Observation()
         keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless"))
-        written = write_lake(
+        counts = write_lake(
             keyed.filter("eventDay IS NOT NULL"),
             job.location(class_name),
             cluster_on=job.cluster_on,
@@ -87,17 +101,12 @@ def load_batch(raw: DataFrame, job: LoadJob, batch_id: int) -> LoadResult:
         # A retried task may count twice, which still tells none from some. Without
         # a count every row may have been filtered out.
         suspect = (observed(seen) or {}).get("dayless") != 0
-        return (observed(written) or {}).get("transformed", 0), suspect
+        return (observed(counts) or {}).get("transformed", 0), suspect
 
-    # The classes are independent jobs: the next one fills the cluster while the last
-    # tasks of another run.
     classes = job.mapping.classes()
     with ThreadPoolExecutor(len(classes)) as pool:
-        run = inheritable_thread_target(raw.sparkSession)(load_class)
-        loaded = dict(zip(classes, pool.map(run, classes), strict=True))
-    suspects = [c for c, (_, suspect) in loaded.items() if suspect]
-    rejected = _write_rejected(rejected_events(raw, job, suspects), job, batch_id)
-    return LoadResult(batch_id, {c: n for c, (n, _) in loaded.items()}, rejected)
+        run = inheritable_thread_target(raw.sparkSession)(write_class)
+        return dict(zip(classes, pool.map(run, classes), strict=True))
 
 
 def rejected_events(raw: DataFrame, job: LoadJob, suspects: Collection[str] | None = None) -> DataFrame:
