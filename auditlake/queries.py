@@ -756,7 +756,8 @@ def type_clause(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingested(spark: SparkSession, sf_dir: str, name: str) -> tuple[LoadJob, DataFrame, int]:
     """Stream the events into a fresh lake; job, raw schema and last batch id."""
-    events = raw_source.stream_events(spark, sf_dir, schema=EVENTS_SCHEMA, name_filter="events.parquet")
+    # a pattern, as a stream takes a file or a folder of files only through one
+    events = raw_source.stream_events(spark, f"{sf_dir}/events.parque[t]", schema=EVENTS_SCHEMA)
     raw = fx.audit_view(events)
     job = LoadJob(fx.demo_mapping(), fresh_folder(spark, name), fx.TENANT)
     batches = []

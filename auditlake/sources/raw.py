@@ -59,7 +59,6 @@ def stream_events(
     *,
     max_files: int | None = None,
     max_bytes: int | None = MAX_BATCH_BYTES,
-    name_filter: str | None = None,
 ) -> DataFrame:
     """Streaming twin of :func:`scan_events`; the bounds apply to each micro-batch."""
     reader = spark.readStream.format(fmt).schema(schema)
@@ -67,7 +66,6 @@ def stream_events(
         "maxFilesPerTrigger": max_files,
         # the file source takes one of the two bounds
         "maxBytesPerTrigger": None if max_files else max_bytes,
-        "pathGlobFilter": name_filter,
     }
     for key, value in options.items():
         if value is not None:
