@@ -160,11 +160,12 @@ def parse_enums(document: str | Mapping[str, Any]) -> dict[tuple[str, str], dict
     for key, ids in raw.items():
         if not (key.startswith("('") and key.endswith("')") and key.count("', '") == 1):
             raise MappingError(f"enum key {key!r} is not of the form ('object', 'attribute')")
-        for caption, number in ids.items():
+        known = {caption: number for caption, number in ids.items() if number is not None}
+        for caption, number in known.items():
             if isinstance(number, bool) or not isinstance(number, int) or not INT_MIN <= number <= INT_MAX:
                 raise MappingError(f"enum id of {key} {caption!r} is no 32-bit integer")
         obj, _, attribute = key[2:-2].partition("', '")
-        enums[obj, attribute] = dict(ids)
+        enums[obj, attribute] = known
     return enums
 
 

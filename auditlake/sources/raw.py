@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.readwriter import DataStreamReader
 
 # A micro-batch of a large backlog stays within what executors can hold on disk.
 MAX_BATCH_BYTES = 10**12
@@ -41,7 +42,10 @@ def require_utc(spark: SparkSession) -> None:
 def scan_events(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = RAW_EVENT
 ) -> DataFrame:
-    """Batch scan with a declared schema. Parquet skips data; JSON does not."""
+    """Batch scan with a declared schema, or with ``None`` an inferred one.
+
+    Parquet skips data; JSON does not, and inferring its schema reads it all once.
+    """
     reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema else reader).load(path)
 
@@ -61,16 +65,29 @@ def stream_events(
     max_bytes: int | None = MAX_BATCH_BYTES,
 ) -> DataFrame:
     """Streaming twin of :func:`scan_events`; the bounds apply to each micro-batch."""
-    reader = spark.readStream.format(fmt).schema(schema)
-    options = {
-        "maxFilesPerTrigger": max_files,
-        # the file source takes one of the two bounds
-        "maxBytesPerTrigger": None if max_files else max_bytes,
-    }
-    for key, value in options.items():
-        if value is not None:
-            reader = reader.option(key, value)
-    return reader.load(path)
+    return _bounded_stream(spark, max_files, max_bytes).format(fmt).schema(schema).load(path)
+
+
+def stream_open_events(
+    spark: SparkSession,
+    path: str,
+    column: str = "body",
+    *,
+    max_files: int | None = None,
+    max_bytes: int | None = MAX_BATCH_BYTES,
+) -> DataFrame:
+    """Streaming twin of :func:`scan_open_events`."""
+    reader = _bounded_stream(spark, max_files, max_bytes).schema(f"`{column}` variant")
+    return reader.option("singleVariantColumn", column).json(path)
+
+
+def _bounded_stream(spark: SparkSession, max_files: int | None, max_bytes: int | None) -> DataStreamReader:
+    # the file source takes one of the two bounds
+    if max_files:
+        return spark.readStream.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        return spark.readStream.option("maxBytesPerTrigger", max_bytes)
+    return spark.readStream
 
 
 def scan_table(spark: SparkSession, database: str, table: str) -> DataFrame:

@@ -179,3 +179,30 @@ def test_session_zone_is_checked(spark):
             raw_source.require_utc(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_open_bodies_stream(spark, tmp_path):
+    body = {"type": "AUTH", "created": "2024-01-05T10:00:00Z", "operation": "LOGOUT"}
+    spark.createDataFrame([(json.dumps(body),)], "value string").write.text(str(tmp_path / "in"))
+    job = LoadJob(fx.demo_mapping(), str(tmp_path / "lake"), fx.TENANT, variant_column="body")
+    events = raw_source.stream_open_events(spark, str(tmp_path / "in"))
+    batches = []
+    ingest_stream(events, job, str(tmp_path / "offsets"), batches.append).awaitTermination()
+    assert [(b.transformed, b.rejected) for b in batches] == [(1, 0)]
+    assert spark.read.parquet(job.location("authentication")).first().activity_id == 2
+
+
+def test_failed_load_leaves_the_position(spark, landed, tmp_path, monkeypatch):
+    job = LoadJob(fx.demo_mapping(), str(tmp_path / "lake"), fx.TENANT)
+    store = PositionStore(spark, str(tmp_path / "state"))
+    source = raw_source.scan_events(spark, landed)
+
+    def fail(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(position, "load_batch", fail)
+    for _ in range(2):
+        with pytest.raises(OSError):
+            run_once(source, job, store, fx.NOW)
+        assert store.read().position == filters.DEFAULT_START
+        assert not store.read().committed

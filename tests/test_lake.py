@@ -157,3 +157,16 @@ def test_inferred_schema_merges_conflicts(spark):
     )
     found = {r.class_name: r.schema for r in raw_source.infer_schema(staged).collect()}
     assert found == {"c": "OBJECT<a: VARIANT, b: STRING>", "d": "OBJECT<a: DECIMAL(2,1)>"}
+
+
+def test_json_inference_widens_conflicts(spark, tmp_path):
+    """Discovery over staged JSON lines, one folder per class."""
+    write_events(spark, tmp_path / "class_name=authentication", {"a": 1, "b": {"c": "x"}})
+    write_events(spark, tmp_path / "class_name=account_change", {"a": "y", "d": [1.5]})
+    found = raw_source.scan_events(spark, str(tmp_path), "json", schema=None).schema
+    assert {f.name: f.dataType.simpleString() for f in found} == {
+        "a": "string",
+        "b": "struct<c:string>",
+        "d": "array<double>",
+        "class_name": "string",
+    }

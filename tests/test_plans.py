@@ -93,3 +93,16 @@ def test_hot_key_counts_shuffle_one_row_per_group(spark):
     counted = metrics.per_class(rows)
     assert dict(counted.collect()) == {"authentication": 66_667, "account_change": 133_333}
     assert "partial_count" in plan(counted)
+
+
+def test_generated_code_stays_small(spark, stored):
+    """The JVM compiles no method above 8000 bytes of code."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        records = compile_mapping(fx.demo_mapping(), stored, time_paths=fx.TIME_PATHS).transform(stored)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        text = records._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert len(sizes) == 1 and sizes[0] < 8000

@@ -33,3 +33,12 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry_returns_rows(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["scan_table", "stream_ingest", "https_only"])
+def test_tables_may_be_folders(spark, name, small_dir, tmp_path):
+    for table in ("events", "pages"):
+        spark.read.parquet(f"{small_dir}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    found = QUERIES[name](spark, str(tmp_path))
+    expected = QUERIES[name](spark, small_dir)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
