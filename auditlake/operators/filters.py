@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlake.functions.temporal import SAFETY_LAG_MINUTES, instant
+from auditlake.functions.temporal import ISO_8601, SAFETY_LAG_MINUTES
 from auditlake.sources.local import MAX_BROADCAST_ROWS, small
 
 DEFAULT_START = "2023-01-01T00:00:00.000Z"
@@ -45,8 +45,7 @@ def time_range(
     offset can cross, goes to the scan so that row groups are skipped there too.
     """
     dtype = df.schema[column].dataType
-    is_text = isinstance(dtype, T.StringType)
-    value = instant(f"`{column}`") if is_text else F.col(column)
+    value = F.col(column)
 
     def bound(text: str):
         stamp = F.lit(text).cast("timestamp")
@@ -55,13 +54,16 @@ def time_range(
     def day(text: str, shift: int):
         return F.lit((parse_instant(text) + timedelta(days=shift)).strftime("%Y-%m-%d"))
 
+    if isinstance(dtype, T.StringType):
+        if after is not None:
+            df = df.filter(value >= day(after, -1))
+        if before is not None:
+            df = df.filter(value < day(before, 2))
+        df = df.filter(value.rlike(ISO_8601))
+        value = F.try_to_timestamp(value)
     if after is not None:
-        if is_text:
-            df = df.filter(F.col(column) >= day(after, -1))
         df = df.filter(value > bound(after))
     if before is not None:
-        if is_text:
-            df = df.filter(F.col(column) < day(before, 2))
         df = df.filter(value <= bound(before) if inclusive_end else value < bound(before))
     return df
 

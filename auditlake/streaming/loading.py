@@ -15,7 +15,7 @@ from auditlake.operators.metrics import observed
 from auditlake.operators.paging import append_pages
 from auditlake.plans.compiler import CompiledMapping, compile_mapping
 from auditlake.plans.mapping import EventMapping
-from auditlake.sources.lake import BATCH_KEY, Tenant, routes, with_partition_keys, write_lake
+from auditlake.sources.lake import BATCH_KEY, Tenant, routes, with_partition_keys, write_lake, write_lake_once
 
 REJECTED_FOLDER = "rejected"
 
@@ -43,6 +43,9 @@ class LoadJob:
     def location(self, class_name: str) -> str:
         return f"{self.root.rstrip('/')}/{routes(self.source)[class_name]}"
 
+    def shared_location(self) -> str:
+        return f"{self.root.rstrip('/')}/ext/{self.source}"
+
     def rejected_location(self) -> str:
         return f"{self.root.rstrip('/')}/{REJECTED_FOLDER}"
 
@@ -109,6 +112,23 @@ def write_classes(raw: DataFrame, job: LoadJob, batch_id: int | None = None) ->
         return dict(zip(classes, pool.map(run, classes), strict=True))
 
 
+def load_in_one_scan(raw: DataFrame, job: LoadJob, batch_id: int) -> LoadResult:
+    """Like :func:`load_batch`, but all classes go to ``class_name=`` folders in one job.
+
+    For large backfills: the raw events are read and mapped once, to the record shape
+    all classes share.
+    """
+    records = job.compiled(raw).transform(raw, job.on_bad)
+    keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True))
+    seen = Observation()
+    keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless"))
+    written = write_lake_once(keyed.filter("eventDay IS NOT NULL"), job.shared_location(), batch_id=batch_id)
+    suspects = [] if (observed(seen) or {}).get("dayless") == 0 else job.mapping.classes()
+    rejected = _write_rejected(rejected_events(raw, job, suspects), job, batch_id)
+    counts = observed(written) or {}
+    return LoadResult(batch_id, {c: counts.get(c, 0) for c in job.mapping.classes()}, rejected)
+
+
 def rejected_events(raw: DataFrame, job: LoadJob, suspects: Collection[str] | None = None) -> DataFrame:
     """``(event, reason)`` of the events that reach no class folder for a fault of theirs.
 

@@ -12,7 +12,7 @@ from auditlake import fixtures as fx
 from auditlake.operators import filters
 from auditlake.plans.compiler import compile_mapping
 from auditlake.sources import lake, raw as raw_source
-from auditlake.streaming.loading import LoadJob, load_batch, rejected_events
+from auditlake.streaming.loading import LoadJob, load_batch, load_in_one_scan, rejected_events
 
 
 @pytest.fixture
@@ -114,9 +114,14 @@ def test_bad_events_go_to_the_side_table(spark, tmp_path):
         {**good, "id": "6", "type": "SYSTEM_CONFIG", "created": "?"},
     )
     raw = raw_source.scan_events(spark, str(tmp_path / "in"), "json")
-    job = LoadJob(fx.demo_mapping(), str(tmp_path / "lake"), fx.TENANT)
+    for load in (load_batch, load_in_one_scan):
+        job = LoadJob(fx.demo_mapping(), str(tmp_path / load.__name__), fx.TENANT)
+        check_side_table(spark, raw, job, load)
+
+
+def check_side_table(spark, raw, job, load):
     for _ in range(2):
-        result = load_batch(raw, job, 0)
+        result = load(raw, job, 0)
         assert (result.per_class["authentication"], result.transformed, result.rejected) == (1, 1, 4)
     side = spark.read.parquet(job.rejected_location()).collect()
     assert {json.loads(r.event)["id"] for r in side} == {"2", "3", "5", "6"}
