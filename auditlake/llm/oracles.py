@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from auditlake.llm.chat import CONTROL
 from auditlake.llm.quality import stop_list
 
 OP2 = r"""
 WITH parts AS (
   SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), grams AS (
   SELECT doc_id, text, i, count(*) OVER (PARTITION BY doc_id, text, w[i], w[i + 1], w[i + 2]) AS n
@@ -21,10 +22,10 @@ WITH parts AS (
     CAST(len(regexp_extract_all(coalesce(p.text, ''), '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
-    CAST(len(list_filter(w, x -> list_contains(s.stop, x))) AS BIGINT) AS n_stop,
+    CAST(len(list_filter(w, lambda x: list_contains(s.stop, x))) AS BIGINT) AS n_stop,
     len(lines) AS n_lines,
-    len(list_filter(lines, l -> regexp_matches(l, '^\s*[-*•‣·]\s'))) AS n_bullets,
-    len(list_filter(lines, l -> regexp_matches(l, '(\.\.\.|…)\s*$'))) AS n_ellipses
+    len(list_filter(lines, lambda l: regexp_matches(l, '^\s*[-*•‣·]\s'))) AS n_bullets,
+    len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)\s*$'))) AS n_ellipses
   FROM parts p LEFT JOIN covered c ON c.doc_id IS NOT DISTINCT FROM p.doc_id AND c.text IS NOT DISTINCT FROM p.text,
     (SELECT [@STOP@] AS stop) s
 )
@@ -37,8 +38,46 @@ FROM base
 """
 
 
+OP4 = r"""
+WITH rules(rule, h, p, verdict) AS (
+  VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+    ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'),
+    ('net/fr/', 'net', '/fr/', 'block')
+), cut AS (
+  SELECT page_id, row_number() OVER () AS row,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), best AS (
+  SELECT row, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM cut, rules
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY row
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM cut LEFT JOIN best USING (row)
+"""
+
+_ESCAPED = "replace({}, '\\', '\\\\')"
+for _c in CONTROL:
+    _ESCAPED = f"replace({_ESCAPED}, '{_c}', '{_c[0]}\\{_c[1:]}')"
+
+OP7 = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), learned AS (
+  SELECT conv_id, string_agg(text, '' ORDER BY turn, text) AS t FROM rows WHERE role = 'assistant' GROUP BY conv_id
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(length(coalesce(any_value(t), '')) AS BIGINT) AS loss_chars, sha256(coalesce(any_value(t), '')) AS loss_sha256,
+  CAST(sum({len("<|turn|><|text|><|end|>")} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
+FROM rows LEFT JOIN learned USING (conv_id) GROUP BY conv_id
+"""
+
 _STOP = ", ".join(f"'{w}'" for w in stop_list())
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": OP2.replace("@STOP@", _STOP),
+    "op4_url_filters": OP4,
+    "op7_chat_formatting": OP7,
 }
