@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import chat, mixing, quality, urls
+from auditlake.llm import chat, decontaminate, mixing, quality, urls
 from auditlake.llm.native import read_table
 from auditlake.sources.local import local_frame
 
@@ -41,6 +41,20 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.sort_array(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations of the table, which come as message lists, and one more that
     comes as a prompt with its response and is full of control strings."""
@@ -62,6 +76,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_url_filters": op4_url_filters,
+    "op6_decontaminate": op6_decontaminate,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_source_mixing": op8_source_mixing,
 }
