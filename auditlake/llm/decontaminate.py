@@ -77,7 +77,7 @@ def fingerprints(rows: DataFrame, text: str, lengths: Sequence[int]) -> DataFram
             names = [*(f.name for f in kept), "n_words", "fps"]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(sizes, pa.int64()), lists(found, pa.int64())], names)
 
-    return rows.mapInArrow(scan, T.StructType(kept).add("n_words", T.LongType()).add("fps", T.ArrayType(T.LongType())))
+    return rows.mapInArrow(scan, T.StructType([*kept]).add("n_words", T.LongType()).add("fps", T.ArrayType(T.LongType())))
 
 
 def item_words(items: DataFrame, window: int) -> DataFrame:
