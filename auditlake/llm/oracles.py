@@ -74,7 +74,7 @@ WITH docs AS (
     FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)) g
   JOIN windows v ON v.gram = g.gram AND v.n = g.n
 ), hit AS (
-  SELECT row, count(DISTINCT at) AS n FROM (SELECT row, unnest(range(i, i + n)) AS at FROM found) GROUP BY row
+  SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + n)) AS place FROM found) GROUP BY row
 ), named AS (
   SELECT row, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
   FROM (SELECT DISTINCT row, item_id FROM found) GROUP BY row
@@ -104,7 +104,7 @@ WITH docs AS (
     FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)) g
   JOIN windows v ON v.gram = g.gram AND v.n = g.n
 ), hit AS (
-  SELECT row, count(DISTINCT at) AS n FROM (SELECT row, unnest(range(i, i + n)) AS at FROM found) GROUP BY row
+  SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + n)) AS place FROM found) GROUP BY row
 ), named AS (
   SELECT row, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
   FROM (SELECT DISTINCT row, item_id FROM found) GROUP BY row

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import chat, decontaminate, mixing, quality, urls
+from auditlake.llm import chat, decontaminate, minhash, mixing, quality, urls
 from auditlake.llm.native import read_table
 from auditlake.sources.local import local_frame
 
@@ -41,6 +41,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
@@ -76,6 +80,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_url_filters": op4_url_filters,
+    "op5_minhash": op5_minhash,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_source_mixing": op8_source_mixing,
