@@ -26,7 +26,7 @@ WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MAX_EPOCHS = 2
 BLOCK_TOKENS = 16
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 500_000
 SEED = 17
 
 
