@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import chat, decontaminate, minhash, mixing, quality, urls
+from auditlake.llm import chat, decontaminate, lines, minhash, mixing, quality, urls
 from auditlake.llm.native import read_table
 from auditlake.sources.local import local_frame
 
@@ -35,6 +35,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     rules = local_frame(spark, URL_RULES, "host string, path string, verdict string")
@@ -79,6 +84,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_line_dedup": op3_line_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_minhash": op5_minhash,
     "op6_decontaminate": op6_decontaminate,
