@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from auditlake.llm.native import table
 from auditlake.llm.tokens import BY_ALNUM, gram_hashes, hash_words, lists, text_slices
+from auditlake.sources.local import small
 
 WINDOW = 10
 
@@ -123,9 +124,9 @@ def contaminated(
 
     ``body`` is a hash of the text; ``edges`` are starts and ends, in words, of the runs
     that were hit, one after the other. Only documents that share a fingerprint are
-    read a second time, and only they meet the words of items. Both sides of each join
-    are sized tables, so Spark broadcasts the benchmark when it is small and shuffles by
-    fingerprint otherwise, where adaptive execution splits a hot one.
+    read a second time, and only they meet the words of items. The benchmark's distinct
+    fingerprints are counted and broadcast up to a known number; beyond it both sides are
+    shuffled by fingerprint, where adaptive execution splits a hot one.
     """
     bench = table(item_words(items, window), "items")
     lengths = sorted(r.length for r in bench.select("length").distinct().collect())
@@ -143,15 +144,17 @@ def contaminated(
     bench_fps = bench.mapInArrow(item_prints, f"item_id {item_kind}, fps array<bigint>")
     bench_fps = table(bench_fps.select("item_id", F.explode("fps").alias("fp")).distinct(), "item-prints")
     prints = fingerprints(docs, "text", lengths or [window])
-    # the NULL stands for the row itself, so rows are counted though they share a key
-    each = prints.select("row_id", "body", "n_words", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "fps")).alias("fp"))
+    # the first entry stands for the row itself, so rows are counted though they share a key
+    each = prints.select("row_id", "body", "n_words", F.posexplode(F.concat(F.array("body"), "fps")).alias("nth", "fp"))
+    known = table(bench_fps.select("fp").distinct(), "known-prints")
+    known = small(known, known.count()).withColumn("known", F.lit(True))
     flags = (
-        each.join(bench_fps.select("fp").distinct().withColumn("known", F.lit(1)), "fp", "left")
+        each.join(known, "fp", "left")
         .groupBy("row_id", "body")
         .agg(
             F.max("n_words").alias("n_words"),
-            F.count_if(F.col("fp").isNull()).alias("copies"),
-            F.count("known").alias("shared"),
+            F.count_if(F.col("nth") == 0).alias("copies"),
+            F.count_if(F.col("known") & (F.col("nth") > 0)).alias("shared"),
         )
     )
     flags = table(flags, "flags")
