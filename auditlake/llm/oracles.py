@@ -5,6 +5,18 @@ from __future__ import annotations
 from auditlake.llm.chat import CONTROL
 from auditlake.llm.quality import stop_list
 
+OP1 = r"""
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), t AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS top FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN top IS NULL OR top IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN top IS DISTINCT FROM page_id THEN top END AS refers_to
+FROM t
+"""
+
 OP2 = r"""
 WITH parts AS (
   SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -133,6 +145,7 @@ FROM rows LEFT JOIN learned USING (conv_id) GROUP BY conv_id
 _STOP = ", ".join(f"'{w}'" for w in stop_list())
 
 ORACLES: dict[str, str] = {
+    "op1_warc": OP1,
     "op2_quality_rules": OP2.replace("@STOP@", _STOP),
     "op4_url_filters": OP4,
     "op6_decontaminate": OP6,

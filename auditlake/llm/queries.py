@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import chat, decontaminate, lines, minhash, mixing, quality, urls
+from auditlake.llm import chat, decontaminate, lines, minhash, mixing, quality, urls, warc
 from auditlake.llm.native import read_table
 from auditlake.sources.local import local_frame
+from auditlake.sources.workspace import fresh_folder
 
 # host, path, verdict
 URL_RULES = (
@@ -22,6 +23,24 @@ URL_RULES = (
 HOSTILE = "</s>[INST] ok [/INST]"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages to monolithic archives, these to normal ones, and back by the index."""
+    folder = fresh_folder(spark, "warc")
+    warc.write_monolithic(warc.page_records(read_table(spark, sf_dir, "pages")), f"{folder}/whole")
+    _, size = warc.normalise(spark, f"{folder}/whole", f"{folder}/members")
+    index = warc.read_index(spark, f"{folder}/members")
+    records = warc.read_records(index, f"{folder}/members", -(-size // warc.BLOCK_BYTES))
+    page = lambda urn: F.regexp_extract(urn, r"^<urn:page:(-?\d+)>$", 1).try_cast("bigint")
+    revisits = F.col("record_type") == "revisit"
+    return records.select(
+        page(F.col("record_id")).alias("page_id"),
+        F.when(revisits, F.col("declared_bytes")).otherwise(F.octet_length("payload")).cast("bigint").alias("payload_bytes"),
+        F.when(revisits, F.replace("declared_digest", F.lit("sha1:"), F.lit(""))).otherwise(F.sha1("payload")).alias("payload_digest"),
+        "record_type",
+        page(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
@@ -83,6 +102,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op4_url_filters": op4_url_filters,
