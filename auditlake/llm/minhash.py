@@ -33,7 +33,7 @@ from auditlake.llm.tokens import BASE, BY_SPACE, gram_hashes, hash_words, lists,
 
 SHINGLE = 5
 PERCENT = 80
-BLOCK = 2_000
+BLOCK = 500
 
 ROWS, BANDS = 6, 44
 # Odd multipliers of two bijections on 32 bits.
