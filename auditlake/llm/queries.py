@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import chat, decontaminate, lines, minhash, mixing, quality, urls, warc
+from auditlake.llm import chat, decontaminate, langid, lines, minhash, mixing, quality, toxicity, urls, warc
 from auditlake.llm.native import read_table
 from auditlake.sources.local import local_frame
 from auditlake.sources.workspace import fresh_folder
@@ -101,6 +101,29 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    taught = labels.filter(langid.fold_of(F.col("doc_id"), 5) != 0)
+    trained = toxicity.train(docs, taught)
+    scored = toxicity.score(docs, trained.net)
+    return scored.select(
+        "doc_id",
+        F.coalesce(langid.fold_of(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        toxicity.flagged(F.col("score"), F.col("lang"), trained.thresholds).alias("flagged"),
+    )
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    held_out = langid.fold_of(F.col("doc_id"), 3) == 1
+    profiles = langid.learn(docs.filter(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -110,4 +133,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_source_mixing": op8_source_mixing,
+    "op9_toxicity": op9_toxicity,
+    "op10_language_id": op10_language_id,
 }

@@ -69,16 +69,20 @@ def _pieces(word: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(
+    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray, lower: bool = True, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, ...]:
     """Hashes of all words of texts that lie end to end, and where each text's words begin.
 
     ``offsets`` has one entry more than there are texts, from 0; so has the second result.
+    For each of ``prefixes`` a further result has the hashes of the first so many bytes of
+    each word, of all of a shorter one.
     """
     word = letters[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     first = first[:-1]
-    hashes, places = [], []
+    hashes, places, starters = [], [], [[] for _ in prefixes]
     for low, high in _pieces(word, first):
         w, f = word[low:high], first[low:high]
         before = np.empty_like(w)
@@ -93,10 +97,14 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray, lower
         sums = np.cumsum(values * up, dtype=np.uint64)
         base = np.where(starts > 0, sums[starts - 1], np.uint64(0))
         hashes.append(mix((sums[ends] - base) * down[starts]))
+        for found, n in zip(starters, prefixes, strict=True):
+            found.append(mix((sums[np.minimum(ends, starts + n - 1)] - base) * down[starts]))
         places.append(starts + low)
     if not hashes:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
+        none = np.empty(0, np.uint64)
+        return none, np.zeros(len(offsets), np.int64), *([none] * len(prefixes))
+    ends = np.searchsorted(np.concatenate(places), offsets)
+    return np.concatenate(hashes), ends, *(np.concatenate(f) for f in starters)
 
 
 def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
