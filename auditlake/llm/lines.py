@@ -26,46 +26,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlake.llm.native import table
+from auditlake.sources.local import small
 
 MIN_WORDS = 8
 
 
 def normal_lines(text: Column) -> Column:
-    """All lines of a text, white space collapsed and trimmed."""
-    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09\x0B-\x0D]+", " ")
+    """All lines of a text, white space collapsed to single spaces and trimmed."""
+    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+", " ")
     return F.transform(F.split(spaced, "\n"), lambda line: F.trim(line))
 
 
+def _size(line: Column) -> Column:
+    """Words of a normal line that is not empty."""
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+
+
+def _first(line: Column, n: Column) -> Column:
+    return F.call_function("substring_index", line, F.lit(" "), n)
+
+
+def _last(line: Column, n: Column) -> Column:
+    return F.call_function("substring_index", line, F.lit(" "), -n)
+
+
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, body, line_no, line, words`` of the lines that take part."""
-    body = F.xxhash64("text")
+    """``doc_id, body, line_no, line, n`` of the lines that take part; n is their words."""
     each = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        "doc_id", body.alias("body"), F.posexplode(normal_lines(F.col("text"))).alias("line_no", "line")
+        "doc_id", F.xxhash64("text").alias("body"), F.posexplode(normal_lines(F.col("text"))).alias("line_no", "line")
     )
     # as many words can only be in a line of so many characters
     each = each.filter(F.length("line") >= 2 * min_words - 1)
-    return each.withColumn("words", F.split("line", " ")).filter(F.size("words") >= min_words)
+    return each.withColumn("n", _size(F.col("line"))).filter(F.col("n") >= min_words)
 
 
-def _half_keys(words: Column) -> Column:
+def _half_keys(line: Column, n: Column) -> Column:
     """Hashes of both halves of a line, and of those that a line shorter by one has."""
-    n = F.size(words)
     keys = []
     for half in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")):
-        keys.append(F.xxhash64(F.lit("first"), F.array_join(F.slice(words, 1, half), " ")))
-        keys.append(F.xxhash64(F.lit("last"), F.array_join(F.slice(words, n - half + 1, half), " ")))
+        keys.append(F.xxhash64(F.lit("first"), _first(line, half)))
+        keys.append(F.xxhash64(F.lit("last"), _last(line, half)))
     return F.array_distinct(F.array(*keys))
 
 
-def _variants(words: Column) -> Column:
+def _variants(line: Column, n: Column) -> Column:
     """The line itself, at -1, and the line without each of its words."""
-    n = F.size(words)
-    whole = F.array(F.struct(F.lit(-1).alias("gap"), F.xxhash64(F.array_join(words, " ")).alias("variant")))
+    whole = F.array(F.struct(F.lit(-1).alias("gap"), F.xxhash64(line).alias("variant")))
     less = F.transform(
-        words,
-        lambda _, i: F.struct(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.struct(
             i.alias("gap"),
-            F.xxhash64(F.concat_ws(" ", F.slice(words, 1, i), F.slice(words, i + 2, n))).alias("variant"),
+            F.xxhash64(F.trim(F.concat(_first(line, i), F.lit(" "), _last(line, n - 1 - i)))).alias("variant"),
         ),
     )
     return F.concat(whole, less)
@@ -83,75 +94,90 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (agree(a, b) + agree(F.reverse(a), F.reverse(b)) >= most - 1)
 
 
-def _nearest(lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``lh, first`` for lines with an earlier one within one edit: where that one is."""
+def _candidates(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``lh, first`` of the distinct lines that share a half with another one."""
     halves = lines.select("lh", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).filter("a <> b")
     shared = table(shared.select("half"), "halves")
-    return table(halves.join(shared, "half", "left_semi").select("lh").distinct().join(firsts, "lh"), "candidates")
+    return table(halves.join(shared, "half", "left_semi").select("lh").distinct().join(firsts.drop("times"), "lh"), "candidates")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without the dropped lines, with ``n_lines`` and ``n_dropped``."""
-    split = _lines(docs.select("doc_id", "text"), min_words)
-    lines = split.select(
-        "doc_id", "body", "line_no", F.xxhash64("line").alias("lh"), _half_keys(F.col("words")).alias("halves")
+def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``lh, line, n`` of candidate lines, each read where it stands first."""
+    wanted = candidates.groupBy(F.col("first.doc_id").alias("at_id")).agg(
+        F.collect_list(F.struct("lh", F.col("first.line_no").alias("line_no"))).alias("wanted")
     )
-    lines = table(lines, "lines")
-    firsts = lines.groupBy("lh").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")
+    held = docs.join(small(wanted, candidates.count()), F.col("doc_id") == F.col("at_id")).select(
+        "wanted", normal_lines(F.col("text")).alias("own")
     )
-    firsts = table(firsts, "firsts")
-    candidates = _nearest(lines, firsts)
+    picked = F.transform("wanted", lambda w: F.struct(w["lh"].alias("lh"), F.get("own", w["line_no"]).alias("line")))
+    # another row with the id may hold another line there
+    found = held.select(F.inline(picked)).filter(F.xxhash64("line") == F.col("lh")).dropDuplicates(["lh"])
+    return table(found.withColumn("n", _size(F.col("line"))), "candidate-lines")
+
 
-    # one text for each candidate line, taken where it stands first
-    at = candidates.select("lh", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"))
-    texts = split.withColumn("lh", F.xxhash64("line")).join(at, ["lh", "doc_id", "line_no"], "left_semi")
-    texts = table(texts.select("lh", "words").dropDuplicates(["lh"]), "candidate-lines")
-    variants = texts.select("lh", F.inline(_variants(F.col("words"))))
+def _near(texts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``lh, before``: place of the earliest line within one edit, where one is earlier."""
+    variants = texts.select("lh", F.inline(_variants(F.col("line"), F.col("n"))))
+    variants = table(variants, "variants")
     meeting = variants.groupBy("variant").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).filter("a <> b")
     meeting = table(meeting.select("variant"), "meeting")
-    placed = variants.join(meeting, "variant", "left_semi").join(candidates.select("lh", "first"), "lh")
-    placed = table(placed, "variants")
-
+    placed = variants.join(meeting, "variant", "left_semi").join(candidates, "lh")
+    placed = table(placed, "meetings")
     # the earliest line of each variant and gap; of those left whole; and of those with a gap
-    entry = F.struct("first", "lh")
-    alike = placed.filter("gap >= 0").groupBy("variant", "gap").agg(F.min(entry).alias("e"))
-    gapped = placed.filter("gap >= 0").groupBy("variant").agg(F.min(entry).alias("e"))
-    entire = placed.filter("gap < 0").groupBy("variant").agg(F.min(entry).alias("e"))
+    entry = F.min(F.struct("first", "lh")).alias("e")
+    gapped, entire = placed.filter("gap >= 0"), placed.filter("gap < 0")
+    met = [
+        gapped.join(gapped.groupBy("variant", "gap").agg(entry), ["variant", "gap"]),
+        gapped.join(entire.groupBy("variant").agg(entry), "variant"),
+        entire.join(gapped.groupBy("variant").agg(entry), "variant"),
+    ]
     met = [
-        placed.filter("gap >= 0").join(alike, ["variant", "gap"]),
-        placed.filter("gap >= 0").join(entire, "variant"),
-        placed.filter("gap < 0").join(gapped, "variant"),
+        m.filter("e.first < first").select("lh", F.col("e.lh").alias("other"), F.col("e.first").alias("before"))
+        for m in met
     ]
-    pairs = [m.filter("e.first < first").select("lh", F.col("e.lh").alias("other"), F.col("e.first").alias("before")) for m in met]
-    pairs = pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct()
-    other = texts.select(F.col("lh").alias("other"), F.col("words").alias("other_words"))
-    near = (
-        pairs.join(texts, "lh")
-        .join(other, "other")
-        .filter(within_one_edit(F.col("words"), F.col("other_words")))
-        .groupBy("lh")
-        .agg(F.min("before").alias("before"))
+    pairs = met[0].unionByName(met[1]).unionByName(met[2]).distinct()
+    words = texts.select("lh", F.split("line", " ").alias("words"))
+    other = words.select(F.col("lh").alias("other"), F.col("words").alias("other_words"))
+    near = pairs.join(words, "lh").join(other, "other")
+    return near.filter(within_one_edit(F.col("words"), F.col("other_words"))).groupBy("lh").agg(F.min("before").alias("before"))
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without the dropped lines, with ``n_lines`` and ``n_dropped``.
+
+    Lists of lines are joined to their texts. Up to a counted number of lines the list is
+    broadcast, beyond it texts are shuffled by id.
+    """
+    bare = docs.select("doc_id", "text")
+    lines = _lines(bare, min_words).select(
+        "doc_id", "body", "line_no", F.xxhash64("line").alias("lh"), _half_keys(F.col("line"), F.col("n")).alias("halves")
     )
-    again = firsts.filter("n > 1").select("lh", F.col("first").alias("before"))
-    limits = again.unionByName(near).groupBy("lh").agg(F.min("before").alias("before"))
-    dropped = (
-        lines.join(table(limits, "limits"), "lh")
-        .filter(F.struct("doc_id", "line_no") > F.col("before"))
-        .groupBy("doc_id", "body")
-        .agg(F.collect_set("line_no").alias("gone"))
+    lines = table(lines, "lines")
+    firsts = lines.groupBy("lh").agg(
+        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("times")
+    )
+    firsts = table(firsts, "firsts")
+    candidates = _candidates(lines, firsts)
+    near = _near(_texts(bare, candidates), candidates)
+    again = firsts.filter("times > 1").select("lh", F.col("first").alias("before"))
+    limits = table(again.unionByName(near).groupBy("lh").agg(F.min("before").alias("before")), "limits")
+    dropped = lines.join(limits, "lh").filter(F.struct("doc_id", "line_no") > F.col("before"))
+    dropped = table(
+        dropped.select(F.col("doc_id").alias("gone_id"), F.col("body").alias("gone_body"), "line_no"), "dropped"
     )
-    dropped = table(dropped.withColumnRenamed("doc_id", "gone_id").withColumnRenamed("body", "gone_body"), "dropped")
+    gone = small(dropped.groupBy("gone_id", "gone_body").agg(F.collect_set("line_no").alias("gone")), dropped.count())
 
     clash = [c for c in docs.columns if c.lower() in ("n_lines", "n_dropped")]
     docs = docs.drop(*clash)
-    joined = docs.join(dropped, (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_body")), "left")
+    joined = docs.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_body")), "left")
     raw = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(raw) - 1), F.col("gone"))
     left = F.array_join(F.transform(stay, lambda i: F.get(raw, i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text")
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     return joined.select(
-        *[F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.size(raw)).cast("bigint").alias("n_lines"),
+        *[text if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(breaks + 1).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
