@@ -30,13 +30,18 @@ SHARD_TOKENS = 500_000
 SEED = 17
 
 
+def draw_of(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    """Place of a document in seeded order."""
+    return F.xxhash64(F.lit(seed), doc_id, text)
+
+
 def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``doc_id, source, size, draw``: words of each text and its place in seeded order."""
     return docs.select(
         "doc_id",
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("draw"),
+        draw_of(F.col("doc_id"), F.col("text"), seed).alias("draw"),
     )
 
 
@@ -119,7 +124,7 @@ def mix(
     shard_tokens: int = SHARD_TOKENS,
     seed: int = SEED,
 ) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` of every document.
+    """``doc_id, source, size, source_size, target, taken, draw`` of every document.
 
     Texts are read once; what is shuffled is a row of numbers a document. A shard holds
     about ``shard_tokens`` words of all sources, so a source with a third of all rows is
@@ -152,5 +157,5 @@ def mix(
     return (
         held.withColumn("start", start)
         .withColumn("taken", taken.cast("bigint"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken")
+        .select("doc_id", "source", "size", "source_size", "target", "taken", "draw")
     )
