@@ -25,8 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.llm.native import table
-from auditlake.sources.local import small
+from auditlake.llm.native import listed, table
 
 MIN_WORDS = 8
 
@@ -107,7 +106,7 @@ def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     wanted = candidates.groupBy(F.col("first.doc_id").alias("at_id")).agg(
         F.collect_list(F.struct("lh", F.col("first.line_no").alias("line_no"))).alias("wanted")
     )
-    held = docs.join(small(wanted, candidates.count()), F.col("doc_id") == F.col("at_id")).select(
+    held = docs.join(listed(wanted, candidates.count()), F.col("doc_id") == F.col("at_id")).select(
         "wanted", normal_lines(F.col("text")).alias("own")
     )
     picked = F.transform("wanted", lambda w: F.struct(w["lh"].alias("lh"), F.get("own", w["line_no"]).alias("line")))
@@ -166,14 +165,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     dropped = table(
         dropped.select(F.col("doc_id").alias("gone_id"), F.col("body").alias("gone_body"), "line_no"), "dropped"
     )
-    gone = small(dropped.groupBy("gone_id", "gone_body").agg(F.collect_set("line_no").alias("gone")), dropped.count())
+    gone = listed(dropped.groupBy("gone_id", "gone_body").agg(F.collect_set("line_no").alias("gone")), dropped.count())
 
     clash = [c for c in docs.columns if c.lower() in ("n_lines", "n_dropped")]
     docs = docs.drop(*clash)
     joined = docs.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_body")), "left")
-    raw = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(raw) - 1), F.col("gone"))
-    left = F.array_join(F.transform(stay, lambda i: F.get(raw, i)), "\n")
+    # a column of its own, so that it is split once and not for each line
+    joined = joined.withColumn("_raw", F.when(F.col("gone").isNotNull(), F.split("text", "\n")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), F.col("gone"))
+    left = F.array_join(F.transform(stay, lambda i: F.get("_raw", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text")
     breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     return joined.select(

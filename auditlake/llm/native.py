@@ -29,5 +29,14 @@ def table(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+# A row of a list is a few numbers, so such a list takes some 60 MB of an executor.
+MAX_LISTED = 1_000_000
+
+
+def listed(frame: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a list of keys made from a counted number of rows, up to a fixed number."""
+    return F.broadcast(frame) if rows <= MAX_LISTED else frame
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -48,6 +48,24 @@ RULES = (
 )
 
 
+FEATURES = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "n_stop_words",
+    "n_lines",
+    "mean_word_chars",
+    "symbol_ratio",
+    "stop_word_ratio",
+    "dup_line_ratio",
+    "repeat_word_ratio",
+    "bullet_line_ratio",
+    "ellipsis_line_ratio",
+)
+
+
 def stop_list() -> list[str]:
     small = {w for words in STOP_WORDS.values() for w in words}
     return sorted(small | {w.capitalize() for w in small})
@@ -115,7 +133,7 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     # most texts repeat no window and skip the second look
     found = found.withColumn("_again", F.when(F.col("_repeats") > 0, at)).drop("_words", "_sorted")
     found = found.withColumn("n_repeat_words", F.coalesce(_covered(F.col("_again"), 3), F.lit(0).cast("bigint")))
-    return found.withColumns(
+    found = found.withColumns(
         {
             "mean_word_chars": share(F.col("word_chars"), F.col("n_words")),
             "symbol_ratio": share(F.col("n_symbols"), F.col("n_words")),
@@ -123,7 +141,11 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
             "dup_line_ratio": share(F.col("n_dup_lines"), F.col("n_lines")),
             "repeat_word_ratio": share(F.col("n_repeat_words"), F.col("n_words")),
         }
-    ).drop("_low", "_again", "_repeats")
+    )
+    # Out of a generator, a later filter on a feature stays above it. Pushed down, it would
+    # hold all steps as one expression and repeat them for every window.
+    measured = F.inline(F.array(F.struct(*FEATURES)))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns if c not in FEATURES], measured)
 
 
 def _broken(rule: Rule) -> Column:

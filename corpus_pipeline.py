@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from auditlake.llm import decontaminate, lines, minhash, mixing, quality  # noqa: E402
-from auditlake.llm.native import read_table, table  # noqa: E402
-from auditlake.sources.local import small  # noqa: E402
+from auditlake.llm.native import listed, read_table, table  # noqa: E402
 
 SHINGLE, PERCENT = 5, 80
 
@@ -30,7 +29,7 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """
     gone = table(gone.select(F.col("doc_id").alias("gone_id"), F.col("body").alias("gone_body")).distinct(), "gone")
     same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("gone_body"))
-    return docs.join(small(gone, gone.count()), same, "left_anti")
+    return docs.join(listed(gone, gone.count()), same, "left_anti")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +50,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     """The document with the least id of each group."""
     found = minhash.near_duplicates(docs, SHINGLE, PERCENT)
     gone = table(found.filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct(), "copies")
-    return docs.join(small(gone, gone.count()), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(listed(gone, gone.count()), F.col("doc_id") == F.col("gone_id"), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
