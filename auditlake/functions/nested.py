@@ -137,6 +137,8 @@ def is_json_type(dtype: T.DataType) -> bool:
 def prune_key(column: Column, dtype: T.DataType, name: str) -> Column:
     """Drop entries whose key or value equals ``name``, and equal list elements.
 
+    A struct that loses all its fields becomes a text NULL. A VARIANT is refused.
+
     NULL values and elements stay: the comparison is null-safe.
     """
     if isinstance(dtype, T.StructType):
@@ -156,6 +158,8 @@ def prune_key(column: Column, dtype: T.DataType, name: str) -> Column:
         if _has_nested(dtype.elementType):
             return F.transform(kept, lambda e: prune_key(e, dtype.elementType, name))
         return kept
+    if isinstance(dtype, T.VariantType):
+        raise TypeError(f"entries of a VARIANT cannot be dropped; give {name!r}'s column a declared type first")
     return column
 
 

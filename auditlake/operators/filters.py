@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from auditlake.functions.temporal import ISO_8601, SAFETY_LAG_MINUTES
 from auditlake.sources.local import MAX_BROADCAST_ROWS, small
+from auditlake.sources.raw import require_utc
 
 DEFAULT_START = "2023-01-01T00:00:00.000Z"
 
@@ -44,6 +45,7 @@ def time_range(
     ISO text is compared as an instant; a text range one day wider, which no UTC
     offset can cross, goes to the scan so that row groups are skipped there too.
     """
+    require_utc(df.sparkSession)
     dtype = df.schema[column].dataType
     value = F.col(column)
 

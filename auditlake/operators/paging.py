@@ -29,6 +29,18 @@ def effective_limit(limit: int | str | None) -> int:
     return limit
 
 
+def row_bound(limit: int | str | None) -> int | None:
+    """Rows a bounded run takes: any positive number as it is; 0 or None is no bound."""
+    if isinstance(limit, str):
+        try:
+            limit = int(limit)
+        except ValueError:
+            limit = DEFAULT_LIMIT
+    if limit and limit < 0:
+        raise ValueError(f"limit must not be negative, is {limit}")
+    return limit or None
+
+
 def effective_offset(offset: int | None) -> int:
     return 0 if not offset or offset < 0 else offset
 
@@ -44,14 +56,15 @@ def page(
     offset: int | None = 0,
     column: str = "created",
     tiebreak: str = "id",
+    shallow: int = MAX_LIMIT,
 ) -> DataFrame:
     """One page of the sorted events.
 
-    A shallow page is a top-n: each task keeps ``offset + limit`` rows, at most
-    twice the page maximum. A deeper one first finds where it starts.
+    Up to the offset ``shallow`` a page is a top-n: each task keeps ``offset + limit``
+    rows. A deeper one first finds where it starts.
     """
     limit, offset = effective_limit(limit), effective_offset(offset)
-    if offset > MAX_LIMIT:
+    if offset > shallow:
         df, offset = _from_offset(df, offset, column, tiebreak)
     return sorted_events(df, column, tiebreak).offset(offset).limit(limit)
 
@@ -104,7 +117,9 @@ def bounded_batch(df: DataFrame, limit: int | str | None, column: str = "created
     """
     is_text = isinstance(df.schema[column].dataType, T.StringType)
     value = instant(f"`{column}`") if is_text else F.col(column)
-    first = df.select(value.alias("at")).filter("at IS NOT NULL").orderBy("at").limit(effective_limit(limit))
+    first = df.select(value.alias("at")).filter("at IS NOT NULL")
+    if (bound := row_bound(limit)) is not None:
+        first = first.orderBy("at").limit(bound)
     end = first.agg(F.max("at").alias("at"))
     return Bounded(df.filter(value <= end.scalar()), end)
 

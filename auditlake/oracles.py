@@ -130,6 +130,8 @@ _LAKE_KEYS = f"""'{fx.TENANT.region}' AS region, '{fx.TENANT.account_id}' AS "ac
   substr(created, 1, 4) || substr(created, 6, 2) || substr(created, 9, 2) AS "eventDay" """
 
 _READY = "created > '2024-01-10T00:00:00.000Z' AND created < '2024-01-30T23:00:00.000Z'"
+# all from the default start up to the lag
+_SETTLED = "created > '2023-01-01T00:00:00.000Z' AND created < '2024-01-30T23:00:00.000Z'"
 _MAPPED = "(SELECT type FROM classes)"
 
 
@@ -160,6 +162,8 @@ FROM (
               FROM audit a JOIN classes c ON c.type = a.type)))
 GROUP BY class_name""",
     "lake_roundtrip": _LANDED,
+    "one_scan_roundtrip": _LANDED,
+    "table_to_lake": _LANDED,
     "route_classes": _ALL
     + f"""SELECT class_name, location, location || '/region=' || region || '/accountId=' || "accountId"
   || '/eventDay=' || "eventDay" AS path, CAST(count(*) AS BIGINT) AS n_events
@@ -300,6 +304,7 @@ FROM captioned GROUP BY type, hit""",
     # sorts, limits, sets
     "sorted_events": _A + "SELECT id, type, created FROM audit ORDER BY created, id",
     "page": _A + "SELECT id, type, created FROM audit ORDER BY created, id LIMIT 1000 OFFSET 250",
+    "deep_page": _A + "SELECT id, type, created FROM audit ORDER BY created, id LIMIT 300 OFFSET 600",
     "append_pages": _A
     + """SELECT id, type, created FROM audit WHERE created < '2024-01-20T00:00:00.000Z'
 UNION ALL SELECT id, type, created FROM audit WHERE created > '2024-01-10T00:00:00.000Z'""",
@@ -336,6 +341,10 @@ FROM (SELECT DISTINCT type FROM audit WHERE type IN {_MAPPED})""",
     "stream_commit": _ALL
     + f"""SELECT class_name, "eventDay", CAST(count(*) AS BIGINT) AS n_events
 FROM (SELECT class_name, {_LAKE_KEYS} FROM records) GROUP BY ALL""",
+    "batch_ingest": _LANDED + f" WHERE {_SETTLED}",
+    "batch_replay": _ALL
+    + f"""SELECT class_name, "eventDay", CAST(count(*) AS BIGINT) AS n_events
+FROM (SELECT class_name, {_LAKE_KEYS} FROM records WHERE {_SETTLED}) GROUP BY ALL""",
     "safety_lag": _A + "SELECT id, created FROM audit WHERE created < '2024-01-20T11:00:00.000Z'",
     "clamp_checkpoint": """SELECT user_id, saved,
   CASE WHEN saved IS NULL OR epoch_us(TIMESTAMP '2024-01-30 11:00:00') - epoch_us(created_at) >= 86400000000

@@ -39,6 +39,7 @@ from auditlake.plans.mapping import (
     TypeRules,
 )
 from auditlake.sources.local import local_frame, small
+from auditlake.sources.raw import require_utc
 
 # Transform hook: SQL text of the source value, rule, target -> SQL text, type.
 Hook = Callable[[str, Rule, Target], tuple[str, T.DataType]]
@@ -149,6 +150,7 @@ def compile_mapping(
     targets that hold a time and become epoch seconds. ``target_types`` declares
     types where the source cannot tell, as with a VARIANT body.
     """
+    require_utc(df.sparkSession)
     body = body_of(df, variant_column)
     if not variant_column:
         clash = [n for n in df.columns if n.startswith(_PREFIX)]

@@ -51,10 +51,14 @@ def _membership(value: str, field: str, dtype: T.DataType | None) -> str:
     if isinstance(dtype, T.ArrayType):
         if isinstance(dtype.elementType, T.StringType):
             found = f"coalesce(array_contains({field}, {wanted}), FALSE)"
+        elif isinstance(dtype.elementType, T.VariantType):
+            found = f"coalesce({_member(field, wanted)}, FALSE)"
         else:
             found = "FALSE"
         return f"CASE WHEN coalesce(size({field}), -1) <= 0 THEN {default} ELSE {found} END"
     if isinstance(dtype, T.MapType):
+        if not isinstance(dtype.keyType, T.StringType):
+            return f"CASE WHEN coalesce(size({field}), -1) <= 0 THEN {default} ELSE FALSE END"
         return (
             f"CASE WHEN coalesce(size({field}), -1) <= 0 THEN {default} "
             f"ELSE map_contains_key({field}, {wanted}) END"
@@ -69,6 +73,10 @@ def _membership(value: str, field: str, dtype: T.DataType | None) -> str:
     return f"contains(coalesce(CAST({field} AS STRING), {literal(FALSY_DEFAULT)}), {wanted})"
 
 
+def _member(items: str, wanted: str) -> str:
+    return f"exists({items}, e -> schema_of_variant(e) = 'STRING' AND CAST(e AS STRING) = {wanted})"
+
+
 def _variant_membership(wanted: str, field: str, default: str) -> str:
     # The type is tested before any cast: an object casts to its JSON text, which
     # would match as a substring.
@@ -76,9 +84,7 @@ def _variant_membership(wanted: str, field: str, default: str) -> str:
     items = f"try_variant_get({field}, {literal('$')}, 'array<variant>')"
     keys = f"try_variant_get({field}, {literal('$')}, 'map<string,variant>')"
     text = f"CAST({field} AS STRING)"
-    member = (
-        f"exists({items}, e -> schema_of_variant(e) = 'STRING' AND CAST(e AS STRING) = {wanted})"
-    )
+    member = _member(items, wanted)
     return (
         f"CASE WHEN {field} IS NULL OR {kind} = 'VOID' THEN {default} "
         f"WHEN {kind} = 'STRING' THEN contains(coalesce(nullif({text}, ''), {literal(FALSY_DEFAULT)}), {wanted}) "

@@ -128,13 +128,24 @@ class EventMapping:
 
 
 def prune(document: Any, name: str) -> Any:
-    """Drop entries with this key or value, and list elements equal to it."""
-    if isinstance(document, dict):
-        kept = ((k, v) for k, v in document.items() if k != name and v != name)
-        return {k: prune(v, name) for k, v in kept}
-    if isinstance(document, list):
-        return [prune(v, name) for v in document if v != name]
-    return document
+    """JSON value without entries that have this key or value, or list elements equal to it.
+
+    Every object and list of the result is filled from a work list, however deep it lies.
+    """
+    holder: list[Any] = [None]
+    waiting = [(holder, 0, document)]
+    while waiting:
+        parent, place, value = waiting.pop()
+        if isinstance(value, dict):
+            parent[place] = own = {k: None for k, v in value.items() if name not in (k, v)}
+            waiting += [(own, k, value[k]) for k in own]
+        elif isinstance(value, list):
+            left = [v for v in value if v != name]
+            parent[place] = own = [None] * len(left)
+            waiting += [(own, i, v) for i, v in enumerate(left)]
+        else:
+            parent[place] = value
+    return holder[0]
 
 
 def parse_condition(text: str) -> Condition:
@@ -256,7 +267,7 @@ def _rule(event_type: str, source: str, item: dict[str, Any], terms: dict[str, d
         targets=targets,
         branches=branches,
         transform=item.get("transform"),
-        output_type=item.get("output_type"),
+        output_type=_present(item, "output_type", where),
         prefix=item.get("concat_string"),
     )
     if rule.normalizes:
@@ -269,6 +280,13 @@ def _rule(event_type: str, source: str, item: dict[str, Any], terms: dict[str, d
     return rule
 
 
+def _present(item: dict[str, Any], name: str, where: str) -> Any:
+    """The entry, None when there is none; an explicit null is refused."""
+    if name in item and item[name] is None:
+        raise MappingError(f"{where}: {name} may be left out, but not null")
+    return item.get(name)
+
+
 def _check_layout(where: str, paths: set[tuple[str, ...]]) -> None:
     """One value per path, none above another, none inside the raw event."""
     spelled: dict[tuple[str, ...], tuple[str, ...]] = {}

@@ -6,6 +6,7 @@ operator itself. Nested results are flattened to scalar columns.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable
 
@@ -25,7 +26,8 @@ from auditlake.sources.lookups import enums_frame, rules_frame, terms_frame, typ
 from auditlake.sources.terms import ENUMS, TERMS
 from auditlake.sources.workspace import fresh_folder
 from auditlake.streaming.ingest import ingest_stream
-from auditlake.streaming.loading import LoadJob, load_batch, write_classes
+from auditlake.streaming.loading import LoadJob, LoadResult, load_batch, load_tables, write_classes
+from auditlake.streaming.position import Position, PositionStore, run_once
 from auditlake.streaming.position import clamp_checkpoint as clamp_saved
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,13 +50,8 @@ CLAMP_NOW = "2024-01-30T12:00:00Z"
 
 
 def query(function: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # days and epoch seconds are defined in UTC
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return function(spark, sf_dir)
-
-    QUERIES[function.__name__] = run
-    return run
+    QUERIES[function.__name__] = function
+    return function
 
 
 def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +130,10 @@ def with_caption(spark: SparkSession, raw: DataFrame) -> DataFrame:
 
 
 def landed(spark: SparkSession, job: LoadJob, raw: DataFrame) -> DataFrame:
+    if job.one_scan:
+        record = job.compiled(raw).transform(raw).schema
+        keys = ("class_name", *lake.PARTITION_KEYS)
+        return flat(lake.read_lake(spark, job.shared_location(), record, keys), *lake.PARTITION_KEYS)
     parts = []
     for class_name in job.mapping.classes():
         record = job.compiled(raw, class_name).transform(raw).schema
@@ -184,6 +185,34 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, job, raw)
 
 
+@query
+def one_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_of(spark, sf_dir)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "one-scan"), fx.TENANT, one_scan=True)
+    load_batch(raw, job, 0)
+    return landed(spark, job, raw)
+
+
+@query
+def table_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class tables of the catalog, staged as JSON lines, to their routes in the lake."""
+    raw = raw_of(spark, sf_dir)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "from-tables"), fx.TENANT)
+    folder = fresh_folder(spark, "staged")
+    database = f"auditlake_staged_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{folder}-catalog'")
+    tables = {}
+    for class_name in job.mapping.classes():
+        records = job.compiled(raw, class_name).transform(raw)
+        tables[class_name] = f"staged_{class_name}"
+        records.write.mode("overwrite").json(f"{folder}/{class_name}")
+        spark.catalog.createTable(
+            f"{database}.{tables[class_name]}", path=f"{folder}/{class_name}", source="json", schema=records.schema
+        )
+    load_tables(spark, database, tables, job)
+    return landed(spark, job, raw)
+
+
 @query
 def route_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = records_of(raw_of(spark, sf_dir))
@@ -641,6 +670,11 @@ def page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.page(raw_of(spark, sf_dir).select("id", "type", "created"), "not a number", 250)
 
 
+@query
+def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paging.page(raw_of(spark, sf_dir).select("id", "type", "created"), 300, 600, shallow=100)
+
+
 @query
 def append_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = raw_between(spark, sf_dir, None, "2024-01-20T00:00:00.000Z")
@@ -754,30 +788,62 @@ def type_clause(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming and incremental --------------------------------------------------
 
 
-def _ingested(spark: SparkSession, sf_dir: str, name: str) -> tuple[LoadJob, DataFrame, int]:
-    """Stream the events into a fresh lake; job, raw schema and last batch id."""
+def _ingested(spark: SparkSession, sf_dir: str, name: str, *, load=None, **options) -> tuple[LoadJob, DataFrame]:
+    """Stream the events into a fresh lake; job and raw schema."""
     # a pattern, as a stream takes a file or a folder of files only through one
-    events = raw_source.stream_events(spark, f"{sf_dir}/events.parque[t]", schema=EVENTS_SCHEMA)
+    events = raw_source.stream_events(spark, f"{sf_dir}/events.parque[t]", schema=EVENTS_SCHEMA, **options)
     raw = fx.audit_view(events)
-    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, name), fx.TENANT)
-    batches = []
-    running = ingest_stream(raw, job, fresh_folder(spark, f"{name}-offsets"), batches.append)
-    running.awaitTermination()
-    return job, raw, max(b.batch_id for b in batches)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, name), fx.TENANT, one_scan=True)
+    ingest_stream(raw, job, fresh_folder(spark, f"{name}-offsets"), load=load).awaitTermination()
+    return job, raw
 
 
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job, raw, _ = _ingested(spark, sf_dir, "stream")
-    return landed(spark, job, raw)
+    return landed(spark, *_ingested(spark, sf_dir, "stream"))
+
+
+def load_twice(batch: DataFrame, job: LoadJob, batch_id: int, run: str) -> LoadResult:
+    """As after a crash between the write and its commit."""
+    load_batch(batch, job, batch_id, run)
+    return load_batch(batch, job, batch_id, run)
 
 
 @query
 def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job, raw, batch_id = _ingested(spark, sf_dir, "replay")
-    # as after a crash between the write and its commit
-    load_batch(raw_of(spark, sf_dir), job, batch_id)
-    return landed(spark, job, raw).groupBy("class_name", "eventDay").agg(F.count("*").alias("n_events"))
+    found = landed(spark, *_ingested(spark, sf_dir, "replay", load=load_twice))
+    return found.groupBy("class_name", "eventDay").agg(F.count("*").alias("n_events"))
+
+
+def _run_in_steps(spark: SparkSession, sf_dir: str, name: str, store_type=PositionStore) -> DataFrame:
+    """Two runs at two clocks, from the default start."""
+    raw = raw_of(spark, sf_dir)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, name), fx.TENANT, one_scan=True)
+    store = store_type(spark, fresh_folder(spark, f"{name}-position"))
+    run_once(raw, job, store, SAFETY_NOW)
+    # what a crash left planned is loaded again before anything new
+    run_once(raw, job, PositionStore(spark, store.path), fx.NOW)
+    run_once(raw, job, PositionStore(spark, store.path), fx.NOW)
+    return landed(spark, job, raw)
+
+
+@query
+def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_in_steps(spark, sf_dir, "batch")
+
+
+class LosesCommits(PositionStore):
+    """A store whose writer dies after each load, before the commit."""
+
+    def write(self, state: Position) -> None:
+        if not state.committed:
+            super().write(state)
+
+
+@query
+def batch_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _run_in_steps(spark, sf_dir, "batch-replay", LosesCommits)
+    return found.groupBy("class_name", "eventDay").agg(F.count("*").alias("n_events"))
 
 
 @query

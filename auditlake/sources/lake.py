@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,13 +82,14 @@ def write_lake(
     *,
     keys: tuple[str, ...] = PARTITION_KEYS,
     cluster_on: tuple[str, ...] = ("eventDay",),
-    batch_id: int | None = None,
+    batch: str | None = None,
 ) -> Observation:
     """Append keyed records to a lake folder; gives the row counts of this write.
 
     An empty ``cluster_on`` skips the shuffle, for input already ordered by time.
-    With a ``batch_id`` the rows go to a ``batch=<id>`` leaf below each day and a
-    repeat of the batch replaces its own leaves only, so a replay changes nothing.
+    Rows go to a ``batch=<name>`` leaf below each day, of a name of its own when none is
+    given. A repeat under the same name replaces its own leaves only, so a replay changes
+    nothing; a name must therefore never be used for other rows.
 
     The counts are observed in the stage that writes, above any shuffle, where a
     retried task is counted once.
@@ -95,20 +98,17 @@ def write_lake(
     if cluster_on:
         records = clustered(records, *cluster_on)
     records = records.observe(observation, *class_counts())
-    if batch_id is None:
-        records.write.mode("append").partitionBy(*keys).parquet(path)
-    else:
-        (
-            records.withColumn(BATCH_KEY, F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*keys, BATCH_KEY)
-            .parquet(path)
-        )
+    (
+        records.withColumn(BATCH_KEY, F.lit(batch or f"append-{uuid.uuid4().hex}"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys, BATCH_KEY)
+        .parquet(path)
+    )
     return observation
 
 
-def write_lake_once(records: DataFrame, path: str, *, batch_id: int | None = None) -> Observation:
+def write_lake_once(records: DataFrame, path: str, *, batch: str | None = None) -> Observation:
     """All classes in one scan, under ``class_name=<class>`` folders of one record shape.
 
     The per-class folders need one scan of the raw events each; this layout is for
@@ -119,7 +119,7 @@ def write_lake_once(records: DataFrame, path: str, *, batch_id: int | None = Non
         path,
         keys=("class_name", *PARTITION_KEYS),
         cluster_on=("class_name", "eventDay"),
-        batch_id=batch_id,
+        batch=batch,
     )
 
 
@@ -133,9 +133,16 @@ def lake_schema(record: T.StructType, keys: tuple[str, ...] = PARTITION_KEYS) ->
 def read_lake(
     spark: SparkSession, path: str, record: T.StructType, keys: tuple[str, ...] = PARTITION_KEYS
 ) -> DataFrame:
-    """Records of a lake folder; filters on the keys prune partitions."""
+    """Records of a lake folder; filters on the keys prune partitions. A folder that
+    nothing was written to yet has no records."""
     schema = lake_schema(record, keys)
-    return spark.read.schema(schema).parquet(path).select(*[f"`{n}`" for n in schema.fieldNames()])
+    try:
+        found = spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return found.select(*[f"`{n}`" for n in schema.fieldNames()])
 
 
 def register_table(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> None:

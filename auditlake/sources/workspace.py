@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,12 +12,16 @@ _FALLBACK: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder if it is unset."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder of a local session that
+    sets none. On a cluster other machines could not see that one, so it is refused."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
         return base.rstrip("/")
-    # unset, as in local tests; a cluster names its own
-    return _FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="auditlake-"))
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    if "dir" not in _FALLBACK:
+        _FALLBACK["dir"] = tempfile.mkdtemp(prefix="auditlake-")
+    return _FALLBACK["dir"]
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from auditlake.functions.temporal import SAFETY_LAG_MINUTES
+from auditlake.sources.raw import require_utc
 from auditlake.streaming.loading import LoadJob, LoadResult, load_batch
 
 
@@ -17,6 +18,7 @@ def ingest_stream(
     job: LoadJob,
     checkpoint: str,
     on_batch: Callable[[LoadResult], None] | None = None,
+    load: Callable[[DataFrame, LoadJob, int, str], LoadResult] | None = None,
 ) -> StreamingQuery:
     """Read what is there since the checkpoint, load it, stop.
 
@@ -24,15 +26,23 @@ def ingest_stream(
     in between, the same files come again under the same batch id and replace their
     own leaves, so each event lands once.
 
-    A micro-batch arrives as computed rows, past any pushdown, and each class folder
-    is a write of its own. The batch is therefore kept on executor disks while it is
-    loaded; its size is bounded by the source, and a lost block is read again.
+    Leaves are named after the stream, by the id that Spark keeps in the checkpoint, so
+    several streams and runs can write to one lake.
+
+    A micro-batch arrives as computed rows, past any pushdown. A job with ``one_scan``
+    reads it once. Otherwise each class folder is a write of its own, and the batch is
+    kept on executor disks meanwhile; its size is bounded by the source, and a lost block
+    is read again.
     """
+    require_utc(events.sparkSession)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.DISK_ONLY)
+        # a repeat of the batch has the same name, also after a restart
+        run = "stream-" + batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not job.one_scan:
+            batch.persist(StorageLevel.DISK_ONLY)
         try:
-            loaded = load_batch(batch, job, batch_id)
+            loaded = (load or load_batch)(batch, job, batch_id, run)
         finally:
             batch.unpersist()
         if on_batch:

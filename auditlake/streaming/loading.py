@@ -2,27 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+import uuid
+from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.functions.temporal import event_day
+from auditlake.functions.sqltext import literal
+from auditlake.functions.temporal import event_day, instant
+from auditlake.operators.filters import is_empty
 from auditlake.operators.metrics import observed
 from auditlake.operators.paging import append_pages
-from auditlake.plans.compiler import CompiledMapping, compile_mapping
+from auditlake.plans.compiler import CompiledMapping, Hook, compile_mapping
 from auditlake.plans.mapping import EventMapping
-from auditlake.sources.lake import BATCH_KEY, Tenant, routes, with_partition_keys, write_lake, write_lake_once
+from auditlake.sources.lake import (
+    BATCH_KEY,
+    Tenant,
+    routes,
+    tenant_columns,
+    with_partition_keys,
+    write_lake,
+    write_lake_once,
+)
+from auditlake.sources.raw import require_utc, scan_table
 
 REJECTED_FOLDER = "rejected"
 
 
 @dataclass(frozen=True)
 class LoadJob:
-    """What to load where. ``on_bad`` is ``fail`` or ``side``."""
+    """What to load where. ``on_bad`` is ``fail`` or ``side``.
+
+    With ``one_scan`` all classes are written in one pass over the raw events, below
+    ``class_name=`` folders, instead of each to its own folder in a pass of its own.
+    """
 
     mapping: EventMapping
     root: str
@@ -32,6 +49,10 @@ class LoadJob:
     on_bad: str = "fail"
     cluster_on: tuple[str, ...] = ("eventDay",)
     variant_column: str | None = None
+    target_types: Mapping[str, str] | None = None
+    hooks: Mapping[str, Hook] | None = None
+    ignore_offset: bool = False
+    one_scan: bool = False
 
     def created_sql(self, record: bool) -> str:
         """Creation time in a raw event, or in the ``data`` of a record."""
@@ -56,6 +77,9 @@ class LoadJob:
             class_name,
             variant_column=self.variant_column,
             time_paths=self.time_paths,
+            target_types=self.target_types,
+            hooks=self.hooks,
+            ignore_offset=self.ignore_offset,
         )
 
 
@@ -70,19 +94,23 @@ class LoadResult:
         return sum(self.per_class.values())
 
 
-def load_batch(raw: DataFrame, job: LoadJob, batch_id: int) -> LoadResult:
+def load_batch(raw: DataFrame, job: LoadJob, batch_id: int, run: str = "run") -> LoadResult:
     """Write one batch of raw events; repeating it leaves the lake unchanged.
 
-    A failure propagates, so the caller does not move its position. Events without a
-    type or a usable day go to the side table.
+    ``run`` names the source of batch ids; two that write to one lake need two names. A
+    failure propagates, so the caller does not move its position. Events without a type
+    or a usable day go to the side table.
     """
-    written = write_classes(raw, job, batch_id)
+    require_utc(raw.sparkSession)
+    if job.one_scan:
+        return load_in_one_scan(raw, job, batch_id, run)
+    written = write_classes(raw, job, f"{run}-{batch_id}")
     suspects = [c for c, (_, suspect) in written.items() if suspect]
-    rejected = _write_rejected(rejected_events(raw, job, suspects), job, batch_id)
+    rejected = _write_rejected(rejected_events(raw, job, suspects), job, f"{run}-{batch_id}")
     return LoadResult(batch_id, {c: n for c, (n, _) in written.items()}, rejected)
 
 
-def write_classes(raw: DataFrame, job: LoadJob, batch_id: int | None = None) -> dict[str, tuple[int, bool]]:
+def write_classes(raw: DataFrame, job: LoadJob, batch: str | None = None) -> dict[str, tuple[int, bool]]:
     """Map the events of each class and write them to its folder.
 
     Each class reads its own types only. The classes are independent jobs: the next
@@ -99,7 +127,7 @@ def write_classes(raw: DataFrame, job: LoadJob, batch_id: int | None = None) ->
             keyed.filter("eventDay IS NOT NULL"),
             job.location(class_name),
             cluster_on=job.cluster_on,
-            batch_id=batch_id,
+            batch=batch,
         )
         # A retried task may count twice, which still tells none from some. Without
         # a count every row may have been filtered out.
@@ -112,19 +140,25 @@ def write_classes(raw: DataFrame, job: LoadJob, batch_id: int | None = None) ->
         return dict(zip(classes, pool.map(run, classes), strict=True))
 
 
-def load_in_one_scan(raw: DataFrame, job: LoadJob, batch_id: int) -> LoadResult:
+def load_in_one_scan(raw: DataFrame, job: LoadJob, batch_id: int, run: str = "run") -> LoadResult:
     """Like :func:`load_batch`, but all classes go to ``class_name=`` folders in one job.
 
-    For large backfills: the raw events are read and mapped once, to the record shape
-    all classes share.
+    The raw events are read and mapped once, to the record shape all classes share. What
+    may have to go to the side table is counted in that pass; only if there is something
+    are the events read again to find it.
     """
-    records = job.compiled(raw).transform(raw, job.on_bad)
+    require_utc(raw.sparkSession)
+    compiled = job.compiled(raw)
+    no_type = F.expr(f"{compiled.type_sql} IS NULL")
+    typed = Observation()
+    records = compiled.transform(raw.observe(typed, F.count_if(no_type).alias("untyped")), job.on_bad)
     keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True))
     seen = Observation()
     keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless"))
-    written = write_lake_once(keyed.filter("eventDay IS NOT NULL"), job.shared_location(), batch_id=batch_id)
+    written = write_lake_once(keyed.filter("eventDay IS NOT NULL"), job.shared_location(), batch=f"{run}-{batch_id}")
     suspects = [] if (observed(seen) or {}).get("dayless") == 0 else job.mapping.classes()
-    rejected = _write_rejected(rejected_events(raw, job, suspects), job, batch_id)
+    aside = suspects or (observed(typed) or {}).get("untyped") != 0 or (job.on_bad == "side" and compiled.bad)
+    rejected = _write_rejected(rejected_events(raw, job, suspects), job, f"{run}-{batch_id}") if aside else 0
     counts = observed(written) or {}
     return LoadResult(batch_id, {c: counts.get(c, 0) for c in job.mapping.classes()}, rejected)
 
@@ -147,14 +181,73 @@ def rejected_events(raw: DataFrame, job: LoadJob, suspects: Collection[str] | No
     return append_pages(*parts)
 
 
-def _write_rejected(rejected: DataFrame, job: LoadJob, batch_id: int) -> int:
+def _write_rejected(rejected: DataFrame, job: LoadJob, batch: str) -> int:
+    """Add to the side table, below the tenant and the batch."""
     counted = Observation()
     (
-        rejected.observe(counted, F.count(F.lit(1)).alias("n"))
-        .withColumn(BATCH_KEY, F.lit(batch_id))
+        tenant_columns(rejected.observe(counted, F.count(F.lit(1)).alias("n")), job.tenant)
+        .withColumn(BATCH_KEY, F.lit(batch))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_KEY)
+        .partitionBy("region", "accountId", BATCH_KEY)
         .parquet(job.rejected_location())
     )
     return (observed(counted) or {}).get("n", 0)
+
+
+def write_unreadable(source: DataFrame, job: LoadJob) -> int:
+    """Put events that no time range can pick, for want of a type or a time, aside.
+
+    Every one goes to the side table once, however often this runs: those that are there
+    already are left out. Gives the number added.
+    """
+    created = instant(job.created_sql(record=False))
+    type_sql = job.compiled(source).type_sql
+    wanted = ", ".join(literal(t) for t in job.mapping.wanted_types)
+    bad = source.filter(f"{type_sql} IS NULL OR {type_sql} IN ({wanted})").filter(
+        F.expr(f"{type_sql} IS NULL") | created.isNull()
+    )
+    reason = F.when(F.expr(f"{type_sql} IS NULL"), "event has no type").otherwise("event has no usable day")
+    bad = bad.select(F.to_json(F.struct("*")).alias("event"), reason.alias("reason")).distinct()
+    try:
+        known = source.sparkSession.read.schema("event string, region string, accountId string").parquet(
+            job.rejected_location()
+        )
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        own = (F.col("region") == job.tenant.region) & (F.col("accountId") == job.tenant.account_id)
+        bad = bad.join(known.filter(own).select("event"), "event", "left_anti")
+    if bad.isEmpty():
+        return 0
+    return _write_rejected(bad, job, f"unreadable-{uuid.uuid4().hex}")
+
+
+def load_tables(spark: SparkSession, database: str, tables: Mapping[str, str], job: LoadJob) -> dict[str, int]:
+    """Load staged class tables of the catalog into the lake; gives the rows of each class.
+
+    ``tables`` names the table of each class. Its records are appended to the route of
+    the class with day and tenant; a table without rows is passed over. Records without
+    a usable day go to the side table.
+    """
+    require_utc(spark)
+    loaded = {}
+    for class_name, name in tables.items():
+        staged = scan_table(spark, database, name)
+        if is_empty(staged):
+            loaded[class_name] = 0
+            continue
+        keyed = with_partition_keys(staged, job.tenant, job.created_sql(record=True))
+        seen = Observation()
+        keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless"))
+        counts = write_lake(
+            keyed.filter("eventDay IS NOT NULL"), job.location(class_name), cluster_on=job.cluster_on
+        )
+        loaded[class_name] = (observed(counts) or {}).get("transformed", 0)
+        if (observed(seen) or {}).get("dayless") != 0:
+            dayless = staged.filter(event_day(job.created_sql(record=True)).isNull()).select(
+                F.to_json(F.struct("*")).alias("event"), F.lit("event has no usable day").alias("reason")
+            )
+            _write_rejected(dayless, job, f"staged-{uuid.uuid4().hex}")
+    return loaded

@@ -7,6 +7,7 @@ neither loses nor doubles events.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -17,19 +18,22 @@ from auditlake.functions.temporal import SAFETY_LAG_MINUTES, clamp_position, ins
 from auditlake.operators.filters import DEFAULT_START, of_types, time_range, upper_bound
 from auditlake.operators.metrics import next_position
 from auditlake.operators.paging import bounded_batch
-from auditlake.streaming.loading import LoadJob, LoadResult, load_batch
+from auditlake.sources.raw import require_utc
+from auditlake.streaming.loading import LoadJob, LoadResult, load_batch, write_unreadable
 
-STATE_COLUMNS = "batch_id bigint, committed boolean, position string, until string, slot int"
+STATE_COLUMNS = "batch_id bigint, committed boolean, position string, until string, run string, slot int"
 
 
 @dataclass(frozen=True)
 class Position:
-    """``position`` is where reading starts, ``until`` the inclusive end of a plan."""
+    """``position`` is where reading starts, ``until`` the inclusive end of a plan, and
+    ``run`` the name that the store was given with its first plan."""
 
     batch_id: int
     committed: bool
     position: str | None
     until: str | None = None
+    run: str = ""
 
 
 class PositionStore:
@@ -52,11 +56,11 @@ class PositionStore:
             raise
         if latest is None:
             return None
-        return Position(latest.batch_id, latest.committed, latest.position, latest.until)
+        return Position(latest.batch_id, latest.committed, latest.position, latest.until, latest.run or "")
 
     def write(self, state: Position) -> None:
         slot = 2 * (state.batch_id % 2) + int(state.committed)
-        row = (state.batch_id, state.committed, state.position, state.until, slot)
+        row = (state.batch_id, state.committed, state.position, state.until, state.run, slot)
         (
             self.spark.createDataFrame([row], STATE_COLUMNS)
             .coalesce(1)
@@ -91,8 +95,12 @@ def run_once(
 
     Takes everything newer than the position that has settled; with ``bounded`` only
     about ``limit`` of the oldest. Gives None when there is nothing to read. The
-    position moves last, past every event read.
+    position moves last, past every event read. Events without a type or a usable time
+    are in no range; the new ones among them go to the side table and are counted as
+    rejected.
     """
+    require_utc(store.spark)
+    aside = write_unreadable(source, job)
     last = store.read()
     wanted = of_types(source, job.mapping.wanted_types)
     if last is not None and not last.committed:
@@ -107,10 +115,12 @@ def run_once(
             ready = bounded_batch(ready, limit).rows
         until = next_position(ready).first().next_checkpoint
         if until is None:
-            return None
-        plan = Position(last.batch_id + 1 if last else 0, False, after, until)
+            return LoadResult(last.batch_id if last else -1, rejected=aside) if aside else None
+        run = last.run if last and last.run else f"run-{uuid.uuid4().hex}"
+        plan = Position(last.batch_id + 1 if last else 0, False, after, until, run)
         store.write(plan)
     rows = time_range(wanted, plan.position, plan.until, inclusive_end=True)
-    loaded = load_batch(rows, job, plan.batch_id)
-    store.write(Position(plan.batch_id, True, plan.until))
+    loaded = load_batch(rows, job, plan.batch_id, plan.run)
+    loaded.rejected += aside
+    store.write(Position(plan.batch_id, True, plan.until, run=plan.run))
     return loaded

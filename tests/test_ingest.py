@@ -5,13 +5,17 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from auditlake import fixtures as fx
-from conftest import SMALL_DIR
-from auditlake.operators import filters
+from auditlake import queries
+from auditlake.operators import filters, paging
+from auditlake.plans.mapping import load_mapping
 from auditlake.sources import lake, raw as raw_source
-from auditlake.streaming import ingest, position
+from auditlake.sources.terms import ENUMS, TERMS
+from auditlake.streaming import ingest, loading, position
+from conftest import SMALL_DIR
 from auditlake.streaming.ingest import ingest_stream, without_replays
 from auditlake.streaming.loading import LoadJob
 from auditlake.streaming.position import Position, PositionStore, run_once
@@ -63,8 +67,8 @@ def test_stream_crash_before_commit_replays_once(spark, landed, tmp_path, monkey
     job = LoadJob(fx.demo_mapping(), str(tmp_path / "lake"), fx.TENANT)
     load = ingest.load_batch
 
-    def crash_after_writing(raw, job, batch_id):
-        load(raw, job, batch_id)
+    def crash_after_writing(*batch):
+        load(*batch)
         raise RuntimeError("lost the driver")
 
     monkeypatch.setattr(ingest, "load_batch", crash_after_writing)
@@ -112,8 +116,8 @@ def test_run_crash_before_commit_repeats_the_plan(spark, landed, tmp_path, monke
     source = raw_source.scan_events(spark, landed)
     load = position.load_batch
 
-    def crash_after_writing(raw, job, batch_id):
-        load(raw, job, batch_id)
+    def crash_after_writing(*batch):
+        load(*batch)
         raise RuntimeError("lost the driver")
 
     monkeypatch.setattr(position, "load_batch", crash_after_writing)
@@ -124,7 +128,7 @@ def test_run_crash_before_commit_repeats_the_plan(spark, landed, tmp_path, monke
     monkeypatch.setattr(position, "load_batch", load)
     # the clock has moved on, the plan has not
     run_once(source, job, store, fx.NOW)
-    assert store.read() == Position(0, True, planned.until)
+    assert store.read() == Position(0, True, planned.until, run=planned.run)
     assert ids(lake_rows(spark, job)) == expected_ids(spark, landed, before="2024-01-11T23:00:00Z")
     run_once(source, job, store, fx.NOW)
     assert ids(lake_rows(spark, job)) == expected_ids(spark, landed, before="2024-01-30T23:00:00Z")
@@ -206,3 +210,124 @@ def test_failed_load_leaves_the_position(spark, landed, tmp_path, monkeypatch):
             run_once(source, job, store, fx.NOW)
         assert store.read().position == filters.DEFAULT_START
         assert not store.read().committed
+
+
+def all_ids(spark, job):
+    """Ids of all records and of all side rows."""
+    found = []
+    for class_name in job.mapping.classes():
+        found += ids(lake_rows(spark, job, class_name))
+    try:
+        side = spark.read.parquet(job.rejected_location()).collect()
+    except AnalysisException:
+        side = []
+    return sorted(found, key=int), sorted((json.loads(r.event)["id"] for r in side), key=int)
+
+
+def put(spark, path, *events):
+    spark.createDataFrame([(json.dumps(e),) for e in events], "value string").coalesce(1).write.mode("append").text(str(path))
+
+
+def auth(n, created="2024-01-05T10:00:00Z", **more):
+    return {"id": str(n), "type": "AUTH", "created": created, **more}
+
+
+def test_run_and_streams_share_a_lake(spark, tmp_path):
+    job = LoadJob(fx.demo_mapping(), str(tmp_path / "lake"), fx.TENANT)
+    put(spark, tmp_path / "one", *[auth(n) for n in range(10)])
+    put(spark, tmp_path / "two", *[auth(n) for n in range(10, 13)])
+    put(spark, tmp_path / "three", auth(13), auth(14, "soon"))
+    run_once(raw_source.scan_events(spark, str(tmp_path / "one"), "json"), job, PositionStore(spark, str(tmp_path / "p")), fx.NOW)
+    for name in ("two", "three"):
+        events = raw_source.stream_events(spark, str(tmp_path / name), "json")
+        ingest_stream(events, job, str(tmp_path / f"offsets-{name}")).awaitTermination()
+    assert all_ids(spark, job) == ([str(n) for n in range(14)], ["14"])
+
+
+def test_tenants_keep_their_own_side_rows(spark, tmp_path):
+    for tenant, bad in ((lake.Tenant("r", "111"), (1, 2)), (lake.Tenant("r", "222"), (3,))):
+        job = LoadJob(fx.demo_mapping(), str(tmp_path / "lake"), tenant)
+        put(spark, tmp_path / tenant.account_id, *[auth(n, "soon") for n in bad])
+        loading.load_batch(raw_source.scan_events(spark, str(tmp_path / tenant.account_id), "json"), job, 0)
+    assert all_ids(spark, job)[1] == ["1", "2", "3"]
+
+
+@pytest.mark.parametrize("one_scan", [False, True])
+def test_events_out_of_any_range_go_aside_once(spark, tmp_path, one_scan):
+    job = LoadJob(fx.demo_mapping(), str(tmp_path / "lake"), fx.TENANT, one_scan=one_scan)
+    store = PositionStore(spark, str(tmp_path / "p"))
+    put(spark, tmp_path / "in", auth(1), auth(2, "soon"), auth(3, None), {"id": "4", "created": "2024-01-05T10:00:00Z"}, auth(5, "soon", type="UNMAPPED"))
+    source = raw_source.scan_events(spark, str(tmp_path / "in"), "json")
+    done = run_once(source, job, store, fx.NOW)
+    assert (done.transformed, done.rejected) == (1, 3)
+    assert run_once(source, job, store, fx.NOW) is None
+    put(spark, tmp_path / "in", auth(6, "later"))
+    source = raw_source.scan_events(spark, str(tmp_path / "in"), "json")
+    done = run_once(source, job, store, fx.NOW)
+    assert (done.transformed, done.rejected) == (0, 1)
+    assert run_once(source, job, store, fx.NOW) is None
+    side = spark.read.parquet(job.rejected_location()).collect()
+    assert sorted(json.loads(r.event)["id"] for r in side) == ["2", "3", "4", "6"]
+
+
+def test_any_bound_is_taken_as_given(spark):
+    ticks = spark.range(15_500).selectExpr("CAST(id AS STRING) AS id", "timestamp_seconds(id) AS created")
+    assert paging.bounded_batch(ticks, 15_000).rows.count() == 15_000
+    assert paging.bounded_batch(ticks, 0).rows.count() == paging.bounded_batch(ticks, None).rows.count() == 15_500
+
+
+def test_stream_queries_are_right_for_many_batches_and_none(spark, tmp_path):
+    events = spark.read.parquet(f"{SMALL_DIR}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "three" / "events.parquet"))
+    events.limit(0).write.parquet(str(tmp_path / "none" / "events.parquet"))
+    job, raw = queries._ingested(spark, str(tmp_path / "three"), "t", load=queries.load_twice, max_files=1)
+    found = queries.landed(spark, job, raw)
+    expected = queries.stream_ingest(spark, SMALL_DIR)
+    assert found.count() == expected.count() and found.exceptAll(expected).isEmpty()
+    assert queries.stream_commit(spark, str(tmp_path / "none")).isEmpty()
+
+
+def test_one_scan_reads_clean_events_once(spark, landed, tmp_path):
+    """Clean events cost one pass; one without a type costs the search for it as well."""
+    clean = raw_source.scan_events(spark, landed).filter("type IS NOT NULL")
+    jobs = []
+    for name, raw in (("clean", clean), ("bad", raw_source.scan_events(spark, landed).withColumn("type", F.expr("nullif(type, 'AUTH')")))):
+        spark.sparkContext.setJobGroup(name, name)
+        job = LoadJob(fx.demo_mapping(), str(tmp_path / name), fx.TENANT, one_scan=True)
+        loading.load_batch(raw, job, 0)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert jobs[0] < jobs[1] and not list((tmp_path / "clean").glob("rejected*"))
+
+
+def test_declared_types_land_from_open_bodies(spark, tmp_path):
+    document = json.loads(json.dumps(fx.DEMO_MAPPING))
+    document["AUTH"]["fieldMappings"]["size"] = [{"target_field": "metadata.size"}]
+    mapping = load_mapping(json.dumps(document), TERMS, ENUMS)
+    put(spark, tmp_path / "in", auth(1, size=5_000_000_000))
+    job = LoadJob(
+        mapping, str(tmp_path / "lake"), fx.TENANT, variant_column="body", target_types={"metadata.size": "bigint"}
+    )
+    events = raw_source.stream_open_events(spark, str(tmp_path / "in"))
+    ingest_stream(events, job, str(tmp_path / "offsets")).awaitTermination()
+    assert spark.read.parquet(job.location("authentication")).first().metadata.size == 5_000_000_000
+
+
+@pytest.mark.parametrize("name", ["compile", "load", "one", "run", "stream", "range"])
+def test_other_zones_are_refused(spark, landed, tmp_path, name):
+    raw = raw_source.scan_events(spark, landed)
+    job = LoadJob(fx.demo_mapping(), str(tmp_path / "lake"), fx.TENANT)
+    calls = {
+        "compile": lambda: job.compiled(raw),
+        "load": lambda: loading.load_batch(raw, job, 0),
+        "one": lambda: loading.load_in_one_scan(raw, job, 0),
+        "run": lambda: run_once(raw, job, PositionStore(spark, str(tmp_path / "p")), fx.NOW),
+        "stream": lambda: ingest_stream(raw_source.stream_events(spark, landed), job, str(tmp_path / "o")),
+        "range": lambda: filters.time_range(raw, fx.CHECKPOINT, None),
+    }
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            calls[name]()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

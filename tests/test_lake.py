@@ -29,7 +29,7 @@ def test_partition_layout_and_leading_zero(spark, raw, tmp_path):
     records = records_of(raw, "authentication")
     counts = lake.write_lake(records, str(tmp_path)).get
     assert counts["transformed"] == counts["authentication"] == records.count()
-    leaf = next(tmp_path.glob("region=eu-west-1/accountId=012345678901/eventDay=*/*.parquet"))
+    leaf = next(tmp_path.glob("region=eu-west-1/accountId=012345678901/eventDay=*/batch=*/*.parquet"))
     assert leaf.exists()
     back = lake.read_lake(spark, str(tmp_path), records.schema)
     assert back.select("accountId").distinct().collect() == [("012345678901",)]
@@ -41,17 +41,17 @@ def test_partition_layout_and_leading_zero(spark, raw, tmp_path):
 def test_append_adds_and_batch_replay_replaces(spark, raw, tmp_path):
     records = records_of(raw, "scheduled_job_activity")
     total = records.count()
-    for folder, batch_ids, expected in (("append", (None, None), 2), ("replay", (3, 3), 1), ("two", (3, 4), 2)):
+    for folder, batches, expected in (("append", (None, None), 2), ("replay", ("a-3", "a-3"), 1), ("two", ("a-3", "b-3"), 2), ("mixed", (None, "a-0"), 2)):
         path = str(tmp_path / folder)
-        for batch_id in batch_ids:
-            lake.write_lake(records, path, batch_id=batch_id)
+        for batch in batches:
+            lake.write_lake(records, path, batch=batch)
         assert lake.read_lake(spark, path, records.schema).count() == expected * total
 
 
 def test_small_batch_leaves_the_rest_of_its_day(spark, raw, tmp_path):
     records = records_of(raw, "authentication")
-    lake.write_lake(records, str(tmp_path), batch_id=0)
-    lake.write_lake(records.filter("eventDay = '20240105'").limit(5), str(tmp_path), batch_id=1)
+    lake.write_lake(records, str(tmp_path), batch="a-0")
+    lake.write_lake(records.filter("eventDay = '20240105'").limit(5), str(tmp_path), batch="a-1")
     assert lake.read_lake(spark, str(tmp_path), records.schema).count() == records.count() + 5
 
 
@@ -69,8 +69,8 @@ def test_hot_day_is_written_by_many_tasks(spark, tmp_path):
         lake.write_lake(rows, str(tmp_path))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    hot = list(Path(tmp_path).glob("region=r/accountId=0/eventDay=20240101/*.parquet"))
-    cold = list(Path(tmp_path).glob("region=r/accountId=0/eventDay=20240102/*.parquet"))
+    hot = list(Path(tmp_path).glob("region=r/accountId=0/eventDay=20240101/batch=*/*.parquet"))
+    cold = list(Path(tmp_path).glob("region=r/accountId=0/eventDay=20240102/batch=*/*.parquet"))
     assert len(hot) > 4
     assert len(cold) < len(hot)
     assert lake.read_lake(spark, str(tmp_path), rows.schema).count() == 300_000
