@@ -162,6 +162,11 @@ FROM (
               FROM audit a JOIN classes c ON c.type = a.type)))
 GROUP BY class_name""",
     "lake_roundtrip": _LANDED,
+    "file_routes": _AC
+    + """SELECT CASE class_name WHEN 'account_change' THEN 'ext_identity-acct-chng'
+  WHEN 'authentication' THEN 'ext_identity-auth' ELSE 'ext_identity-sched-job' END AS route,
+  CAST(count(*) AS BIGINT) AS n_events
+FROM audit a JOIN classes c ON c.type = a.type GROUP BY ALL""",
     "one_scan_roundtrip": _LANDED,
     "table_to_lake": _LANDED,
     "route_classes": _ALL

@@ -143,12 +143,18 @@ def compile_mapping(
     target_types: Mapping[str, str] | None = None,
     hooks: Mapping[str, Hook] | None = None,
     ignore_offset: bool = False,
+    targets: Collection[str] | None = None,
 ) -> CompiledMapping:
     """Compile the rules of one class, or of all classes into one shared record.
 
     ``df`` gives the raw schema; no data is read. ``time_paths`` are the dotted
     targets that hold a time and become epoch seconds. ``target_types`` declares
     types where the source cannot tell, as with a VARIANT body.
+
+    With ``targets`` the record has ``class_name`` and what lies at or below these dotted
+    paths, ``data`` for the raw event included. Only the lookups they need are joined,
+    and bad values elsewhere do not fail the run; Spark cannot drop a join by itself, as
+    it does not know that its keys are unique.
     """
     require_utc(df.sparkSession)
     body = body_of(df, variant_column)
@@ -165,10 +171,11 @@ def compile_mapping(
     times = {tuple(p.split(".")) for p in time_paths}
 
     leaves: dict[tuple[str, ...], Leaf] = {}
-    values = [f"{body.whole_sql()} AS {ident('data')}"]
+    whole = targets is None or "data" in targets
+    values = [f"{body.whole_sql()} AS {ident('data')}"] if whole else []
     type_sql = ident(_TYPE)
     paths = [("class_name",)]
-    paths += [p for p in _in_order(per_type) if p != ("class_name",)]
+    paths += [p for p in _in_order(per_type) if p != ("class_name",) and _is_wanted(p, targets)]
     for number, path in enumerate(paths):
         found = {t: per_type[t][path] for t in types if path in per_type[t]}
         dtype = declared.get(path) or _common_type([v.dtype for v in found.values()])
@@ -189,10 +196,10 @@ def compile_mapping(
         types=types,
         type_sql=body.type_sql(),
         sources=builder.source_columns(types),
-        lookups=builder.lookups(types),
+        lookups=builder.lookups(types, values),
         values=values,
-        record=[*record, ident("data")],
-        bad=builder.bad_sql(),
+        record=[*record, ident("data")] if whole else record,
+        bad=builder.bad_sql() if targets is None else None,
         undecided_sql=builder.undecided_sql(),
     )
 
@@ -336,17 +343,20 @@ class _Builder:
                 columns.append(f"CAST(NULL AS {slot.dtype.simpleString()}) AS {ident(slot.name + 't')}")
         return columns
 
-    def lookups(self, types: list[str]) -> list[Lookup]:
-        """The table of constants per type, then one per normalized source."""
+    def lookups(self, types: list[str], values: list[str]) -> list[Lookup]:
+        """The table of constants per type, then one per normalized source, with what the
+        values mention."""
         tables = []
-        varying = [s for s in self._slots.values() if not self._uniform(s, types)]
+        mentioned = " ".join(values)
+        used = [s for s in self._slots.values() if ident(s.name) in mentioned or ident(s.name + "t") in mentioned]
+        varying = [s for s in used if not self._uniform(s, types)]
         if varying:
             schema = T.StructType().add(f"{_PREFIX}kt", T.StringType())
             for slot in varying:
                 schema = schema.add(slot.name, slot.dtype)
             tables.append(Lookup(schema, [(t, *[s.by_type.get(t) for s in varying]) for t in types]))
         by_source: dict[str, list[_Slot]] = {}
-        for slot in self._slots.values():
+        for slot in used:
             if slot.by_term:
                 by_source.setdefault(slot.term_sql, []).append(slot)
         for number, (term_sql, slots) in enumerate(by_source.items()):
@@ -383,6 +393,12 @@ class _Builder:
         ]
 
 
+def _is_wanted(path: tuple[str, ...], targets: Collection[str] | None) -> bool:
+    if targets is None:
+        return True
+    return any(path[: len(t)] == t for t in (tuple(target.split(".")) for target in targets))
+
+
 def _note(users: dict[str, list[str]], sql: str, event_type: str) -> None:
     known = users.setdefault(sql, [])
     if event_type not in known:

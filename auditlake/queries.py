@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -69,8 +69,11 @@ def raw_between(spark: SparkSession, sf_dir: str, after: str | None, before: str
     return filters.time_range(fx.audit_view(events), after, before)
 
 
-def records_of(raw: DataFrame, mapping: EventMapping | None = None) -> DataFrame:
-    return compile_mapping(mapping or fx.demo_mapping(), raw, time_paths=fx.TIME_PATHS).transform(raw)
+def records_of(
+    raw: DataFrame, mapping: EventMapping | None = None, targets: Collection[str] | None = None
+) -> DataFrame:
+    compiled = compile_mapping(mapping or fx.demo_mapping(), raw, time_paths=fx.TIME_PATHS, targets=targets)
+    return compiled.transform(raw)
 
 
 def mapping_of(field_mappings: dict, statics: dict | None = None) -> EventMapping:
@@ -215,7 +218,7 @@ def table_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def route_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = records_of(raw_of(spark, sf_dir))
+    records = records_of(raw_of(spark, sf_dir), targets=("data",))
     keyed = lake.with_partition_keys(records, fx.TENANT)
     routed = keyed.withColumn("location", lake.route_of(F.col("class_name")))
     path = F.format_string(
@@ -224,6 +227,18 @@ def route_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.groupBy("class_name", "location", path.alias("path")).agg(F.count("*").alias("n_events"))
 
 
+@query
+def file_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by the lake folder that the files they were written to lie in."""
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "files"), fx.TENANT)
+    write_classes(raw_of(spark, sf_dir), job)
+    parts = []
+    for class_name in job.mapping.classes():
+        files = lake.read_lake(spark, job.location(class_name), T.StructType(), with_path=True)
+        parts.append(files.select(lake.file_route(F.col("path"), job.root).alias("route")))
+    return paging.append_pages(*parts).groupBy("route").agg(F.count("*").alias("n_events"))
+
+
 @query
 def terms_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = terms_frame(spark, TERMS)
@@ -452,7 +467,7 @@ def nested_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def wrap_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records_of(raw_of(spark, sf_dir)).select(
+    return records_of(raw_of(spark, sf_dir), targets=("data",)).select(
         "data.id",
         "data.type",
         "data.created",
@@ -625,7 +640,7 @@ def normalize_to_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def events_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.per_class(records_of(raw_of(spark, sf_dir)))
+    return metrics.per_class(records_of(raw_of(spark, sf_dir), targets=()))
 
 
 @query

@@ -131,7 +131,12 @@ def lake_schema(record: T.StructType, keys: tuple[str, ...] = PARTITION_KEYS) ->
 
 
 def read_lake(
-    spark: SparkSession, path: str, record: T.StructType, keys: tuple[str, ...] = PARTITION_KEYS
+    spark: SparkSession,
+    path: str,
+    record: T.StructType,
+    keys: tuple[str, ...] = PARTITION_KEYS,
+    *,
+    with_path: bool = False,
 ) -> DataFrame:
     """Records of a lake folder; filters on the keys prune partitions. A folder that
     nothing was written to yet has no records."""
@@ -141,8 +146,9 @@ def read_lake(
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
-    return found.select(*[f"`{n}`" for n in schema.fieldNames()])
+        return spark.createDataFrame([], schema.add("path", T.StringType()) if with_path else schema)
+    file = [F.col("_metadata.file_path").alias("path")] if with_path else []
+    return found.select(*[F.col(f"`{n}`") for n in schema.fieldNames()], *file)
 
 
 def register_table(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -31,9 +32,11 @@ HEADLINE = (
     "run_metrics",
     "jsonl_roundtrip",
     "lake_roundtrip",
+    "one_scan_roundtrip",
+    "batch_ingest",
     "stream_ingest",
 )
-PER_SECOND = ("transform_events", "lake_roundtrip", "stream_ingest")
+PER_SECOND = ("transform_events", "lake_roundtrip", "one_scan_roundtrip", "batch_ingest", "stream_ingest")
 
 
 def main() -> None:
@@ -43,6 +46,8 @@ def main() -> None:
         "spark.sql.adaptive.enabled": "true",
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
+        # a folder of its own, as local runs have no shared one
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="auditlake-bench-"),
         "spark.ui.showConsoleProgress": "false",
     }
     builder = SparkSession.builder.master(f"local[{CPUS}]").appName("auditlake-bench")

@@ -52,6 +52,27 @@ def test_unused_raw_fields_are_not_read(stored):
     assert "ReadSchema: struct<id:string,type:string,operation:string,status:string>" in text
 
 
+@pytest.mark.parametrize(
+    ("targets", "joins", "read"),
+    [
+        ((), 1, "struct<type:string>"),
+        (("data",), 1, "struct<id:string,type:string,created:string,operation:string,status:string"),
+        (("status_id",), 2, "struct<type:string,status:string>"),
+        (("activity_id", "activity_name"), 2, "struct<type:string,operation:string>"),
+    ],
+)
+def test_only_the_lookups_of_the_targets_are_joined(stored, targets, joins, read):
+    whole = compile_mapping(fx.demo_mapping(), stored, time_paths=fx.TIME_PATHS)
+    part = compile_mapping(fx.demo_mapping(), stored, time_paths=fx.TIME_PATHS, targets=targets)
+    records = part.transform(stored)
+    assert set(records.columns) == {"class_name", *targets}
+    text = plan(records)
+    assert text.count("BroadcastHashJoin") <= joins and f"ReadSchema: {read}" in text
+    same = whole.transform(stored).select(*records.columns)
+    if "data" not in targets:
+        assert records.exceptAll(same).isEmpty() and same.exceptAll(records).isEmpty()
+
+
 def test_range_and_types_reach_the_scan(spark, sf_dir, stored):
     wanted = filters.of_types(filters.time_range(stored, fx.CHECKPOINT, fx.NOW), ["AUTH", "ACCESS_ITEM"])
     text = plan(wanted.select("id"))
