@@ -17,7 +17,8 @@ read three times; between these, rows of hashes are shuffled.
 
 NULL text stays NULL, empty text stays empty. Rows without an id are left as they are and
 count for no other row. Repeated rows are the same lines at the same place, and stay.
-Input columns that clash with the added ``n_lines`` and ``n_dropped`` are replaced.
+Input columns that clash with the added ``n_lines`` and ``n_dropped`` are replaced, and
+names that begin with ``_gone`` or are ``_raw`` are dropped.
 """
 
 from __future__ import annotations
@@ -163,21 +164,21 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     limits = table(again.unionByName(near).groupBy("lh").agg(F.min("before").alias("before")), "limits")
     dropped = lines.join(limits, "lh").filter(F.struct("doc_id", "line_no") > F.col("before"))
     dropped = table(
-        dropped.select(F.col("doc_id").alias("gone_id"), F.col("body").alias("gone_body"), "line_no"), "dropped"
+        dropped.select(F.col("doc_id").alias("_gone_id"), F.col("body").alias("_gone_body"), "line_no"), "dropped"
     )
-    gone = listed(dropped.groupBy("gone_id", "gone_body").agg(F.collect_set("line_no").alias("gone")), dropped.count())
+    gone = listed(dropped.groupBy("_gone_id", "_gone_body").agg(F.collect_set("line_no").alias("_gone")), dropped.count())
 
-    clash = [c for c in docs.columns if c.lower() in ("n_lines", "n_dropped")]
+    clash = [c for c in docs.columns if c.lower() in ("n_lines", "n_dropped", "_raw", "_gone", "_gone_id", "_gone_body")]
     docs = docs.drop(*clash)
-    joined = docs.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_body")), "left")
+    joined = docs.join(gone, (F.col("doc_id") == F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_body")), "left")
     # a column of its own, so that it is split once and not for each line
-    joined = joined.withColumn("_raw", F.when(F.col("gone").isNotNull(), F.split("text", "\n")))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), F.col("gone"))
+    joined = joined.withColumn("_raw", F.when(F.col("_gone").isNotNull(), F.split("text", "\n")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), F.col("_gone"))
     left = F.array_join(F.transform(stay, lambda i: F.get("_raw", i)), "\n")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("text")
     breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     return joined.select(
         *[text if c == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(breaks + 1).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )

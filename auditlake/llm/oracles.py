@@ -98,35 +98,7 @@ FROM docs LEFT JOIN hit h USING (row) LEFT JOIN named m USING (row)
 
 _ESCAPED = "replace({}, '\\', '\\\\')"
 for _c in CONTROL:
-    OP6 = r"""
-WITH docs AS (
-  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM documents
-), items AS (
-  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark
-), windows AS (
-  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS gram
-  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)
-), found AS (
-  SELECT row, i, g.n, item_id
-  FROM (SELECT row, n, i, array_to_string(w[i : i + n - 1], ' ') AS gram
-    FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)) g
-  JOIN windows v ON v.gram = g.gram AND v.n = g.n
-), hit AS (
-  SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + n)) AS place FROM found) GROUP BY row
-), named AS (
-  SELECT row, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
-  FROM (SELECT DISTINCT row, item_id FROM found) GROUP BY row
-)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
-  CAST(coalesce(m.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
-FROM docs LEFT JOIN hit h USING (row) LEFT JOIN named m USING (row)
-"""
-
-_ESCAPED = f"replace({_ESCAPED}, '{_c}', '{_c[0]}\\{_c[1:]}')"
+    _ESCAPED = f"replace({_ESCAPED}, '{_c}', '{_c[0]}\\{_c[1:]}')"
 
 OP7 = rf"""
 WITH rows AS (
@@ -135,11 +107,11 @@ WITH rows AS (
 ), learned AS (
   SELECT conv_id, string_agg(text, '' ORDER BY turn, text) AS t FROM rows WHERE role = 'assistant' GROUP BY conv_id
 )
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+SELECT r.conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || r.text || chr(10), '' ORDER BY turn, role, r.text)) AS turns_sha256,
   CAST(length(coalesce(any_value(t), '')) AS BIGINT) AS loss_chars, sha256(coalesce(any_value(t), '')) AS loss_sha256,
-  CAST(sum({len("<|turn|><|text|><|end|>")} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
-FROM rows LEFT JOIN learned USING (conv_id) GROUP BY conv_id
+  CAST(sum({len("<|turn|><|text|><|end|>")} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("r.text")})) AS BIGINT) AS formatted_chars
+FROM rows r LEFT JOIN learned l ON l.conv_id IS NOT DISTINCT FROM r.conv_id GROUP BY r.conv_id
 """
 
 _STOP = ", ".join(f"'{w}'" for w in stop_list())

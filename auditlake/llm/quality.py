@@ -145,7 +145,8 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     # Out of a generator, a later filter on a feature stays above it. Pushed down, it would
     # hold all steps as one expression and repeat them for every window.
     measured = F.inline(F.array(F.struct(*FEATURES)))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns if c not in FEATURES], measured)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in FEATURES and c in found.columns]
+    return found.select(*rest, measured)
 
 
 def _broken(rule: Rule) -> Column:

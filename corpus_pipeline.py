@@ -27,8 +27,8 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
     The list is counted, so it is broadcast when it is short and joined by key otherwise.
     """
-    gone = table(gone.select(F.col("doc_id").alias("gone_id"), F.col("body").alias("gone_body")).distinct(), "gone")
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("gone_body"))
+    gone = table(gone.select(F.col("doc_id").alias("_gone_id"), F.col("body").alias("_gone_body")).distinct(), "gone")
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_gone_body"))
     return docs.join(listed(gone, gone.count()), same, "left_anti")
 
 
@@ -49,8 +49,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group."""
     found = minhash.near_duplicates(docs, SHINGLE, PERCENT)
-    gone = table(found.filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct(), "copies")
-    return docs.join(listed(gone, gone.count()), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    gone = table(found.filter("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct(), "copies")
+    return docs.join(listed(gone, gone.count()), F.col("doc_id") == F.col("_gone_id"), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,13 +61,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes: documents with ``size``, ``target`` of their source, ``taken``."""
-    rows = mixing.mix(docs).groupBy("doc_id", "draw").agg(
-        F.first("size").alias("size"), F.first("target").alias("target"), F.sum("taken").alias("taken")
-    )
-    taken = rows.filter("taken > 0").withColumnRenamed("doc_id", "mixed_id").withColumnRenamed("draw", "mixed_draw")
-    drawn = docs.withColumn("draw", mixing.draw_of(F.col("doc_id"), F.col("text"))).dropDuplicates(["doc_id", "draw"])
-    joined = drawn.join(taken, drawn["doc_id"].eqNullSafe(taken["mixed_id"]) & (drawn["draw"] == taken["mixed_draw"]))
-    return joined.select(*docs.columns, "size", "target", "taken")
+    rest = [c for c in docs.columns if c not in ("size", "target", "taken")]
+    taken = mixing.mix(docs.select("doc_id", "source", "text")).groupBy(
+        F.col("doc_id").alias("_id"), F.col("draw").alias("_its_draw")
+    ).agg(F.first("size").alias("size"), F.first("target").alias("target"), F.sum("taken").alias("taken"))
+    drawn = docs.select(*rest, mixing.draw_of(F.col("doc_id"), F.col("text")).alias("_draw"))
+    drawn = drawn.dropDuplicates(["doc_id", "_draw"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_draw") == F.col("_its_draw"))
+    return drawn.join(taken.filter("taken > 0"), same).select(*rest, "size", "target", "taken")
 
 
 STAGES = [
