@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlake.llm.native import table
+from auditlake.llm.native import listed, table
 from auditlake.llm.tokens import BY_ALNUM, gram_hashes, hash_words, lists, text_slices
 from auditlake.sources.local import small
 
@@ -160,7 +160,7 @@ def contaminated(
     flags = table(flags, "flags")
     same = lambda a, b: a["row_id"].eqNullSafe(b["row_id"]) & (a["body"] == b["body"])
     keys = flags.filter("shared > 0").select("row_id", "body")
-    suspects = table(docs.join(keys, same(docs, keys), "left_semi").dropDuplicates(["row_id", "body"]), "suspects")
+    suspects = table(docs.join(listed(keys, keys.count()), same(docs, keys), "left_semi").dropDuplicates(["row_id", "body"]), "suspects")
     found = fingerprints(suspects, "text", lengths or [window]).select("row_id", "body", F.explode("fps").alias("fp"))
     pairs = found.join(bench_fps, "fp").select("row_id", "body", "item_id").distinct()
     wanted = pairs.join(bench, "item_id").groupBy("row_id", "body").agg(
