@@ -69,6 +69,24 @@ def page(
     return sorted_events(df, column, tiebreak).offset(offset).limit(limit)
 
 
+def page_after(
+    df: DataFrame,
+    last: tuple[str, str] | None,
+    limit: int | str | None = DEFAULT_LIMIT,
+    column: str = "created",
+    tiebreak: str = "id",
+) -> DataFrame:
+    """The page that follows a row, given by its time and tiebreak; None gives the first.
+
+    However deep, it is a top-n over the rows behind that place, and the time reaches the
+    scan. Rows equal in both are one place, so the tiebreak should be unique.
+    """
+    if last is not None:
+        at, key = (F.lit(v).cast(df.schema[c].dataType) for v, c in zip(last, (column, tiebreak), strict=True))
+        df = df.filter((F.col(column) >= at) & ((F.col(column) > at) | (F.col(tiebreak) > key)))
+    return sorted_events(df, column, tiebreak).limit(effective_limit(limit))
+
+
 def _from_offset(df: DataFrame, offset: int, column: str, tiebreak: str) -> tuple[DataFrame, int]:
     """Rows from the key at a deep offset on, and how many equal keys precede it.
 

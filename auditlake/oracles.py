@@ -310,6 +310,8 @@ FROM captioned GROUP BY type, hit""",
     "sorted_events": _A + "SELECT id, type, created FROM audit ORDER BY created, id",
     "page": _A + "SELECT id, type, created FROM audit ORDER BY created, id LIMIT 1000 OFFSET 250",
     "deep_page": _A + "SELECT id, type, created FROM audit ORDER BY created, id LIMIT 300 OFFSET 600",
+    "page_after": _A
+    + "SELECT id, type, created FROM audit WHERE created >= '2024-01-15T00:00:00.000Z' ORDER BY created, id LIMIT 500",
     "append_pages": _A
     + """SELECT id, type, created FROM audit WHERE created < '2024-01-20T00:00:00.000Z'
 UNION ALL SELECT id, type, created FROM audit WHERE created > '2024-01-10T00:00:00.000Z'""",

@@ -690,6 +690,12 @@ def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.page(raw_of(spark, sf_dir).select("id", "type", "created"), 300, 600, shallow=100)
 
 
+@query
+def page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raw_of(spark, sf_dir).select("id", "type", "created")
+    return paging.page_after(rows, ("2024-01-15T00:00:00.000Z", ""), 500)
+
+
 @query
 def append_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = raw_between(spark, sf_dir, None, "2024-01-20T00:00:00.000Z")

@@ -43,6 +43,15 @@ def test_deep_page_equals_shallow_page(ticks, monkeypatch, offset):
     assert paging.page(ticks, 30, offset).collect() == shallow
 
 
+def test_pages_after_one_another_are_all_rows(ticks):
+    rows = ticks.dropDuplicates()
+    expected, found, last = paging.sorted_events(rows).collect(), [], None
+    while part := paging.page_after(rows, last, 130).collect():
+        found += part
+        last = part[-1].created, part[-1].id
+    assert found == expected
+
+
 def test_bounded_batch_takes_whole_ties(ticks):
     bounded = paging.bounded_batch(ticks, 300).rows
     rows = bounded.collect()
