@@ -117,6 +117,41 @@ DEMO_MAPPING = {
 TIME_PATHS = ("time",)
 
 
+# Types that share targets but no rule.
+UNLIKE_MAPPING = {
+    "AUTH": {
+        "staticValues": {"class_name": "authentication", "note": "seen"},
+        "fieldMappings": {"operation": [{"target_field": "label"}]},
+    },
+    "SYSTEM_CONFIG": {
+        "staticValues": {"class_name": "scheduled_job_activity", "level": 7},
+        "fieldMappings": {
+            "operation": [{"target_field": "label", "transform": "normalize", "concat_string": "Job "}]
+        },
+    },
+    "ACCESS_ITEM": {
+        "staticValues": {"class_name": "account_change", "note": "item"},
+        "fieldMappings": {
+            "status": [
+                {
+                    "target_field": "label",
+                    "conditions": [{"condition": "t1 in attributes.tags", "source_field": "status"}],
+                }
+            ]
+        },
+    },
+    "USER_MANAGEMENT": {
+        "staticValues": {"class_name": "account_change"},
+        "fieldMappings": {"created": [{"target_field": "note"}], "actor,name": [{"target_field": "level"}]},
+    },
+}
+
+
+@cache
+def unlike_mapping() -> EventMapping:
+    return load_mapping(UNLIKE_MAPPING, TERMS, ENUMS)
+
+
 @cache
 def demo_mapping() -> EventMapping:
     return load_mapping(DEMO_MAPPING, TERMS, ENUMS)

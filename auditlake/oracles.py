@@ -268,6 +268,15 @@ FROM audit WHERE type IN {_MAPPED}""",
     "tenant_columns": "SELECT CAST(event_id AS VARCHAR) AS id, 'eu-west-1' AS region,"
     " '012345678901' AS \"accountId\" FROM events",
     "transform_events": _ALL + "SELECT * FROM records",
+    "unlike_types": _with(_AUDIT, _CLASSES, _TERMS)
+    + """SELECT a.id, c.class_name,
+  CASE a.type WHEN 'AUTH' THEN operation WHEN 'SYSTEM_CONFIG' THEN 'Job ' || coalesce(t.caption, 'Other')
+    WHEN 'ACCESS_ITEM' THEN CASE WHEN list_contains(tags, 't1') THEN status END END AS label,
+  CASE a.type WHEN 'AUTH' THEN 'seen' WHEN 'ACCESS_ITEM' THEN 'item' WHEN 'USER_MANAGEMENT' THEN created END AS note,
+  CASE a.type WHEN 'SYSTEM_CONFIG' THEN '7' WHEN 'USER_MANAGEMENT' THEN actor_name END AS level
+FROM audit a JOIN classes c ON c.type = a.type
+LEFT JOIN terms t ON t.type = a.type AND t.term = a.operation
+WHERE a.type IN ('AUTH', 'SYSTEM_CONFIG', 'ACCESS_ITEM', 'USER_MANAGEMENT')""",
     "rule_defaults": _ACR
     + """SELECT coalesce(output_type, 'norm_string') AS output_type, coalesce(concat_string, '') AS concat_string,
   CAST(count(*) AS BIGINT) AS n_rules, CAST(sum(n_events) AS BIGINT) AS n_applications

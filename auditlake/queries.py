@@ -577,6 +577,13 @@ def transform_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(records_of(raw_of(spark, sf_dir)))
 
 
+@query
+def unlike_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types whose targets, conditions, prefixes and static types differ."""
+    records = records_of(raw_of(spark, sf_dir), fx.unlike_mapping())
+    return records.select("data.id", "class_name", "label", "note", "level")
+
+
 @query
 def rule_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = with_defaults(rules_frame(spark, fx.demo_mapping())).filter("transform = 'normalize'")
