@@ -3,7 +3,9 @@
 A line is taken with its white space collapsed and trimmed. Lines of ``min_words`` words or
 more take part. One edit is a word put in, left out or replaced. A line is dropped if any
 line before it, in the order of document id and line number, is within one edit of it; the
-earliest always stays, and so do lines that are too short.
+earliest always stays. Of shorter lines one edit is too much to tell copies by: with
+``short_copies`` they are dropped if an equal line is before them, otherwise they stay.
+Blank lines always stay.
 
 Two lines within one edit share a variant: one line as it is and the other with one word
 left out, or both with the word at the same place left out. Variants are hashed and
@@ -51,7 +53,7 @@ def _last(line: Column, n: Column) -> Column:
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, body, line_no, line, n`` of the lines that take part; n is their words."""
+    """``doc_id, body, line_no, line, n`` of lines of so many words; n is their words."""
     each = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
         "doc_id", F.xxhash64("text").alias("body"), F.posexplode(normal_lines(F.col("text"))).alias("line_no", "line")
     )
@@ -143,15 +145,17 @@ def _near(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     return near.filter(within_one_edit(F.col("words"), F.col("other_words"))).groupBy("lh").agg(F.min("before").alias("before"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, *, short_copies: bool = False) -> DataFrame:
     """``docs`` without the dropped lines, with ``n_lines`` and ``n_dropped``.
 
     Lists of lines are joined to their texts. Up to a counted number of lines the list is
     broadcast, beyond it texts are shuffled by id.
     """
     bare = docs.select("doc_id", "text")
-    lines = _lines(bare, min_words).select(
-        "doc_id", "body", "line_no", F.xxhash64("line").alias("lh"), _half_keys(F.col("line"), F.col("n")).alias("halves")
+    # a line without halves is compared as a whole only
+    halves = F.when(F.col("n") >= min_words, _half_keys(F.col("line"), F.col("n")))
+    lines = _lines(bare, 1 if short_copies else min_words).select(
+        "doc_id", "body", "line_no", F.xxhash64("line").alias("lh"), halves.alias("halves")
     )
     lines = table(lines, "lines")
     firsts = lines.groupBy("lh").agg(

@@ -56,7 +56,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "text")
+    return lines.dedup_lines(docs, short_copies=True).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
-from auditlake.llm import lines
+from auditlake.llm import lines, queries
 from conftest import SMALL_DIR
 
 
@@ -74,3 +74,41 @@ def test_repeated_rows_clashing_columns_and_no_rows(spark):
     found = sorted(tuple(r) for r in lines.dedup_lines(docs).collect())
     assert found == [(1, text, 1, 0), (1, text, 1, 0), (2, "", 1, 1)]
     assert lines.dedup_lines(docs.limit(0)).count() == 0
+
+
+def without_short_copies(rows):
+    """What is left by comparing all lines, with copies of shorter lines gone too."""
+    seen, out = set(), {}
+    # only shorter lines are looked at, and these are all still there
+    for doc_id, text in sorted(brute(rows).items()):
+        keep = []
+        for line in text.split("\n"):
+            normal = re.sub(r"[\x20\x09\x0B-\x0D]+", " ", line).strip(" ")
+            if normal and len(normal.split(" ")) < lines.MIN_WORDS:
+                if normal in seen:
+                    continue
+                seen.add(normal)
+            keep.append(line)
+        out[doc_id] = "\n".join(keep)
+    return out
+
+
+def test_copies_of_short_lines_go(spark):
+    base = "a b c d e f g h i j"
+    rows = [
+        (1, f"{base}\nAll rights  reserved.\n\none"),
+        (2, f"{base}\nAll rights reserved.\n\none"),
+        (3, "All rights reserved!\none\ttwo"),
+        (4, " one two \none\n\nnew"),
+    ]
+    docs = spark.createDataFrame([*rows, (None, "one")], "doc_id bigint, text string")
+    found = {r.doc_id: (r.text, r.n_dropped) for r in lines.dedup_lines(docs, short_copies=True).collect()}
+    assert {k: v[0] for k, v in found.items()} == without_short_copies(rows) | {None: "one"}
+    assert found[2] == ("", 3) and found[3][1] == 0 and found[4] == ("\nnew", 2)
+
+
+def test_query_drops_short_copies_of_a_whole_table(spark):
+    docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").select("doc_id", "text")
+    expected = without_short_copies([(r.doc_id, r.text) for r in docs.collect()])
+    found = {r.doc_id: r.text for r in queries.op3_line_dedup(spark, SMALL_DIR).collect()}
+    assert found == expected and found != brute([(r.doc_id, r.text) for r in docs.collect()])
