@@ -8,8 +8,13 @@ Since the largest response is all that matters, its place alone gets a gradient.
 The classifier is fitted on the driver, on at most ``per_class`` labelled texts of each
 label, drawn by a hash of their id, of at most ``most_words`` words each. As the classes are
 drawn evenly, the score is moved to the share that the label has among all training rows,
-with a miss held ``miss_cost`` times as bad as a false alarm, so 0.5 is where to decide. Of the drawn texts a fifth is set aside to find, for each language, the threshold with the best
-F1; the score itself knows no language.
+with a miss held ``miss_cost`` times as bad as a false alarm, so 0.5 is where to decide.
+
+A fifth of all labelled ids, picked by a hash, is set aside from the fit to find, for each
+language, the threshold with the best F1. All its texts are scored whole, in the mix of
+labels they have, and counted by language and bin of the score, so the driver gets counts
+only. A language without both labels among them has no threshold. The score itself knows
+no language.
 
 Scoring reads whole texts; texts are worked off in pieces and a piece keeps only the largest
 responses. NULL and empty texts get the score of no response. Without labelled texts of both
@@ -28,12 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auditlake.llm.native import listed
 from auditlake.llm.tokens import BY_ALNUM, hash_words, text_slices
 
 BUCKETS, WIDTH_OF_VECTOR, FILTERS, WIDTHS = 1 << 17, 16, 16, (1, 2, 3)
 PREFIXES = (3, 4, 5, 6, 7)
 PER_CLASS, MOST_WORDS, MISS_COST = 3_000, 4_000, 4
 STEPS, BATCH, RATE, SEED = 800, 32, 0.05, 11
+# One labelled id in so many is set aside for thresholds; bins of the log odds, up to both ends.
+FOLDS, BINS_A_UNIT, END_OF_BINS = 5, 50, 40
 
 
 @dataclass
@@ -203,13 +211,16 @@ def train(
 ) -> Trained:
     """Fit on rows of ``(doc_id, text, lang)`` and ``(doc_id, label)``."""
     known = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
-    shares = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    total = sum(shares.values())
-    share = shares.get(1, 0) / total if total else 0.0
+    counts = {(r.label, r.aside): r.n for r in known.groupBy("label", _set_aside(seed).alias("aside")).agg(F.count("*").alias("n")).collect()}
+    total = sum(counts.values())
+    share = sum(n for (label, _), n in counts.items() if label == 1) / total if total else 0.0
     if not 0 < share < 1:
         return Trained(float(share), {}, 0)
+    # with so few labels that the rest would lack one, all are for the fit
+    apart = all((label, False) in counts for label in (0, 1))
+    taught = known.filter(~_set_aside(seed)) if apart else known
     drawn = [
-        known.filter(F.col("label") == label).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(per_class)
+        taught.filter(F.col("label") == label).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(per_class)
         for label in (0, 1)
     ]
     # at most 2 * per_class ids, so they may be broadcast
@@ -233,19 +244,49 @@ def train(
     per_word = 1 + len(PREFIXES)
     texts = [np.asarray(r.values).reshape(-1, per_word) for r in chosen.column("rows")]
     truth = np.array(chosen.column("label").to_pylist(), int)
-    aside = np.arange(len(texts)) % 5 == 4
-    if len(set(truth[~aside])) < 2:
+    if len(set(truth)) < 2:
         return Trained(float(share), {}, len(texts))
-    net = fit([t for t, a in zip(texts, aside, strict=True) if not a], truth[~aside], seed=seed)
+    net = fit(texts, truth, seed=seed)
     net.shift = float(np.log(miss_cost * share / (1 - share)))
-    langs = np.array(chosen.column("lang").to_pylist(), object)
-    scores = np.array([score_of(net, pooled_of(net, t, np.array([0, len(t)])))[0] for t in texts])
-    thresholds = {
-        str(lang): best_threshold(scores[own], truth[own])
-        for lang in sorted({x for x in langs[aside] if x is not None})
-        if len(set(truth[own := aside & (langs == lang)])) == 2
-    }
-    return Trained(net, thresholds, len(texts))
+    if not apart:
+        return Trained(net, {}, len(texts))
+    held = listed(known.filter(_set_aside(seed)), sum(n for (_, aside), n in counts.items() if aside))
+    # the fold is told by the id alone, so only its texts are ever shuffled
+    held = docs.filter(_set_aside(seed)).join(held, "doc_id").select("lang", F.col("label").cast("int"), "text")
+    return Trained(net, thresholds_by_language(score(held, net)), len(texts))
+
+
+def _set_aside(seed: int) -> Column:
+    """Whether an id's label is for the thresholds."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.lit("aside"), "doc_id"), F.lit(FOLDS)) == 0
+
+
+def thresholds_by_language(scored: DataFrame) -> dict[str, float]:
+    """Best thresholds of rows of ``(lang, label, score)``, from counts by bin."""
+    odds = F.ln(F.col("score") / (1 - F.col("score")))
+    # a score of 0 or 1 has no odds
+    odds = F.when(F.col("score") <= 0, -END_OF_BINS).when(F.col("score") >= 1, END_OF_BINS).otherwise(odds)
+    at = F.floor(F.greatest(F.least(odds, F.lit(END_OF_BINS)), F.lit(-END_OF_BINS)) * BINS_A_UNIT)
+    counted = scored.filter("lang IS NOT NULL").groupBy("lang", at.alias("bin")).agg(
+        F.count("*").alias("n"), F.sum("label").alias("hits"), F.min("score").alias("low"), F.max("score").alias("high")
+    )
+    bins: dict[str, list] = {}
+    for r in counted.orderBy("lang", F.desc("bin")).collect():
+        bins.setdefault(str(r.lang), []).append((r.n, r.hits, r.low, r.high))
+    found = {}
+    for lang, rows in bins.items():
+        n, hits, low, high = map(np.array, zip(*rows, strict=True))
+        if 0 < hits.sum() < n.sum():
+            found[lang] = best_cut(n, hits, low, high)
+    return found
+
+
+def best_cut(n: np.ndarray, hits: np.ndarray, low: np.ndarray, high: np.ndarray) -> float:
+    """As :func:`best_threshold`, of bins in falling order that are cut between only."""
+    f1 = 2 * np.cumsum(hits) / (np.cumsum(n) + hits.sum())
+    at = int(f1.argmax())
+    below = high[at + 1] if at + 1 < len(n) else 0.0
+    return float((low[at] + below) / 2)
 
 
 def best_threshold(scores: np.ndarray, truth: np.ndarray) -> float:

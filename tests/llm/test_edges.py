@@ -279,6 +279,30 @@ def test_thresholds_and_flags(spark):
     assert [r[0] for r in flags] == [True, False, True]
 
 
+def test_thresholds_are_found_in_the_natural_mix(spark, monkeypatch):
+    """However few texts the fit draws, all labels of the fold are scored and counted."""
+    rows = [(i, f"w{i % 7} " * 5 + ("vile" if i % 10 == 0 else ""), "en", int(i % 10 == 0)) for i in range(1_000)]
+    docs = frame(spark, [r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = frame(spark, [(r[0], r[3]) for r in rows], "doc_id bigint, label int")
+    seen = []
+    whole = toxicity.thresholds_by_language
+    monkeypatch.setattr(toxicity, "thresholds_by_language", lambda scored: seen.extend(scored.collect()) or whole(scored))
+    trained = toxicity.train(docs, labels, per_class=20)
+    fold = labels.filter(toxicity._set_aside(toxicity.SEED))
+    assert trained.texts == 40 and sorted(r.label for r in seen) == sorted(r.label for r in fold.collect())
+    assert 100 < len(seen) < 300 and 0 < trained.thresholds["en"] < 1
+    two = labels.filter("doc_id IN (0, 1)")
+    assert not isinstance(toxicity.train(docs, two).net, float)
+
+
+def test_thresholds_of_counts_equal_those_of_scores(spark):
+    rows = [("en", int(s > 0.6 or i % 9 == 0), float(s)) for i, s in enumerate(np.linspace(0, 1, 60))]
+    rows += [("de", 0, 0.2), (None, 1, 0.9), ("fr", 1, 1.0), ("fr", 0, 0.0)]
+    found = toxicity.thresholds_by_language(frame(spark, rows, "lang string, label int, score double"))
+    own = [r for r in rows if r[0] == "en"]
+    assert found == {"en": toxicity.best_threshold(np.array([r[2] for r in own]), np.array([r[1] for r in own])), "fr": 0.5}
+
+
 # --- pipeline -------------------------------------------------------------------
 
 
