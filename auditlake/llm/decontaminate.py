@@ -12,7 +12,8 @@ words agree; a run of a whole window or more is a hit, and its words are marked.
 
 NULL and empty texts have no words and hit nothing. Repeated rows are judged each; items
 that repeat are counted once by their id. Rows without an id are judged too. An item
-without id cannot be named and is left out. Other columns play no part.
+without id hits like any other and is only left out of the names. Other columns play no
+part.
 """
 
 from __future__ import annotations
@@ -82,7 +83,8 @@ def fingerprints(rows: DataFrame, text: str, lengths: Sequence[int]) -> DataFram
 
 
 def item_words(items: DataFrame, window: int) -> DataFrame:
-    """``item_id, words, length``: word hashes of each item, and the words of its windows."""
+    """``item_id, words, length, inner``: word hashes of each distinct item, the words of its
+    windows, and a hash of its words, by which it is known where it has no id."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,7 +95,7 @@ def item_words(items: DataFrame, window: int) -> DataFrame:
 
     kind = items.schema["item_id"].dataType.simpleString()
     found = items.select("item_id", "text").mapInArrow(scan, f"item_id {kind}, words array<bigint>, length int")
-    return found.filter("length > 0 AND item_id IS NOT NULL")
+    return found.filter("length > 0").distinct().withColumn("inner", F.xxhash64("words"))
 
 
 def extended(doc: np.ndarray, item: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -139,10 +141,10 @@ def contaminated(
         for batch in batches:
             sizes = zip(batch.column("words"), batch.column("length").to_pylist(), strict=True)
             found = [np.unique(winnow(np.asarray(w.values).view(np.uint64), n)[0]).view(np.int64) for w, n in sizes]
-            yield pa.RecordBatch.from_arrays([batch.column("item_id"), lists(found, pa.int64())], ["item_id", "fps"])
+            yield pa.RecordBatch.from_arrays([batch.column("inner"), lists(found, pa.int64())], ["inner", "fps"])
 
-    bench_fps = bench.mapInArrow(item_prints, f"item_id {item_kind}, fps array<bigint>")
-    bench_fps = table(bench_fps.select("item_id", F.explode("fps").alias("fp")).distinct(), "item-prints")
+    bench_fps = bench.mapInArrow(item_prints, "inner bigint, fps array<bigint>")
+    bench_fps = table(bench_fps.select("inner", F.explode("fps").alias("fp")).distinct(), "item-prints")
     prints = fingerprints(docs, "text", lengths or [window])
     # the first entry stands for the row itself, so rows are counted though they share a key
     each = prints.select("row_id", "body", "n_words", F.posexplode(F.concat(F.array("body"), "fps")).alias("nth", "fp"))
@@ -162,8 +164,8 @@ def contaminated(
     keys = flags.filter("shared > 0").select("row_id", "body")
     suspects = table(docs.join(listed(keys, keys.count()), same(docs, keys), "left_semi").dropDuplicates(["row_id", "body"]), "suspects")
     found = fingerprints(suspects, "text", lengths or [window]).select("row_id", "body", F.explode("fps").alias("fp"))
-    pairs = found.join(bench_fps, "fp").select("row_id", "body", "item_id").distinct()
-    wanted = pairs.join(bench, "item_id").groupBy("row_id", "body").agg(
+    pairs = found.join(bench_fps, "fp").select("row_id", "body", "inner").distinct()
+    wanted = pairs.join(bench, "inner").groupBy("row_id", "body").agg(
         F.collect_list(F.struct("item_id", "words", "length")).alias("items")
     )
     both = suspects.join(wanted, same(suspects, wanted)).select(suspects["row_id"], suspects["body"], "text", "items")
@@ -180,7 +182,7 @@ def contaminated(
                         named.add(item["item_id"].as_py())
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))
                 hits.append(int(hit.sum()))
-                ids.append(sorted(named))
+                ids.append(sorted(named - {None}))
                 spans.append(edges.tolist())
             yield pa.RecordBatch.from_arrays(
                 [

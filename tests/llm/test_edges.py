@@ -94,6 +94,15 @@ def test_contamination_of_odd_rows(spark):
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
 
 
+
+def test_items_without_id_hit_and_have_no_name(spark):
+    item, other = "a b c d e f g h i j k l", "m n o p q r s t u v w x"
+    docs = frame(spark, [(1, f"zz {item} zz"), (2, f"{other} {item}"), (3, "zz"), (4, other)], "doc_id bigint, text string")
+    items = frame(spark, [(None, item), (None, item), (None, "uno dos"), (5, other)], "item_id bigint, text string")
+    found = {r.doc_id: (r.n_hit, r.item_ids) for r in decontaminate.contaminated(docs, items).collect()}
+    assert found == {1: (12, []), 2: (24, [5]), 3: (0, []), 4: (12, [5])}
+
+
 URLS = [None, "", "no scheme", "HTTP://WWW.Example.COM/en/x?y#z", "http://example.com/en", "https://a.b.example.com/en/", "http://example.net/fr/1", "http://net/es/", "http://xnet/es/",
         "http://com", "http://com/", "http://com.", "http://.com/", "http://a..com/", "http://com:80/", "http://é.com/é", "x://y://com/", "http://example.com\n/en/", "http:///en/", "http://WWW.example.com/EN/"]
 
