@@ -14,8 +14,8 @@ texts that meet in a bucket are either in one component or were compared.
 
 NULL, empty and blank texts have no set and are linked with nothing. Fewer words than a
 shingle has are one shingle. Rows without an id are linked with nothing, and kept. Rows
-that share an id are one document: what is linked to one is linked to all. Repeated rows
-get equal results. An empty table gives an empty one; other columns play no part.
+that share an id are one document, also with unlike texts: what is linked to one is linked
+to all. Repeated rows get equal results. An empty table gives an empty one; other columns play no part.
 """
 
 from __future__ import annotations
@@ -167,7 +167,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     pairs = stars.join(sets, "node").withColumnRenamed("shingles", "own").join(
         sets.select(F.col("node").alias("head"), "shingles"), "head"
     )
-    linked = components(pairs.filter(_similar("own", "shingles", percent)).select(F.col("node").alias("a"), F.col("head").alias("b")))
+    # ids with unlike texts, and the least class that such an id is in
+    several = whole.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("rep").alias("own"), F.max("rep").alias("last"), F.count_if(F.col("rep").isNull()).alias("blank")
+    )
+    several = table(several.filter("own <> last OR own IS NOT NULL AND blank > 0").select("doc_id", "own"), "several")
+    links = pairs.filter(_similar("own", "shingles", percent)).select(F.col("node").alias("a"), F.col("head").alias("b"))
+    of_one_id = whole.select("doc_id", "rep").join(several, "doc_id").filter("rep <> own")
+    linked = components(links.unionByName(of_one_id.select(F.col("rep").alias("a"), F.col("own").alias("b"))))
     linked = table(linked, "stars-linked")
 
     across = components(_across(buckets, linked, sets, percent))
@@ -178,6 +185,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.col("component").alias("node"), F.col("top").alias("component_id")
     )
     labels = table(labels.unionByName(alone), "labels")
+    whole = whole.select("doc_id", "n_shingles", "rep").join(several, "doc_id", "left")
+    whole = whole.withColumn("rep", F.coalesce("rep", "own"))
     named = whole.join(labels, whole["rep"] == labels["node"], "left")
     component = F.coalesce("component_id", "rep", "doc_id")
     return named.select(

@@ -73,3 +73,12 @@ def test_rows_without_id_repeats_and_no_rows(spark):
     found = sorted(((r.doc_id or 0, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()))
     assert found == [(0, None, True), (2, 2, True), (3, 2, False), (3, 2, False)]
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_unlike_texts_of_one_id_are_one_document(spark):
+    a, b = "a b c d e f", "u v w x y z"
+    rows = [(3, a), (7, a), (7, b), (9, b), (9, ""), (11, ""), (12, "p q r s t"), (12, None), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted((r.doc_id or 0, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
+    gone = [(7, 3, False)] * 2 + [(9, 3, False)] * 2
+    assert found == [(0, None, True), (3, 3, True), *gone, (11, 11, True), (12, 12, True), (12, 12, True)]
