@@ -87,12 +87,11 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations of the table, which come as message lists, and one more that
     comes as a prompt with its response and is full of control strings."""
     rows = read_table(spark, sf_dir, "conversations")
-    listed = chat.bodies_of_rows(rows)
     pair = spark.range(1).select(
         F.lit(-7).cast("bigint").alias("conv_id"),
         F.to_variant_object(F.struct(F.lit(HOSTILE).alias("prompt"), F.lit(HOSTILE).alias("response"))).alias("body"),
     )
-    formatted = chat.format_chats(listed.unionByName(pair))
+    formatted = chat.format_rows(rows).unionByName(chat.format_chats(pair))
     return chat.digest(formatted, "conv_id")
 
 

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from auditlake.llm import chat, decontaminate, langid, mixing, quality, tokens, toxicity, urls, warc
+from auditlake.llm import chat, decontaminate, langid, mixing, quality, queries, tokens, toxicity, urls, warc
 from auditlake.llm.oracles import ORACLES
 from auditlake.llm.queries import HOSTILE, URL_RULES
 
@@ -128,6 +128,15 @@ def test_chats_of_odd_rows(spark):
     assert not any(c in r.formatted for r in done.collect() for c in control)
 
 
+def test_typed_rows_need_no_variant(spark, small_dir, monkeypatch):
+    rows = frame(spark, [(1, 0, "user", None), (1, 1, "assistant", "a<s>"), (1, 1, "assistant", "a<s>"), (2, None, None, None), (None, 0, "human", "no id")], "conv_id bigint, turn bigint, role string, text string")
+    expected = chat.format_chats(chat.bodies_of_rows(rows))
+    found = chat.format_rows(rows).select(*expected.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    monkeypatch.setattr(chat, "bodies_of_rows", None)
+    assert queries.op7_chat_formatting(spark, small_dir).count() > 1
+
+
 def test_layouts_are_picked_by_fingerprint(spark):
     bodies = {
         '{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": null}]}': ("messages", [("user", "q"), ("assistant", "")]),
