@@ -114,6 +114,89 @@ SELECT r.conv_id, count(*) AS n_turns,
 FROM rows r LEFT JOIN learned l ON l.conv_id IS NOT DISTINCT FROM r.conv_id GROUP BY r.conv_id
 """
 
+# Levels that the SQL of op12 goes up: 8 ** 6 rows a language, 8 ** 3 languages.
+LEAF_LEVELS, TOP_LEVELS = 6, 3
+
+OP12_LEAVES = r"""
+crc(bytes) AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b))),
+raw AS (
+  SELECT doc_id, lang, @FIELDS@ AS head, text,
+    CASE WHEN xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda c, b: xor(c // 256, bytes[xor(c % 256, b) + 1]), 4294967295), 4294967295) % 3 = 0
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS altered
+  FROM documents, crc
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(altered) || ':' || altered, '-')) AS start
+  FROM raw
+), l0 AS (
+  SELECT lang AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h,
+    count(*) OVER (PARTITION BY lang) AS m, doc_id, leaf, start
+  FROM leaves
+)"""
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """Nodes, siblings and the top of every tree over the rows of ``<name>0``."""
+    parts = []
+    for k in range(levels):
+        parts.append(
+            f"""{name}s{k} AS (
+  SELECT a.tree, a.i, any_value(a.m) AS m,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM {name}{k} a JOIN {name}{k} b ON a.tree IS NOT DISTINCT FROM b.tree AND a.i // 8 = b.i // 8
+  GROUP BY a.tree, a.i
+), {name}{k + 1} AS (
+  SELECT tree, i // 8 AS i, CASE WHEN any_value(m) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h,
+    (any_value(m) + 7) // 8 AS m
+  FROM {name}{k} GROUP BY tree, i // 8
+)"""
+        )
+    return ", ".join(parts)
+
+
+def _fold_sql(name: str, tree: str, levels: int, source: str, place: str) -> str:
+    """Rows of ``source`` with ``fold`` and ``proof`` taken up through the levels."""
+    parts = []
+    for k in range(levels):
+        before = source if k == 0 else f"{name}f{k}"
+        parts.append(
+            f"""{name}f{k + 1} AS (
+  SELECT f.* EXCLUDE (fold, proof), CASE WHEN s.m > 1 THEN sha256(s.before || fold || s.after) ELSE fold END AS fold,
+    proof || s.before || s.after AS proof
+  FROM {before} f JOIN {name}s{k} s ON s.tree IS NOT DISTINCT FROM f.{tree} AND s.i = f.{place} // {8**k}
+)"""
+        )
+    return ", ".join(parts)
+
+
+def _op12() -> str:
+    said = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+    fields = " || ".join(said.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    tops = f"""t0 AS (
+  SELECT 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS i, h, count(*) OVER () AS m, tree AS lang FROM l{LEAF_LEVELS}
+)"""
+    start = "p0 AS (SELECT l0.*, i AS place, start AS fold, '' AS proof FROM l0)"
+    over = f"""q0 AS (
+  SELECT f.*, t0.i AS top, t0.h AS subroot, 0 AS above FROM lf{LEAF_LEVELS} f JOIN t0 ON t0.lang IS NOT DISTINCT FROM f.tree
+)"""
+    steps = [
+        OP12_LEAVES.replace("@FIELDS@", fields),
+        _tree_sql("l", LEAF_LEVELS),
+        tops,
+        _tree_sql("t", TOP_LEVELS),
+        start,
+        _fold_sql("l", "tree", LEAF_LEVELS, "p0", "place"),
+        over,
+        _fold_sql("t", "above", TOP_LEVELS, "q0", "top"),
+    ]
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = r.h AS verified
+FROM tf{TOP_LEVELS}, t{TOP_LEVELS} r
+"""
+
+
 _STOP = ", ".join(f"'{w}'" for w in stop_list())
 
 ORACLES: dict[str, str] = {
@@ -122,4 +205,5 @@ ORACLES: dict[str, str] = {
     "op4_url_filters": OP4,
     "op6_decontaminate": OP6,
     "op7_chat_formatting": OP7,
+    "op12_merkle_manifest": _op12(),
 }

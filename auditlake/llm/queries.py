@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import chat, decontaminate, langid, lines, minhash, mixing, quality, toxicity, urls, warc
+from auditlake.llm import chat, decontaminate, langid, lines, manifest, minhash, mixing, quality, toxicity, urls, warc
 from auditlake.llm.native import read_table
 from auditlake.sources.local import local_frame
 from auditlake.sources.workspace import fresh_folder
@@ -123,6 +123,35 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its proof, checked with a third of the documents tampered with."""
+    docs = read_table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    fields = lambda text: [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate(F.col("text"), upper, upper.lower())
+    leaves = docs.select(
+        F.col("lang").alias("tree"),
+        "doc_id",
+        manifest.leaf_of(*fields(F.col("text"))).alias("leaf"),
+        F.when(tampered, manifest.leaf_of(*fields(lowered))).alias("altered"),
+    )
+    carried = ("doc_id", "altered")
+    made = manifest.build(leaves, key="doc_id", carry=carried)
+    found = manifest.proofs(made, carried) if made.root else leaves.selectExpr(
+        "*", "CAST(NULL AS STRING) AS subroot", f"CAST(NULL AS {manifest.STEPS}) AS path"
+    )
+    root = F.lit(made.root).cast("string")
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        F.sha2(manifest.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        manifest.folded(F.coalesce("altered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -134,4 +163,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
