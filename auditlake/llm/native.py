@@ -38,5 +38,27 @@ def listed(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= MAX_LISTED else frame
 
 
+# Keys with more than this part of all rows are hot; there can be no more than so many.
+HOT_KEYS = 1_000
+
+
+def joined_by_key(rows: DataFrame, found: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the other columns of ``found``, which has one row for each of their keys
+    and ``count``, the rows that the key has.
+
+    Hot keys are broadcast, as there can be no more than ``HOT_KEYS`` of them, whatever the
+    data; the others are joined by key, where none has many rows. NULL is a key as well.
+    Both frames are read twice, so they should be tables.
+    """
+    total = found.agg(F.sum(count)).first()[0] or 0
+    hot, rest = (found.filter(side).withColumnRenamed(key, "_key").drop(count) for side in (
+        F.col(count) * HOT_KEYS > total, F.col(count) * HOT_KEYS <= total))
+    added = [c for c in hot.columns if c != "_key"]
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    hit = rows.join(F.broadcast(hot), same)
+    missed = rows.join(F.broadcast(hot.select("_key")), same, "left_anti").join(rest, same)
+    return hit.select(*rows.columns, *added).unionByName(missed.select(*rows.columns, *added))
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

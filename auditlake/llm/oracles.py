@@ -197,6 +197,68 @@ FROM tf{TOP_LEVELS}, t{TOP_LEVELS} r
 """
 
 
+
+
+OP13 = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+    coalesce(vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0, false) AS usable
+  FROM embeddings
+), linked AS MATERIALIZED (
+  SELECT a.row, a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.row <> b.row
+  WHERE a.usable AND b.usable AND CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) END >= 0.93
+), reached(a, b) AS (
+  SELECT DISTINCT vec_id, vec_id FROM v WHERE usable
+  UNION SELECT reached.a, linked.b FROM reached JOIN linked ON linked.a = reached.b
+), least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+counted AS (SELECT row, count(*) AS n FROM linked GROUP BY row)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+  CASE WHEN usable THEN component_id ELSE vec_id END AS component_id,
+  coalesce(v.vec_id = CASE WHEN usable THEN component_id ELSE vec_id END, true) AS kept
+FROM v LEFT JOIN least ON least.a = v.vec_id LEFT JOIN counted USING (row)
+"""
+
+
+def _op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain rounds over all vectors and entries; sums of doubles here are exact integers."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: floor(4096 * CAST(x AS DOUBLE))) AS v, len(embedding) // {parts} AS w
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (SELECT row, part, v[part * w + 1 : (part + 1) * w] AS v FROM kept, range({parts}) t(part)
+), b0 AS MATERIALIZED (
+  SELECT part, entry, v FROM p JOIN (SELECT row, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < {entries}) USING (row)
+)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""a{k} AS MATERIALIZED (
+  SELECT row, p.part, min(CAST(list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v) + list_inner_product(b.v, b.v) AS BIGINT) * {entries} + entry) AS best
+  FROM p JOIN b{k} b ON b.part = p.part GROUP BY row, p.part
+)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""m{k} AS (
+  SELECT part, entry, list(floor(s / n) ORDER BY place) AS v
+  FROM (SELECT part, best % {entries} AS entry, place, sum(v[place]) AS s, count(*) AS n
+    FROM (SELECT a{k}.part, best, v, unnest(range(1, len(v) + 1)) AS place FROM a{k} JOIN p ON p.row = a{k}.row AND p.part = a{k}.part)
+    GROUP BY part, best % {entries}, place) GROUP BY part, entry
+), b{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{k} b LEFT JOIN m{k} m ON m.part = b.part AND m.entry = b.entry)"""
+            )
+    return f"""WITH {", ".join(steps)}, coded AS (
+  SELECT row, string_agg(printf('%02x', best % {entries}), '' ORDER BY part) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY row
+), books AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, place)) AS digest
+  FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS place FROM b{rounds})
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM kept JOIN coded USING (row), books
+"""
+
+
 _STOP = ", ".join(f"'{w}'" for w in stop_list())
 
 ORACLES: dict[str, str] = {
@@ -205,5 +267,7 @@ ORACLES: dict[str, str] = {
     "op4_url_filters": OP4,
     "op6_decontaminate": OP6,
     "op7_chat_formatting": OP7,
+    "op11_vector_codes": _op11(),
     "op12_merkle_manifest": _op12(),
+    "op13_embedding_neighbours": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import chat, decontaminate, langid, lines, manifest, minhash, mixing, quality, toxicity, urls, warc
+from auditlake.llm import chat, codes, decontaminate, langid, lines, manifest, minhash, mixing, neighbours, quality, toxicity, urls, warc
 from auditlake.llm.native import read_table
 from auditlake.sources.local import local_frame
 from auditlake.sources.workspace import fresh_folder
@@ -123,6 +123,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as codes of eight parts, with the codebooks' digest."""
+    found, books = codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its proof, checked with a third of the documents tampered with."""
     docs = read_table(spark, sf_dir, "documents")
@@ -152,6 +158,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -163,5 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
+    "op11_vector_codes": op11_vector_codes,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_neighbours": op13_embedding_neighbours,
 }
