@@ -39,9 +39,10 @@ _AUDIT_COLUMNS = [
 ]
 
 
-def audit_view(events: DataFrame) -> DataFrame:
-    """Raw audit events; a filter on ``events`` columns still reaches the scan."""
-    return events.selectExpr("*", f"{_K} AS k").selectExpr(*_AUDIT_COLUMNS)
+def audit_view(events: DataFrame, *more: str) -> DataFrame:
+    """Raw audit events, with more columns of ``events``; a filter on these still reaches
+    the scan."""
+    return events.selectExpr("*", f"{_K} AS k").selectExpr(*_AUDIT_COLUMNS, *more)
 
 
 def _demo_rules(class_name: str) -> dict:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlake.functions.temporal import instant
-from auditlake.sources.workspace import ensure_checkpoint_dir
+from auditlake.operators.selection import is_before, nth_key, sort_key
 
 DEFAULT_LIMIT = 1_000
 MAX_LIMIT = 10_000
@@ -61,7 +61,7 @@ def page(
     """One page of the sorted events.
 
     Up to the offset ``shallow`` a page is a top-n: each task keeps ``offset + limit``
-    rows. A deeper one first finds where it starts.
+    rows. A deeper one first finds where it starts, without a sort of all rows.
     """
     limit, offset = effective_limit(limit), effective_offset(offset)
     if offset > shallow:
@@ -88,34 +88,19 @@ def page_after(
 
 
 def _from_offset(df: DataFrame, offset: int, column: str, tiebreak: str) -> tuple[DataFrame, int]:
-    """Rows from the key at a deep offset on, and how many equal keys precede it.
+    """Rows from the key at a deep offset on, and how many of them precede the offset.
 
-    The sort keys are range-partitioned once and checkpointed, so the place of a row
-    in its partition is fixed. Only one row count per partition and the key at the
-    offset come to the driver.
+    The key is found by counting; only counts and a few keys come to the driver.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    keys = df.select(F.col(column).alias("k1"), F.col(tiebreak).alias("k2"))
-    placed = keys.orderBy("k1", "k2").checkpoint().withColumn("place", F.monotonically_increasing_id())
-    placed = placed.withColumns(
-        {"part": F.shiftright("place", 33), "nth": F.col("place").bitwiseAND(F.lit((1 << 33) - 1))}
-    )
-    sizes = placed.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
-    before = 0
-    for part, size in sizes:
-        if before + size > offset:
-            break
-        before += size
-    else:
+    keys = [sort_key(F.col(c), df.schema[c].dataType) for c in (column, tiebreak)]
+    place = nth_key(df, keys, offset)
+    if place is None:
         return df.filter(F.lit(False)), 0
-    in_part = placed.filter(F.col("part") == part)
-    start = in_part.filter(F.col("nth") == offset - before).first()
-    k1 = F.lit(start.k1).cast(df.schema[column].dataType)
-    k2 = F.lit(start.k2).cast(df.schema[tiebreak].dataType)
-    same = F.col("k1").eqNullSafe(k1) & F.col("k2").eqNullSafe(k2)
-    first_same = in_part.filter(same).agg(F.min("nth")).first()[0]
-    rest = df.filter(F.struct(F.col(column).alias("k1"), F.col(tiebreak).alias("k2")) >= F.struct(k1.alias("k1"), k2.alias("k2")))
-    return rest, offset - before - first_same
+    rest = df.filter(~is_before(keys, place.key))
+    if place.key[0] is not None and isinstance(df.schema[column].dataType, T.StringType):
+        # said on its own as well, as a plain comparison reaches the scan
+        rest = rest.filter(F.col(column) >= F.lit(place.key[0]))
+    return rest, offset - place.before
 
 
 @dataclass
@@ -131,12 +116,21 @@ def bounded_batch(df: DataFrame, limit: int | str | None, column: str = "created
 
     A page cut inside a group of equal times would lose the rest of the group once
     the position moves past it. The bound is the k-th time; a second scan takes all
-    rows up to it. ``end`` is a one-row frame, used as a scalar subquery.
+    rows up to it. Up to ``MAX_LIMIT`` rows it is a top-n and ``end``, a one-row frame, a
+    scalar subquery; a larger one is found at once, by counting ranges of time, so that
+    no task holds so many rows.
     """
     is_text = isinstance(df.schema[column].dataType, T.StringType)
     value = instant(f"`{column}`") if is_text else F.col(column)
     first = df.select(value.alias("at")).filter("at IS NOT NULL")
-    if (bound := row_bound(limit)) is not None:
+    bound = row_bound(limit)
+    if bound is not None and bound > MAX_LIMIT:
+        micros = sort_key(F.col("at"), first.schema["at"].dataType)
+        place = nth_key(first, [micros], bound - 1)
+        if place is not None:
+            at = F.timestamp_micros(F.lit(place.key[0])).cast(first.schema["at"].dataType)
+            return Bounded(df.filter(value <= at), df.sparkSession.range(1).select(at.alias("at")))
+    elif bound is not None:
         first = first.orderBy("at").limit(bound)
     end = first.agg(F.max("at").alias("at"))
     return Bounded(df.filter(value <= end.scalar()), end)

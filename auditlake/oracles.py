@@ -361,6 +361,18 @@ FROM (SELECT class_name, {_LAKE_KEYS} FROM records) GROUP BY ALL""",
     "batch_replay": _ALL
     + f"""SELECT class_name, "eventDay", CAST(count(*) AS BIGINT) AS n_events
 FROM (SELECT class_name, {_LAKE_KEYS} FROM records WHERE {_SETTLED}) GROUP BY ALL""",
+    "table_ingest": _LANDED + f" WHERE {_SETTLED}",
+    "late_files": _ALL
+    + f"""SELECT id, class_name, "eventDay" FROM (SELECT id, class_name, {_LAKE_KEYS} FROM records
+  WHERE CAST(id AS BIGINT) % 10 <> 0 AND {_SETTLED})
+UNION ALL SELECT id, 'event has no type', NULL FROM audit, (VALUES (0), (1)) WHERE CAST(id AS BIGINT) % 10 = 0""",
+    "bounded_run": _ALL
+    + f"""SELECT id || '-' || copy AS id, class_name, {_LAKE_KEYS.split('AS "accountId",')[1]}
+FROM (SELECT *, substr(created, 1, 14) || '00:00.000Z' AS hour FROM records), range(4) t(copy)
+WHERE hour <= (SELECT coalesce(min(hour) FILTER (n >= 12000), max(hour)) FROM (
+  SELECT hour, sum(count(*)) OVER (ORDER BY hour) AS n FROM (
+    SELECT substr(created, 1, 14) || '00:00.000Z' AS hour FROM audit a JOIN classes c ON c.type = a.type, range(4)
+    WHERE hour < '2024-01-30T23:00:00.000Z') GROUP BY hour))""",
     "safety_lag": _A + "SELECT id, created FROM audit WHERE created < '2024-01-20T11:00:00.000Z'",
     "clamp_checkpoint": """SELECT user_id, saved,
   CASE WHEN saved IS NULL OR epoch_us(TIMESTAMP '2024-01-30 11:00:00') - epoch_us(created_at) >= 86400000000

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,9 +93,12 @@ class CompiledMapping:
         """Events with a mapping; the type test reaches the Parquet scan."""
         return df.filter(f"{self.type_sql} IN {in_list(self.types)}")
 
-    def transform(self, df: DataFrame, on_bad: str = "fail") -> DataFrame:
-        """Map raw events. ``on_bad="side"`` leaves bad ones to :meth:`rejected`."""
+    def transform(self, df: DataFrame, on_bad: str = "fail", seen: Observation | None = None) -> DataFrame:
+        """Map raw events. ``on_bad="side"`` leaves bad ones to :meth:`unmappable`, and counts
+        them as ``bad`` of ``seen``."""
         valued = self._valued(self.keep(df))
+        if seen is not None:
+            valued = valued.observe(seen, F.count_if(F.expr(f"{_BAD} IS NOT NULL") if self.bad else F.lit(False)).alias("bad"))
         if self.bad and on_bad == "fail":
             valued = valued.filter(
                 f"CASE WHEN {_BAD} IS NULL THEN TRUE ELSE CAST(raise_error({_BAD}) AS BOOLEAN) END"

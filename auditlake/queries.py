@@ -26,6 +26,7 @@ from auditlake.sources.lookups import enums_frame, rules_frame, terms_frame, typ
 from auditlake.sources.terms import ENUMS, TERMS
 from auditlake.sources.workspace import fresh_folder
 from auditlake.streaming.ingest import ingest_stream
+from auditlake.streaming.ledger import FILE_COLUMN, FileLedger, RawFiles, ingest_files
 from auditlake.streaming.loading import LoadJob, LoadResult, load_batch, load_tables, write_classes
 from auditlake.streaming.position import Position, PositionStore, run_once
 from auditlake.streaming.position import clamp_checkpoint as clamp_saved
@@ -183,7 +184,7 @@ def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_of(spark, sf_dir)
-    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "lake"), fx.TENANT)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "lake"), fx.TENANT, one_scan=False)
     write_classes(raw, job)
     return landed(spark, job, raw)
 
@@ -191,7 +192,7 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def one_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_of(spark, sf_dir)
-    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "one-scan"), fx.TENANT, one_scan=True)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "one-scan"), fx.TENANT)
     load_batch(raw, job, 0)
     return landed(spark, job, raw)
 
@@ -200,7 +201,7 @@ def one_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class tables of the catalog, staged as JSON lines, to their routes in the lake."""
     raw = raw_of(spark, sf_dir)
-    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "from-tables"), fx.TENANT)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "from-tables"), fx.TENANT, one_scan=False)
     folder = fresh_folder(spark, "staged")
     database = f"auditlake_staged_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE `{database}` LOCATION '{folder}-catalog'")
@@ -230,7 +231,7 @@ def route_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def file_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by the lake folder that the files they were written to lie in."""
-    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "files"), fx.TENANT)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "files"), fx.TENANT, one_scan=False)
     write_classes(raw_of(spark, sf_dir), job)
     parts = []
     for class_name in job.mapping.classes():
@@ -821,7 +822,7 @@ def _ingested(spark: SparkSession, sf_dir: str, name: str, *, load=None, **optio
     # a pattern, as a stream takes a file or a folder of files only through one
     events = raw_source.stream_events(spark, f"{sf_dir}/events.parque[t]", schema=EVENTS_SCHEMA, **options)
     raw = fx.audit_view(events)
-    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, name), fx.TENANT, one_scan=True)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, name), fx.TENANT)
     ingest_stream(raw, job, fresh_folder(spark, f"{name}-offsets"), load=load).awaitTermination()
     return job, raw
 
@@ -843,16 +844,21 @@ def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("class_name", "eventDay").agg(F.count("*").alias("n_events"))
 
 
+def event_files(path: str) -> RawFiles:
+    """The files of an events table as raw files."""
+    shape = lambda events: fx.audit_view(events, FILE_COLUMN)
+    return RawFiles(path, schema=EVENTS_SCHEMA, shape=shape)
+
+
 def _run_in_steps(spark: SparkSession, sf_dir: str, name: str, store_type=PositionStore) -> DataFrame:
-    """Two runs at two clocks, from the default start."""
-    raw = raw_of(spark, sf_dir)
-    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, name), fx.TENANT, one_scan=True)
-    store = store_type(spark, fresh_folder(spark, f"{name}-position"))
-    run_once(raw, job, store, SAFETY_NOW)
+    """Runs at two clocks, from the default start; the second takes what the first left."""
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, name), fx.TENANT)
+    folder, files = fresh_folder(spark, f"{name}-ledger"), event_files(f"{sf_dir}/events.parquet")
+    ingest_files(files, job, FileLedger(spark, folder, store_type(spark, f"{folder}/state")), SAFETY_NOW)
     # what a crash left planned is loaded again before anything new
-    run_once(raw, job, PositionStore(spark, store.path), fx.NOW)
-    run_once(raw, job, PositionStore(spark, store.path), fx.NOW)
-    return landed(spark, job, raw)
+    ingest_files(files, job, FileLedger(spark, folder), fx.NOW)
+    ingest_files(files, job, FileLedger(spark, folder), fx.NOW)
+    return landed(spark, job, raw_of(spark, sf_dir))
 
 
 @query
@@ -860,6 +866,17 @@ def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_in_steps(spark, sf_dir, "batch")
 
 
+@query
+def table_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As batch_ingest, from a table, whose position is a time and not a list of files."""
+    raw = raw_of(spark, sf_dir)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "table"), fx.TENANT)
+    store = PositionStore(spark, fresh_folder(spark, "table-position"))
+    for now in (SAFETY_NOW, fx.NOW):
+        run_once(raw, job, store, now)
+    return landed(spark, job, raw)
+
+
 class LosesCommits(PositionStore):
     """A store whose writer dies after each load, before the commit."""
 
@@ -874,6 +891,49 @@ def batch_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("class_name", "eventDay").agg(F.count("*").alias("n_events"))
 
 
+def _with_side_rows(spark: SparkSession, job: LoadJob, raw: DataFrame) -> DataFrame:
+    """Ids of the records by class and day, and of the events put aside by reason."""
+    records = landed(spark, job, raw).select("id", "class_name", "eventDay")
+    side = spark.read.schema("event string, reason string").parquet(job.rejected_location())
+    ids = F.get_json_object("event", "$.id").alias("id")
+    return records.unionByName(side.select(ids, F.col("reason").alias("class_name"), F.lit(None).cast("string").alias("eventDay")))
+
+
+@query
+def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive in three files, each after a run has passed all their times.
+
+    Every file holds events of the whole month, and every tenth event without a type twice.
+    """
+    events = events_of(spark, sf_dir)
+    folder, late = fresh_folder(spark, "late"), fresh_folder(spark, "late-ledger")
+    shape = lambda stored: fx.audit_view(stored, FILE_COLUMN).withColumn(
+        "type", F.when(F.col("id").cast("bigint") % 10 != 0, F.col("type"))
+    )
+    files = RawFiles(folder, schema=EVENTS_SCHEMA, shape=shape)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "late-lake"), fx.TENANT)
+    for part, now in enumerate((SAFETY_NOW, SAFETY_NOW, fx.NOW)):
+        own = events.filter(F.pmod("event_id", F.lit(3)) == part)
+        again = own.filter("event_id % 10 = 0")
+        own.unionByName(again).write.mode("append").parquet(folder)
+        ingest_files(files, job, FileLedger(spark, late), now)
+    return _with_side_rows(spark, job, raw_of(spark, sf_dir))
+
+
+@query
+def bounded_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run bound to the oldest 12 000 of events that were each delivered four times, with
+    times cut to the hour, so that the bound falls among equal ones."""
+    events = events_of(spark, sf_dir).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    raw = fx.audit_view(events, "copy").selectExpr("* EXCEPT (copy, id, created)", "concat(id, '-', copy) AS id", "concat(left(created, 14), '00:00.000Z') AS created")
+    folder = fresh_folder(spark, "bounded")
+    raw.write.parquet(f"{folder}/raw")
+    job = LoadJob(fx.demo_mapping(), f"{folder}/lake", fx.TENANT)
+    files = RawFiles(f"{folder}/raw", schema=raw.schema)
+    ingest_files(files, job, FileLedger(spark, f"{folder}/ledger"), fx.NOW, limit=12_000, bounded=True)
+    return landed(spark, job, raw).select("id", "class_name", "eventDay")
+
+
 @query
 def safety_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_between(spark, sf_dir, None, filters.upper_bound(SAFETY_NOW)).select("id", "created")

@@ -6,13 +6,13 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlake.functions.temporal import event_day
 from auditlake.operators.metrics import class_counts
+from auditlake.sources.files import exists
 
 PARTITION_KEYS = ("region", "accountId", "eventDay")
 BATCH_KEY = "batch"
@@ -141,12 +141,9 @@ def read_lake(
     """Records of a lake folder; filters on the keys prune partitions. A folder that
     nothing was written to yet has no records."""
     schema = lake_schema(record, keys)
-    try:
-        found = spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema.add("path", T.StringType()) if with_path else schema)
+    found = spark.read.schema(schema).parquet(path)
     file = [F.col("_metadata.file_path").alias("path")] if with_path else []
     return found.select(*[F.col(f"`{n}`") for n in schema.fieldNames()], *file)
 

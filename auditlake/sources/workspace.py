@@ -27,9 +27,3 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A folder nobody has written to yet."""
     return f"{shared_folder(spark)}/auditlake/{name}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Set a checkpoint folder where the session has none, as in tests."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))

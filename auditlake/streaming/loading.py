@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from auditlake.operators.metrics import observed
 from auditlake.operators.paging import append_pages
 from auditlake.plans.compiler import CompiledMapping, Hook, compile_mapping
 from auditlake.plans.mapping import EventMapping
+from auditlake.sources.files import exists
 from auditlake.sources.lake import (
     BATCH_KEY,
     Tenant,
@@ -38,7 +38,7 @@ class LoadJob:
     """What to load where. ``on_bad`` is ``fail`` or ``side``.
 
     With ``one_scan`` all classes are written in one pass over the raw events, below
-    ``class_name=`` folders, instead of each to its own folder in a pass of its own.
+    ``class_name=`` folders; without it each goes to its own folder in a pass of its own.
     """
 
     mapping: EventMapping
@@ -52,7 +52,7 @@ class LoadJob:
     target_types: Mapping[str, str] | None = None
     hooks: Mapping[str, Hook] | None = None
     ignore_offset: bool = False
-    one_scan: bool = False
+    one_scan: bool = True
 
     def created_sql(self, record: bool) -> str:
         """Creation time in a raw event, or in the ``data`` of a record."""
@@ -85,9 +85,13 @@ class LoadJob:
 
 @dataclass
 class LoadResult:
+    """Rows written by class, put aside, and conditions that took no branch for want of a
+    defined test; a retried task may count the last of these twice."""
+
     batch_id: int
     per_class: dict[str, int] = field(default_factory=dict)
     rejected: int = 0
+    undecided: int = 0
 
     @property
     def transformed(self) -> int:
@@ -105,21 +109,34 @@ def load_batch(raw: DataFrame, job: LoadJob, batch_id: int, run: str = "run") ->
     if job.one_scan:
         return load_in_one_scan(raw, job, batch_id, run)
     written = write_classes(raw, job, f"{run}-{batch_id}")
-    suspects = [c for c, (_, suspect) in written.items() if suspect]
+    suspects = [c for c, done in written.items() if done.suspect]
     rejected = _write_rejected(rejected_events(raw, job, suspects), job, f"{run}-{batch_id}")
-    return LoadResult(batch_id, {c: n for c, (n, _) in written.items()}, rejected)
+    undecided = sum(done.undecided for done in written.values())
+    return LoadResult(batch_id, {c: done.rows for c, done in written.items()}, rejected, undecided)
+
+
+@dataclass(frozen=True)
+class Written:
+    """Rows of a class that were written, whether events without a usable day may have been
+    left out, and conditions without a defined test."""
+
+    rows: int
+    suspect: bool
+    undecided: int
 
 
-def write_classes(raw: DataFrame, job: LoadJob, batch: str | None = None) -> dict[str, tuple[int, bool]]:
+def write_classes(raw: DataFrame, job: LoadJob, batch: str | None = None) -> dict[str, Written]:
     """Map the events of each class and write them to its folder.
 
     Each class reads its own types only. The classes are independent jobs: the next
-    one fills the cluster while the last tasks of another run. Gives the rows written
-    and whether events without a usable day may have been left out.
+    one fills the cluster while the last tasks of another run.
     """
 
-    def write_class(class_name: str) -> tuple[int, bool]:
-        records = job.compiled(raw, class_name).transform(raw, job.on_bad)
+    def write_class(class_name: str) -> Written:
+        compiled = job.compiled(raw, class_name)
+        open_tests = Observation()
+        read = raw.observe(open_tests, F.sum(compiled.undecided()).alias("undecided")) if compiled.undecided_sql else raw
+        records = compiled.transform(read, job.on_bad)
         keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True))
         seen = Observation()
         keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless"))
@@ -132,7 +149,8 @@ def write_classes(raw: DataFrame, job: LoadJob, batch: str | None = None) -> dic
         # A retried task may count twice, which still tells none from some. Without
         # a count every row may have been filtered out.
         suspect = (observed(seen) or {}).get("dayless") != 0
-        return (observed(counts) or {}).get("transformed", 0), suspect
+        undecided = (observed(open_tests) or {}).get("undecided") or 0 if compiled.undecided_sql else 0
+        return Written((observed(counts) or {}).get("transformed", 0), suspect, undecided)
 
     classes = job.mapping.classes()
     with ThreadPoolExecutor(len(classes)) as pool:
@@ -150,17 +168,21 @@ def load_in_one_scan(raw: DataFrame, job: LoadJob, batch_id: int, run: str = "ru
     require_utc(raw.sparkSession)
     compiled = job.compiled(raw)
     no_type = F.expr(f"{compiled.type_sql} IS NULL")
-    typed = Observation()
-    records = compiled.transform(raw.observe(typed, F.count_if(no_type).alias("untyped")), job.on_bad)
+    typed, unmapped = Observation(), Observation()
+    read = raw.observe(typed, F.count_if(no_type).alias("untyped"), F.sum(compiled.undecided()).alias("undecided"))
+    set_aside = job.on_bad == "side" and compiled.bad is not None
+    records = compiled.transform(read, job.on_bad, unmapped if set_aside else None)
     keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True))
     seen = Observation()
     keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless"))
     written = write_lake_once(keyed.filter("eventDay IS NOT NULL"), job.shared_location(), batch=f"{run}-{batch_id}")
     suspects = [] if (observed(seen) or {}).get("dayless") == 0 else job.mapping.classes()
-    aside = suspects or (observed(typed) or {}).get("untyped") != 0 or (job.on_bad == "side" and compiled.bad)
+    read_counts = observed(typed) or {}
+    aside = suspects or read_counts.get("untyped") != 0 or (set_aside and (observed(unmapped) or {}).get("bad") != 0)
     rejected = _write_rejected(rejected_events(raw, job, suspects), job, f"{run}-{batch_id}") if aside else 0
     counts = observed(written) or {}
-    return LoadResult(batch_id, {c: counts.get(c, 0) for c in job.mapping.classes()}, rejected)
+    per_class = {c: counts.get(c, 0) for c in job.mapping.classes()}
+    return LoadResult(batch_id, per_class, rejected, read_counts.get("undecided") or 0)
 
 
 def rejected_events(raw: DataFrame, job: LoadJob, suspects: Collection[str] | None = None) -> DataFrame:
@@ -209,14 +231,10 @@ def write_unreadable(source: DataFrame, job: LoadJob) -> int:
     )
     reason = F.when(F.expr(f"{type_sql} IS NULL"), "event has no type").otherwise("event has no usable day")
     bad = bad.select(F.to_json(F.struct("*")).alias("event"), reason.alias("reason")).distinct()
-    try:
+    if exists(source.sparkSession, job.rejected_location()):
         known = source.sparkSession.read.schema("event string, region string, accountId string").parquet(
             job.rejected_location()
         )
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-    else:
         own = (F.col("region") == job.tenant.region) & (F.col("accountId") == job.tenant.account_id)
         bad = bad.join(known.filter(own).select("event"), "event", "left_anti")
     if bad.isEmpty():

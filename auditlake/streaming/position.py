@@ -1,5 +1,8 @@
 """Read position of the batch ingest, kept as rows in the shared folder.
 
+For sources without files of their own, such as tables; raw files are better read by the
+ledger of :mod:`auditlake.streaming.ledger`, which does not look at history again.
+
 A run writes what it is about to read before it loads, and its new position after.
 A run that finds a plan without its commit repeats exactly that plan, so a crash
 neither loses nor doubles events.
@@ -10,7 +13,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from auditlake.functions.temporal import SAFETY_LAG_MINUTES, clamp_position, ins
 from auditlake.operators.filters import DEFAULT_START, of_types, time_range, upper_bound
 from auditlake.operators.metrics import next_position
 from auditlake.operators.paging import bounded_batch
+from auditlake.sources.files import exists
 from auditlake.sources.raw import require_utc
 from auditlake.streaming.loading import LoadJob, LoadResult, load_batch, write_unreadable
 
@@ -47,13 +50,10 @@ class PositionStore:
         self.path = path
 
     def read(self) -> Position | None:
-        try:
-            rows = self.spark.read.schema(STATE_COLUMNS).json(self.path)
-            latest = rows.orderBy(F.desc("batch_id"), F.desc("committed")).first()
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        if not exists(self.spark, self.path):
+            return None
+        rows = self.spark.read.schema(STATE_COLUMNS).json(self.path)
+        latest = rows.orderBy(F.desc("batch_id"), F.desc("committed")).first()
         if latest is None:
             return None
         return Position(latest.batch_id, latest.committed, latest.position, latest.until, latest.run or "")

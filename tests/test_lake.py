@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import partial
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,11 @@ from auditlake import fixtures as fx
 from auditlake.operators import filters
 from auditlake.plans.compiler import compile_mapping
 from auditlake.sources import lake, raw as raw_source
-from auditlake.streaming.loading import LoadJob, load_batch, load_in_one_scan, rejected_events
+from auditlake.streaming import loading
+from auditlake.streaming.loading import load_batch, load_in_one_scan, rejected_events
+
+# these look into the folder of a class
+LoadJob = partial(loading.LoadJob, one_scan=False)
 
 
 @pytest.fixture

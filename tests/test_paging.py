@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from auditlake.operators import metrics, paging
+from auditlake.operators import metrics, paging, selection
 
 
 @pytest.mark.parametrize(
@@ -73,3 +73,59 @@ def test_pages_keep_duplicates(ticks):
 def test_caught_up_compares_with_the_effective_limit(ticks):
     assert metrics.total_and_caught_up(ticks, None).first() == (1000, True)
     assert metrics.total_and_caught_up(ticks, "1000").first() == (1000, False)
+
+
+def odd_keys(spark, n=3_000):
+    """Numbers and text with NULLs, a key that a third of all rows share, and repeats."""
+    number = F.when(F.col("id") % 3 == 0, 17).when(F.col("id") % 7 != 0, F.xxhash64("id") % 500)
+    word = F.when(F.col("id") % 5 != 0, F.concat(F.lit("w"), (F.xxhash64("id") % 40).cast("string")))
+    return spark.range(n, numPartitions=6).select(number.alias("number"), word.alias("word"))
+
+
+@pytest.mark.parametrize("few", [0, 50, 10_000])
+@pytest.mark.parametrize("place", [0, 1, 299, 1_400, 1_777, 2_999, 3_000])
+def test_the_nth_key_is_that_of_a_sort(spark, few, place):
+    rows = odd_keys(spark)
+    ordered = [tuple(r) for r in rows.orderBy("number", "word").collect()]
+    found = selection.nth_key(rows, [F.col("number"), F.col("word")], place, few)
+    if place >= len(ordered):
+        assert found is None
+    else:
+        assert found.key == ordered[place] and found.before == ordered.index(ordered[place])
+
+
+def test_selection_of_nothing(spark):
+    assert selection.nth_key(odd_keys(spark, 0), [F.col("number")], 0) is None
+
+
+@pytest.mark.parametrize("offset", [0, 5, 120, 340, 341, 777, 990, 999, 5000])
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_pages_beyond_the_shallow_part(ticks, monkeypatch, offset, few):
+    expected = paging.sorted_events(ticks).offset(offset).limit(30).collect()
+    monkeypatch.setattr(selection, "FEW_ROWS", few)
+    assert paging.page(ticks, 30, offset, shallow=-1).collect() == expected
+
+
+def test_deep_pages_of_times_and_nulls(spark, monkeypatch):
+    monkeypatch.setattr(selection, "FEW_ROWS", 10)
+    rows = odd_keys(spark, 500).withColumn("created", F.timestamp_seconds(F.col("number")).cast("timestamp_ntz"))
+    for offset in (3, 100, 200, 480):
+        expected = rows.orderBy("created", "word").offset(offset).limit(25).collect()
+        assert paging.page(rows, 25, offset, tiebreak="word", shallow=0).collect() == expected
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_bounds_hold_no_rows_in_one_task(spark, monkeypatch):
+    rows = spark.range(30_000, numPartitions=4).selectExpr("timestamp_seconds(id % 20000) AS created")
+    taken = []
+    real = type(rows).limit
+    monkeypatch.setattr(type(rows), "limit", lambda self, n: taken.append(n) or real(self, n))
+    bounded = paging.bounded_batch(rows, 12_000)
+    assert max(taken) <= selection.FEW_ROWS
+    assert "TakeOrdered" not in plan_of(bounded.rows) and "Sort" not in plan_of(bounded.rows)
+    # the times below 10 000 are there twice
+    assert bounded.rows.count() == 12_000 and bounded.rows.agg(F.max("created")).first()[0].second == 59
+    assert paging.bounded_batch(rows, 40_000).rows.count() == 30_000
