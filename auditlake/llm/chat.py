@@ -2,9 +2,11 @@
 
 A record is a VARIANT. Its nested field paths, without the types of the leaves, are
 hashed; the hash picks a declarative mapping that says where the turns are. Rows of one
-turn each are typed and have one shape, so their layout is picked once and no VARIANT,
-which has a size limit, is made of them. Everything is built-in functions. A record whose paths no layout has gives NULL turns, and NULL
-for whatever follows from them.
+turn each are typed, so the field paths of their items are those of the schema: they are
+hashed once, pick a mapping in the same way, and no VARIANT, which has a size limit, is made
+of them. Columns that no row layout names play no part there. Everything is built-in
+functions. A record whose paths no layout has gives NULL turns, and NULL for whatever
+follows from them.
 
 In the template every turn is ``<|turn|>role<|text|>text<|end|>``. Control strings in a
 role or text, those of other common templates too, get a backslash after their first
@@ -21,17 +23,21 @@ own rows do meet in one task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 # Control strings of this template and of common others; each starts with < or [ and
 # ends with > or ], so no two can overlap.
 CONTROL = (TURN, TEXT, END, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>")
 LEARNED_ROLE = "assistant"
+# Running sums are made in two steps, as a fold copies the list it makes at every item.
+RUN = 256
 TURNS = "array<struct<role: string, text: string>>"
 
 
@@ -81,12 +87,20 @@ LAYOUTS = (
 )
 
 
+# Tables with one row a turn; a record is the list of its rows.
+ROW_LAYOUTS = (
+    Layout("turn_rows", ("[].role", "[].text"), ("", "role", "text")),
+    Layout("message_rows", ("[].role", "[].content"), ("", "role", "content")),
+    Layout("dialogue_rows", ("[].from", "[].value"), ("", "from", "value"), (("human", "user"), ("gpt", "assistant"))),
+)
+
+
 def shape_of_paths(paths: Sequence[str]) -> str:
     """Nested field paths as the text that :func:`shape` gives for a record with them."""
     tree: dict = {}
     for path in paths:
         at = tree
-        for part in path.replace("[]", ".[]").split("."):
+        for part in filter(None, path.replace("[]", ".[]").split(".")):
             at = at.setdefault(part, {})
 
     def text(node: dict) -> str:
@@ -111,24 +125,45 @@ def fingerprint(shape_text: Column) -> Column:
     return F.xxhash64(shape_text)
 
 
+def shape_of_type(kind: T.DataType) -> str:
+    """The same text for a declared type."""
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{shape_of_type(kind.elementType)}>"
+    if isinstance(kind, T.StructType) and kind.fields:
+        return "OBJECT<" + ", ".join(f"{f.name}: {shape_of_type(f.dataType)}" for f in sorted(kind.fields, key=lambda f: f.name)) + ">"
+    return "_"
+
+
+def mark_of(shape_text: str) -> int:
+    """The number that :func:`fingerprint` gives, for text on the driver."""
+    number = xxhash.xxh64_intdigest(shape_text.encode(), seed=42)
+    return number - (1 << 64) if number >> 63 else number
+
+
+def picked(kind: T.DataType, layouts: Sequence[Layout]) -> Layout | None:
+    """The layout whose fingerprint is that of a declared type."""
+    return {mark_of(shape_of_paths(x.paths)): x for x in layouts}.get(mark_of(shape_of_type(kind)))
+
+
 def _turn(role: Column, text: Column) -> Column:
     return F.struct(F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
 
+def _said_by(layout: Layout, role: Column) -> Column:
+    """A role under its canonical name."""
+    if not layout.roles:
+        return role
+    names = F.create_map(*[F.lit(x) for pair in layout.roles for x in pair])
+    return F.coalesce(F.try_element_at(names, role), role)
+
+
 def _turns(layout: Layout, body: Column) -> Column:
     get = lambda path, kind: F.try_variant_get(body, f"$.{path}", kind)
     if layout.items:
         items, role, text = layout.items
-        names = F.create_map(*[F.lit(x) for pair in layout.roles for x in pair]) if layout.roles else None
         listed = get(items, f"array<struct<`{role}`: string, `{text}`: string>>")
-
-        def one(item: Column) -> Column:
-            said_by = item[role]
-            if names is not None:
-                said_by = F.coalesce(F.try_element_at(names, said_by), said_by)
-            return _turn(said_by, item[text])
-
-        return F.transform(F.coalesce(listed, F.array().cast(f"array<struct<`{role}`: string, `{text}`: string>>")), one)
+        listed = F.coalesce(listed, F.array().cast(f"array<struct<`{role}`: string, `{text}`: string>>"))
+        return F.transform(listed, lambda item: _turn(_said_by(layout, item[role]), item[text]))
     turns = []
     for role, fields in layout.fields:
         parts = [F.nullif(get(f, "string"), F.lit("")) for f in fields]
@@ -148,32 +183,26 @@ def canonical_turns(body: Column, layouts: Sequence[Layout] = LAYOUTS) -> tuple[
     return turns, name
 
 
-ROW_PATHS = ("messages", "messages[].role", "messages[].content")
-
-
-def _listed(rows: DataFrame) -> DataFrame:
-    """``conv_id, messages`` of a table with one row a turn.
+def turns_of_rows(rows: DataFrame, key: str = "conv_id", order: str = "turn", layouts: Sequence[Layout] = ROW_LAYOUTS) -> DataFrame:
+    """``key, _turns, layout`` of a table with one row a turn.
 
     Each text is shuffled once; the lists are begun before the shuffle.
     """
-    item = F.struct(
-        "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content")
-    )
-    listed = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(item)).alias("listed"))
-    messages = F.transform("listed", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    return listed.select("conv_id", messages.alias("messages"))
-
+    named = {path.rsplit(".", 1)[1] for layout in layouts for path in layout.paths}
+    fields = [f for f in rows.schema.fields if f.name in named and f.name not in (key, order)]
+    layout = picked(T.ArrayType(T.StructType(fields)), layouts)
+    if layout is None:
+        return rows.groupBy(key).agg(F.lit(None).cast(TURNS).alias("_turns"), F.lit(None).cast("string").alias("layout"))
+    _, role, text = layout.items
+    turn = _turn(_said_by(layout, F.col(f"`{role}`").cast("string")), F.col(f"`{text}`").cast("string"))
+    listed = rows.select(key, F.struct(F.col(f"`{order}`").alias("at"), turn.alias("turn")).alias("item"))
+    listed = listed.groupBy(key).agg(F.sort_array(F.collect_list("item")).alias("items"))
+    return listed.select(key, F.transform("items", lambda m: m["turn"]).alias("_turns"), F.lit(layout.name).alias("layout"))
 
-def bodies_of_rows(rows: DataFrame) -> DataFrame:
-    """Records of a table with one row a turn: ``conv_id`` and a message list as VARIANT."""
-    return _listed(rows).select("conv_id", F.to_variant_object(F.struct("messages")).alias("body"))
 
-
-def format_rows(rows: DataFrame) -> DataFrame:
-    """As :func:`format_chats` of :func:`bodies_of_rows`, without the VARIANT."""
-    name = next(x.name for x in LAYOUTS if shape_of_paths(x.paths) == shape_of_paths(ROW_PATHS))
-    turns = F.transform("messages", lambda m: _turn(m["role"], m["content"]))
-    return _formatted(_listed(rows).select("conv_id", turns.alias("_turns"), F.lit(name).alias("layout")))
+def format_rows(rows: DataFrame, key: str = "conv_id", order: str = "turn", layouts: Sequence[Layout] = ROW_LAYOUTS) -> DataFrame:
+    """As :func:`format_chats`, of a table with one row a turn."""
+    return _formatted(turns_of_rows(rows, key, order, layouts))
 
 
 def escaped(text: Column) -> Column:
@@ -194,6 +223,26 @@ def format_chats(records: DataFrame, body: str = "body", layouts: Sequence[Layou
     return _formatted(records.withColumns({"_turns": turns, "layout": name}).drop(body))
 
 
+def _summed(sizes: str) -> Column:
+    """For every ``RUN`` numbers their total and what comes before each of them."""
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / RUN)), lambda i: F.slice(sizes, (i * RUN + 1).cast("int"), F.lit(RUN)))
+    return F.transform(runs, lambda run: _before_each(run, lambda x: x))
+
+
+def _before_each(items: Column | str, number: Callable[[Column], Column]) -> Column:
+    return F.aggregate(
+        items,
+        F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("before")),
+        lambda acc, x: F.struct((acc["total"] + number(x)).alias("total"), F.array_append(acc["before"], acc["total"]).alias("before")),
+    )
+
+
+def _running(summed: str) -> Column:
+    """The sum of all numbers before each one."""
+    offsets = _before_each(F.col(summed), lambda run: run["total"])["before"]
+    return F.flatten(F.zip_with(F.col(summed), offsets, lambda run, start: F.transform(run["before"], lambda x: x + start)))
+
+
 def _formatted(records: DataFrame) -> DataFrame:
     """``records`` with ``formatted`` and ``loss_mask`` in place of ``_turns``."""
     pieces = F.transform(
@@ -205,26 +254,24 @@ def _formatted(records: DataFrame) -> DataFrame:
         ),
     )
     whole = F.array_join(F.transform("_pieces", lambda p: F.concat(p["head"], p["text"], F.lit(END))), "")
-    starts = F.aggregate(
-        "_pieces",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.octet_length(p["head"]) + F.octet_length(p["text"]) + len(END)).alias("at"),
-            F.array_append(acc["starts"], acc["at"] + F.octet_length(p["head"])).alias("starts"),
-        ),
-    )["starts"]
+    sizes = F.transform("_pieces", lambda p: F.octet_length(p["head"]) + F.octet_length(p["text"]) + len(END))
     spans = F.transform(
         F.arrays_zip("_pieces", "_starts"),
         lambda z: F.when(
             z["_pieces"]["learned"],
-            F.struct(z["_starts"].alias("start"), F.octet_length(z["_pieces"]["text"]).alias("length")),
+            F.struct(
+                (z["_starts"] + F.octet_length(z["_pieces"]["head"])).alias("start"),
+                F.octet_length(z["_pieces"]["text"]).alias("length"),
+            ),
         ),
     )
     return (
         records.withColumn("_pieces", pieces)
-        .withColumns({"formatted": whole, "_starts": starts})
+        .withColumns({"formatted": whole, "_sizes": sizes})
+        .withColumn("_summed", _summed("_sizes"))
+        .withColumn("_starts", _running("_summed"))
         .withColumn("loss_mask", F.array_compact(spans))
-        .drop("_turns", "_pieces", "_starts")
+        .drop("_turns", "_pieces", "_sizes", "_summed", "_starts")
     )
 
 

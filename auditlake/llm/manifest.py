@@ -162,15 +162,16 @@ def _step(kids: Column, lo: Column, hi: Column) -> Column:
     return F.struct(said(before).alias("before"), said(after).alias("after"))
 
 
-def _handed_down(levels: Sequence[DataFrame], tops: DataFrame) -> DataFrame:
+def _handed_down(levels: Sequence[DataFrame], tops: DataFrame | None) -> DataFrame:
     """The lowest level with ``path`` and the columns of ``tops``, one row a tree with the
-    path of its subroot."""
-    given = [c for c in tops.columns if c not in ("tree", "path")]
+    path of its subroot; without them paths begin at the tops of the trees."""
+    given = [c for c in tops.columns if c not in ("tree", "path")] if tops else []
     above = None
     for k in range(len(levels), 0, -1):
         nodes = levels[k - 1]
         covers = (F.col("lo") == 0) & (F.col("hi") == F.col("n"))
-        with_path = nodes.filter(covers).join(tops, "tree")
+        ends = nodes.filter(covers)
+        with_path = ends.join(tops, "tree") if tops else ends.withColumn("path", F.array().cast(STEPS))
         if above is not None:
             parent = above.select(
                 F.col("tree").alias("p_tree"),
@@ -220,8 +221,7 @@ def build(leaves: DataFrame, *, key: str = "key", carry: Sequence[str] = ()) ->
     own = table(_tops(levels).select(F.lit("").alias("tree"), F.col("tree").alias("name"), "hash"), "subroots")
     over = _grow(_ranked(own, "name"), ("name",))
     root = _tops(over).first()["hash"]
-    start = leaves.sparkSession.range(1).select(F.lit("").alias("tree"), F.array().cast(STEPS).alias("path"))
-    subroots = _leaf_paths(_handed_down(over, start), ("name",), ()).select(
+    subroots = _leaf_paths(_handed_down(over, None), ("name",), ()).select(
         F.col("name").alias("tree"), F.col("leaf").alias("subroot"), "path"
     )
     return Manifest(levels, table(subroots, "subroot-paths"), root)

@@ -60,5 +60,27 @@ def joined_by_key(rows: DataFrame, found: DataFrame, key: str, count: str) -> Da
     return hit.select(*rows.columns, *added).unionByName(missed.select(*rows.columns, *added))
 
 
+# Bits of a sketch; it takes 4 MB wherever it is broadcast to, whatever it is made from.
+SKETCH_BITS = 1 << 25
+
+
+def key_sketch(keys: DataFrame, hashed: Column) -> DataFrame:
+    """A bit for each of some keys, as bitmaps of fixed size."""
+    bit = F.pmod(hashed, F.lit(SKETCH_BITS)).alias("bit")
+    placed = keys.select(bit).groupBy(F.bitmap_bucket_number("bit").alias("_bucket"))
+    return placed.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
+
+
+def may_hold(rows: DataFrame, sketch: DataFrame, hashed: Column) -> DataFrame:
+    """Rows whose key may be in a sketch: all that are, and few others while the sketch has
+    many more bits than keys. It has at most ``SKETCH_BITS`` bits, so it may be broadcast."""
+    bit = F.pmod(hashed, F.lit(SKETCH_BITS))
+    byte = F.floor(F.bitmap_bit_position(bit) / 8).cast("int")
+    held = rows.withColumns({"_at": F.bitmap_bucket_number(bit), "_byte": byte, "_bit": (F.bitmap_bit_position(bit) % 8).cast("int")})
+    held = held.join(F.broadcast(sketch), F.col("_at") == F.col("_bucket"))
+    value = F.conv(F.hex(F.substr("_bits", F.col("_byte") + 1, F.lit(1))), 16, 10).cast("int")
+    return held.filter(F.getbit(value, F.col("_bit")) == 1).select(*rows.columns)
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

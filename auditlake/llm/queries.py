@@ -111,7 +111,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(langid.fold_of(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
-        toxicity.flagged(F.col("score"), F.col("lang"), trained.thresholds).alias("flagged"),
+        toxicity.flagged(F.col("score"), F.col("lang"), trained.thresholds, trained.common).alias("flagged"),
     )
 
 

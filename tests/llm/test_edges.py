@@ -121,20 +121,52 @@ def test_chats_of_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, 1, "assistant", "a\\b<s>[INST]\\<|end|>"), (1, 1, "assistant", "tie"), (1, 1, "assistant", "tie"), (2, None, None, None), (None, 0, "assistant", "no id"), (3, 0, "<|end|>", "語 é"), (4, 0, "assistant", "\\\\<\\s>" * 50)]
     table = frame(spark, [(*r, "clash") for r in rows], "conv_id bigint, turn bigint, role string, text string, body string")
     pair = spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.to_variant_object(F.struct(F.lit(HOSTILE).alias("prompt"), F.lit(HOSTILE).alias("response"))).alias("body"))
-    done = chat.format_chats(chat.bodies_of_rows(table).unionByName(pair))
+    done = chat.format_rows(table).unionByName(chat.format_chats(pair))
     judged(spark, "op7_chat_formatting", chat.digest(done, "conv_id"), conversations=table.drop("body"))
-    assert chat.bodies_of_rows(table.limit(0)).count() == 0
+    assert chat.format_rows(table.limit(0)).count() == 0
     control = [c for c in chat.CONTROL if c not in (chat.TURN, chat.TEXT, chat.END)]
     assert not any(c in r.formatted for r in done.collect() for c in control)
 
 
-def test_typed_rows_need_no_variant(spark, small_dir, monkeypatch):
-    rows = frame(spark, [(1, 0, "user", None), (1, 1, "assistant", "a<s>"), (1, 1, "assistant", "a<s>"), (2, None, None, None), (None, 0, "human", "no id")], "conv_id bigint, turn bigint, role string, text string")
-    expected = chat.format_chats(chat.bodies_of_rows(rows))
-    found = chat.format_rows(rows).select(*expected.columns)
-    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
-    monkeypatch.setattr(chat, "bodies_of_rows", None)
-    assert queries.op7_chat_formatting(spark, small_dir).count() > 1
+CHAT_ROWS = [(1, 0, "user", None), (1, 1, "assistant", "a<s>"), (1, 1, "assistant", "a<s>"), (2, None, None, None), (None, 0, "human", "no id")]
+
+
+def chat_rows(spark, role, text, more=""):
+    rows = [(*r, "clash") if more else r for r in CHAT_ROWS]
+    return frame(spark, rows, f"conv_id bigint, turn bigint, `{role}` string, `{text}` string{more}")
+
+
+@pytest.mark.parametrize(
+    ("role", "text", "more", "layout"),
+    [("role", "text", "", "turn_rows"), ("role", "content", ", body string", "message_rows"), ("from", "value", "", "dialogue_rows"),
+     ("speaker", "text", "", None), ("role", "text", ", content string", None)],
+)
+def test_row_layouts_are_picked_by_fingerprint(spark, role, text, more, layout):
+    done = chat.format_rows(chat_rows(spark, role, text, more))
+    assert "variant" not in done._jdf.queryExecution().analyzed().toString().lower()
+    rows = {r.conv_id: r for r in done.withColumn("turns", chat.parsed_turns(F.col("formatted"))).collect()}
+    assert rows.keys() == {1, 2, None} and {r.layout for r in rows.values()} == {layout}
+    if layout is None:
+        assert {(r.formatted, r.loss_mask) for r in rows.values()} == {(None, None)}
+        return
+    named = "user" if layout == "dialogue_rows" else "human"
+    assert [tuple(t) for t in rows[1].turns] == [("user", ""), ("assistant", "a<s>"), ("assistant", "a<s>")]
+    assert [tuple(t) for t in rows[2].turns] == [("", "")] and [tuple(t) for t in rows[None].turns] == [(named, "no id")]
+
+
+def test_marks_are_those_of_spark(spark):
+    shapes = [chat.shape_of_paths(x.paths) for x in (*chat.LAYOUTS, *chat.ROW_LAYOUTS)]
+    found = frame(spark, [(s,) for s in shapes], "s string").select("s", chat.fingerprint(F.col("s")).alias("mark")).collect()
+    assert all(r.mark == chat.mark_of(r.s) for r in found) and len({r.mark for r in found}) == len(shapes)
+
+
+@pytest.mark.parametrize("n", [1, 255, 256, 257, 3_000])
+def test_masks_of_long_chats(spark, n):
+    rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 3 = 1, 'assistant', 'user') AS role", "repeat('é<s>', CAST(id % 4 AS INT)) AS text")
+    done = chat.format_rows(rows).first()
+    whole = done.formatted.encode()
+    texts = [whole[m.start : m.start + m.length].decode() for m in done.loss_mask]
+    assert texts == ["é<\\s>" * (i % 4) for i in range(n) if i % 3 == 1]
 
 
 def test_layouts_are_picked_by_fingerprint(spark):
@@ -291,14 +323,13 @@ def test_toxicity_of_odd_rows_and_labels(spark):
 
 
 def test_thresholds_and_flags(spark):
-    assert toxicity.best_threshold(np.array([0.9, 0.8, 0.3, 0.1]), np.array([1, 1, 0, 0])) == pytest.approx(0.55)
     rows = frame(spark, [(0.3, "en"), (0.3, "de"), (0.6, None)], "s double, lang string")
     flags = rows.select(toxicity.flagged(F.col("s"), F.col("lang"), {"en": 0.2})).collect()
     assert [r[0] for r in flags] == [True, False, True]
 
 
 def test_thresholds_are_found_in_the_natural_mix(spark, monkeypatch):
-    """However few texts the fit draws, all labels of the fold are scored and counted."""
+    """However few texts the fit draws, all labels are scored, by a network without them."""
     rows = [(i, f"w{i % 7} " * 5 + ("vile" if i % 10 == 0 else ""), "en", int(i % 10 == 0)) for i in range(1_000)]
     docs = frame(spark, [r[:3] for r in rows], "doc_id bigint, text string, lang string")
     labels = frame(spark, [(r[0], r[3]) for r in rows], "doc_id bigint, label int")
@@ -306,19 +337,73 @@ def test_thresholds_are_found_in_the_natural_mix(spark, monkeypatch):
     whole = toxicity.thresholds_by_language
     monkeypatch.setattr(toxicity, "thresholds_by_language", lambda scored: seen.extend(scored.collect()) or whole(scored))
     trained = toxicity.train(docs, labels, per_class=20)
-    fold = labels.filter(toxicity._set_aside(toxicity.SEED))
-    assert trained.texts == 40 and sorted(r.label for r in seen) == sorted(r.label for r in fold.collect())
-    assert 100 < len(seen) < 300 and 0 < trained.thresholds["en"] < 1
+    assert trained.texts == 40 and sorted(r.label for r in seen) == sorted(r[3] for r in rows)
+    assert 0 < trained.thresholds["en"] < 1 and len(trained.net) == toxicity.MEMBERS
     two = labels.filter("doc_id IN (0, 1)")
     assert not isinstance(toxicity.train(docs, two).net, float)
 
 
+def plain_odds(net, words):
+    """One text's log odds, place by place."""
+    vectors = [net.embedding[rows].mean(axis=0) for rows in words]
+    pooled = []
+    for width in toxicity.WIDTHS:
+        for k in range(toxicity.FILTERS):
+            best = 0.0
+            for at in range(len(words) - width + 1):
+                told = net.offsets[width][k] + sum(vectors[at + j] @ net.filters[width][j][:, k] for j in range(width))
+                best = max(best, float(told))
+            pooled.append(best)
+    return float(np.array(pooled) @ net.out + net.bias[0] + net.shift)
+
+
+def test_scores_equal_those_of_a_plain_loop():
+    draw = np.random.default_rng(2)
+    texts = ["", "one", "two words", "three short words", " ".join(draw.choice([f"w{i}" for i in range(9)], 40)), "", "end"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    buckets, ends = toxicity.word_buckets(data, np.cumsum([0, *(len(t.encode()) for t in texts)]))
+    nets = [toxicity.Network.fresh(seed) for seed in (1, 2)]
+    nets[0].shift = nets[1].shift = 0.7
+    scores = toxicity.score_of(nets, buckets, ends)
+    for i in range(len(texts)):
+        odds = np.mean([plain_odds(net, buckets[ends[i] : ends[i + 1]]) for net in nets])
+        assert scores[i] == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-5)
+
+
+def test_toxicity_of_held_out_texts(spark):
+    """Floors of the query on whole texts that it did not learn from."""
+    folder = "/root/testdata/sf0.1"
+    toxic = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    langs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    rows = queries.op9_toxicity(spark, folder).filter("held_out").join(toxic, "doc_id").join(langs, "doc_id").toPandas()
+    bad, good = rows[rows.toxic == 1], rows[rows.toxic == 0]
+    ahead = (bad.score.values[:, None] > good.score.values[None]).mean()
+    assert len(bad) > 50 and ahead >= 0.975 and (bad.predicted == 1).mean() >= 0.8
+    assert good.flagged.mean() <= 0.02 and good.groupby("lang").flagged.mean().max() <= 0.05
+    assert bad.flagged.mean() >= 0.8
+
+
+def plain_threshold(rows):
+    """The score halfway below the cut with the best F1; the highest of equals."""
+    rows = sorted(rows, key=lambda r: -r[2])
+    total, hits, best = sum(r[1] for r in rows), 0, (0, None)
+    for k, (_, label, value) in enumerate(rows, 1):
+        hits += label
+        below = rows[k][2] if k < len(rows) else 0.0
+        if 2 * hits / (k + total) > best[0]:
+            best = 2 * hits / (k + total), (value + below) / 2
+    return best[1]
+
+
 def test_thresholds_of_counts_equal_those_of_scores(spark):
     rows = [("en", int(s > 0.6 or i % 9 == 0), float(s)) for i, s in enumerate(np.linspace(0, 1, 60))]
     rows += [("de", 0, 0.2), (None, 1, 0.9), ("fr", 1, 1.0), ("fr", 0, 0.0)]
-    found = toxicity.thresholds_by_language(frame(spark, rows, "lang string, label int, score double"))
-    own = [r for r in rows if r[0] == "en"]
-    assert found == {"en": toxicity.best_threshold(np.array([r[2] for r in own]), np.array([r[1] for r in own])), "fr": 0.5}
+    scored = frame(spark, rows, "lang string, label int, score double")
+    assert toxicity.thresholds_by_language(scored, 30)[0] == {}
+    found, common = toxicity.thresholds_by_language(scored, 1)
+    assert found == {"en": plain_threshold([r for r in rows if r[0] == "en"]), "fr": 0.5}
+    assert common == plain_threshold(rows)
+    assert toxicity.thresholds_by_language(scored.limit(0)) == ({}, 0.5)
 
 
 # --- pipeline -------------------------------------------------------------------
