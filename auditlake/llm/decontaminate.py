@@ -6,13 +6,15 @@ last of equals). Two texts that share a whole window keep the same hash in it, s
 shared window is found; windows have ``window`` words, with k = window / 2. Items of fewer
 words are one window each and get fingerprints for their own length, on both sides.
 
-The fingerprints of both sides are joined. A document that shares one with an item is
-read again with the item's words, and every shared fingerprint is extended as far as the
-words agree; a run of a whole window or more is a hit, and its words are marked.
+A sketch of the benchmark's fingerprints, of fixed size, leaves out most of the documents',
+and the rest are joined. A document that shares one with an item is read again and meets
+the item's words, which come to the tasks in blocks of bounded size; every shared
+fingerprint is extended as far as the words agree. A run of a whole window or more is a hit,
+and its words are marked.
 
 NULL and empty texts have no words and hit nothing. Repeated rows are judged each; items
 that repeat are counted once by their id. Rows without an id are judged too. An item
-without id hits like any other and is only left out of the names. Other columns play no
+without id hits like any other, items without id count as one, and have no name. Other columns play no
 part.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlake.llm.native import listed, table
+from auditlake.llm.native import hinted, key_sketch, may_hold, table
 from auditlake.llm.tokens import BY_ALNUM, gram_hashes, hash_words, lists, text_slices
-from auditlake.sources.local import small
 
 WINDOW = 10
+# Words of the items that tasks hold at once, eight bytes each.
+BLOCK_WORDS = 4_000_000
 
 
 def parts_of(length: int) -> tuple[int, int]:
@@ -119,16 +123,49 @@ def extended(doc: np.ndarray, item: np.ndarray, length: int) -> list[tuple[int,
     return spans
 
 
+def _edges(hit: np.ndarray) -> list[int]:
+    """Starts and ends of the runs of marked words, one after the other."""
+    return np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]))).tolist()
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One list of runs for the lists that the blocks of items gave."""
+    for batch in batches:
+        hits, spans = [], []
+        for lists_of_edges in batch.column("edges").to_pylist():
+            hit = np.zeros(max(e[-1] for e in lists_of_edges), bool)
+            for edges in lists_of_edges:
+                for low, high in zip(edges[::2], edges[1::2], strict=True):
+                    hit[low:high] = True
+            hits.append(int(hit.sum()))
+            spans.append(_edges(hit))
+        columns = [pa.array(hits, pa.int64()), pa.array(spans, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("body"), *columns], ["row_id", "body", "n_hit", "edges"])
+
+
+def _blocks(bench: DataFrame) -> list[DataFrame]:
+    """The items in blocks of about ``BLOCK_WORDS`` words; one for most benchmarks."""
+    words = bench.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
+    n = -(-words // BLOCK_WORDS)
+    return [bench.filter(F.pmod(F.xxhash64("inner"), F.lit(n)) == k) for k in range(n)]
+
+
+def _held(block: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
+    """Words and window length of the items of a block, which is of bounded size."""
+    rows = block.select("inner", "words", "length").dropDuplicates(["inner"]).toArrow().combine_chunks()
+    words = (np.asarray(w.values).view(np.uint64) for w in rows.column("words"))
+    return dict(zip(rows.column("inner").to_pylist(), zip(words, rows.column("length").to_pylist(), strict=True), strict=True))
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, *, row_id: str = "doc_id", text: str = "text", window: int = WINDOW
 ) -> DataFrame:
-    """``row_id, body, n_words, n_hit, item_ids, edges`` of each document.
+    """``row_id, body, n_words, n_hit, item_ids, n_items, edges`` of each document.
 
+    ``n_items`` counts the ids of items that hit, those without one as one id more;
     ``body`` is a hash of the text; ``edges`` are starts and ends, in words, of the runs
     that were hit, one after the other. Only documents that share a fingerprint are
-    read a second time, and only they meet the words of items. The benchmark's distinct
-    fingerprints are counted and broadcast up to a known number; beyond it both sides are
-    shuffled by fingerprint, where adaptive execution splits a hot one.
+    read a second time, and only they are shuffled with their texts.
     """
     bench = table(item_words(items, window), "items")
     lengths = sorted(r.length for r in bench.select("length").distinct().collect())
@@ -149,57 +186,69 @@ def contaminated(
     # the first entry stands for the row itself, so rows are counted though they share a key
     each = prints.select("row_id", "body", "n_words", F.posexplode(F.concat(F.array("body"), "fps")).alias("nth", "fp"))
     known = table(bench_fps.select("fp").distinct(), "known-prints")
-    known = small(known, known.count()).withColumn("known", F.lit(True))
+    told = hinted(each, key_sketch(known, F.col("fp")), F.col("fp"), "may")
+    told = table(told.filter("nth = 0 OR may"), "doc-prints")
+    shared = told.filter("nth > 0").join(known, "fp", "left_semi")
     flags = (
-        each.join(known, "fp", "left")
+        told.filter("nth = 0")
+        .unionByName(shared)
         .groupBy("row_id", "body")
         .agg(
             F.max("n_words").alias("n_words"),
             F.count_if(F.col("nth") == 0).alias("copies"),
-            F.count_if(F.col("known") & (F.col("nth") > 0)).alias("shared"),
+            F.count_if(F.col("nth") > 0).alias("shared"),
         )
     )
     flags = table(flags, "flags")
     same = lambda a, b: a["row_id"].eqNullSafe(b["row_id"]) & (a["body"] == b["body"])
     keys = flags.filter("shared > 0").select("row_id", "body")
-    suspects = table(docs.join(listed(keys, keys.count()), same(docs, keys), "left_semi").dropDuplicates(["row_id", "body"]), "suspects")
+    row_hash = F.xxhash64("row_id", "body")
+    asked = may_hold(docs, key_sketch(keys, row_hash), row_hash)
+    suspects = table(asked.join(keys, same(asked, keys), "left_semi").dropDuplicates(["row_id", "body"]), "suspects")
     found = fingerprints(suspects, "text", lengths or [window]).select("row_id", "body", F.explode("fps").alias("fp"))
-    pairs = found.join(bench_fps, "fp").select("row_id", "body", "inner").distinct()
-    wanted = pairs.join(bench, "inner").groupBy("row_id", "body").agg(
-        F.collect_list(F.struct("item_id", "words", "length")).alias("items")
-    )
-    both = suspects.join(wanted, same(suspects, wanted)).select(suspects["row_id"], suspects["body"], "text", "items")
+    pairs = table(found.join(bench_fps, "fp").select("row_id", "body", "inner").distinct(), "pairs")
 
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def extend(batches: Iterator[pa.RecordBatch], held: dict[int, tuple]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits, ids, spans = [], [], []
+            ids, spans = [], []
             for i, words in _words(batch, "text"):
-                hit, named = np.zeros(len(words), bool), set()
-                for item in batch.column("items")[i]:
-                    item_words = np.asarray(item["words"].values).view(np.uint64)
-                    for low, high in extended(words, item_words, item["length"].as_py()):
+                hit, named = np.zeros(len(words), bool), []
+                for inner in batch.column("inners")[i].as_py():
+                    item_words, length = held[inner]
+                    own = extended(words, item_words, length)
+                    for low, high in own:
                         hit[low:high] = True
-                        named.add(item["item_id"].as_py())
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))
-                hits.append(int(hit.sum()))
-                ids.append(sorted(named - {None}))
-                spans.append(edges.tolist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row_id"),
-                    batch.column("body"),
-                    pa.array(hits, pa.int64()),
-                    pa.array(ids, pa.list_(batch.schema.field("items").type.value_type.field("item_id").type)),
-                    pa.array(spans, pa.list_(pa.int64())),
-                ],
-                ["row_id", "body", "n_hit", "item_ids", "edges"],
-            )
-
-    hits = both.mapInArrow(
-        extend, f"row_id {id_kind}, body bigint, n_hit bigint, item_ids array<{item_kind}>, edges array<bigint>"
-    ).filter("n_hit > 0")
+                    if own:
+                        named.append(inner)
+                ids.append(named)
+                spans.append(_edges(hit))
+            columns = [pa.array(ids, pa.list_(pa.int64())), pa.array(spans, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("body"), *columns], ["row_id", "body", "inners", "edges"])
+
+    parts = []
+    for block in _blocks(bench):
+        wanted = pairs.join(F.broadcast(block.select("inner")), "inner", "left_semi")
+        wanted = wanted.groupBy("row_id", "body").agg(F.collect_set("inner").alias("inners"))
+        both = suspects.join(wanted, same(suspects, wanted)).select(suspects["row_id"], suspects["body"], "text", "inners")
+        shared_words = docs.sparkSession.sparkContext.broadcast(_held(block))
+        kinds = f"row_id {id_kind}, body bigint, inners array<bigint>, edges array<bigint>"
+        # bound now, as the loop goes on before anything runs
+        told = both.mapInArrow(lambda batches, words=shared_words: extend(batches, words.value), kinds)
+        parts.append(table(told.filter(F.size("edges") > 0), "hits"))
+    empty = docs.sparkSession.createDataFrame([], f"row_id {id_kind}, body bigint, inners array<bigint>, edges array<bigint>")
+    by_block = reduce(DataFrame.unionByName, parts, empty)
+    hits = by_block.groupBy("row_id", "body").agg(
+        F.collect_list("edges").alias("edges"), F.flatten(F.collect_list("inners")).alias("inners")
+    )
+    merged = hits.select("row_id", "body", "edges").mapInArrow(_merged, f"row_id {id_kind}, body bigint, n_hit bigint, edges array<bigint>")
+    # items by their ids, of which several rows may share one, or have none
+    named = hits.select("row_id", "body", F.explode("inners").alias("inner")).join(bench.select("inner", "item_id"), "inner")
+    named = named.groupBy("row_id", "body").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.count_distinct("item_id").alias("n_named"), F.max(F.col("item_id").isNull()).alias("nameless"))
+    hits = merged.join(named, same(merged, named)).select(
+        merged["row_id"], merged["body"], "n_hit", "item_ids", (F.col("n_named") + F.col("nameless").cast("bigint")).alias("n_items"), "edges"
+    )
     judged = flags.join(hits, same(flags, hits), "left").select(
-        flags["row_id"].alias(row_id), flags["body"], "n_words", "copies", "n_hit", "item_ids", "edges"
+        flags["row_id"].alias(row_id), flags["body"], "n_words", "copies", "n_hit", "item_ids", "n_items", "edges"
     )
     return judged.select(
         row_id,
@@ -207,6 +256,7 @@ def contaminated(
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast(f"array<{item_kind}>")).alias("item_ids"),
+        F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
         F.coalesce("edges", F.array().cast("array<bigint>")).alias("edges"),
         F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"),
     ).drop("copy")

@@ -15,7 +15,10 @@ aggregated, never expanded into pairs. What a line is dropped for is verified on
 
 One edit leaves the first or the last half of a line as it was. So only lines that share a
 half with another line can have a partner, and only those emit their variants. Texts are
-read three times; between these, rows of hashes are shuffled.
+split into lines once; between this and the writing of the results, rows of hashes and the
+lines that emit variants are shuffled. A sketch of fixed size rules out most texts that lose
+no line; the others are joined with the list of what goes by their id, in one form at
+every size.
 
 NULL text stays NULL, empty text stays empty. Rows without an id are left as they are and
 count for no other row. Repeated rows are the same lines at the same place, and stay.
@@ -28,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.llm.native import listed, table
+from auditlake.llm.native import hinted, key_sketch, may_hold, table
 
 MIN_WORDS = 8
 
@@ -104,17 +107,10 @@ def _candidates(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     return table(halves.join(shared, "half", "left_semi").select("lh").distinct().join(firsts.drop("times"), "lh"), "candidates")
 
 
-def _texts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``lh, line, n`` of candidate lines, each read where it stands first."""
-    wanted = candidates.groupBy(F.col("first.doc_id").alias("at_id")).agg(
-        F.collect_list(F.struct("lh", F.col("first.line_no").alias("line_no"))).alias("wanted")
-    )
-    held = docs.join(listed(wanted, candidates.count()), F.col("doc_id") == F.col("at_id")).select(
-        "wanted", normal_lines(F.col("text")).alias("own")
-    )
-    picked = F.transform("wanted", lambda w: F.struct(w["lh"].alias("lh"), F.get("own", w["line_no"]).alias("line")))
-    # another row with the id may hold another line there
-    found = held.select(F.inline(picked)).filter(F.xxhash64("line") == F.col("lh")).dropDuplicates(["lh"])
+def _texts(lines: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``lh, line, n`` of candidate lines, each taken once from wherever it stands."""
+    asked = may_hold(lines.select("lh", "line"), key_sketch(candidates, F.col("lh")), F.col("lh"))
+    found = asked.groupBy("lh").agg(F.any_value("line").alias("line")).join(candidates.select("lh"), "lh", "left_semi")
     return table(found.withColumn("n", _size(F.col("line"))), "candidate-lines")
 
 
@@ -146,16 +142,13 @@ def _near(texts: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, *, short_copies: bool = False) -> DataFrame:
-    """``docs`` without the dropped lines, with ``n_lines`` and ``n_dropped``.
-
-    Lists of lines are joined to their texts. Up to a counted number of lines the list is
-    broadcast, beyond it texts are shuffled by id.
-    """
+    """``docs`` without the dropped lines, with ``n_lines`` and ``n_dropped``."""
     bare = docs.select("doc_id", "text")
-    # a line without halves is compared as a whole only
-    halves = F.when(F.col("n") >= min_words, _half_keys(F.col("line"), F.col("n")))
+    # a line without halves is compared as a whole only, by its hash
+    long = F.col("n") >= min_words
+    halves = F.when(long, _half_keys(F.col("line"), F.col("n")))
     lines = _lines(bare, 1 if short_copies else min_words).select(
-        "doc_id", "body", "line_no", F.xxhash64("line").alias("lh"), halves.alias("halves")
+        "doc_id", "body", "line_no", F.xxhash64("line").alias("lh"), halves.alias("halves"), F.when(long, F.col("line")).alias("line")
     )
     lines = table(lines, "lines")
     firsts = lines.groupBy("lh").agg(
@@ -163,18 +156,21 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, *, short_copies: bo
     )
     firsts = table(firsts, "firsts")
     candidates = _candidates(lines, firsts)
-    near = _near(_texts(bare, candidates), candidates)
+    near = _near(_texts(lines, candidates), candidates)
     again = firsts.filter("times > 1").select("lh", F.col("first").alias("before"))
     limits = table(again.unionByName(near).groupBy("lh").agg(F.min("before").alias("before")), "limits")
     dropped = lines.join(limits, "lh").filter(F.struct("doc_id", "line_no") > F.col("before"))
     dropped = table(
         dropped.select(F.col("doc_id").alias("_gone_id"), F.col("body").alias("_gone_body"), "line_no"), "dropped"
     )
-    gone = listed(dropped.groupBy("_gone_id", "_gone_body").agg(F.collect_set("line_no").alias("_gone")), dropped.count())
+    gone = dropped.groupBy("_gone_id", "_gone_body").agg(F.collect_set("line_no").alias("_gone"))
 
     clash = [c for c in docs.columns if c.lower() in ("n_lines", "n_dropped", "_raw", "_gone", "_gone_id", "_gone_body")]
     docs = docs.drop(*clash)
-    joined = docs.join(gone, (F.col("doc_id") == F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_body")), "left")
+    told = hinted(docs, key_sketch(dropped, F.xxhash64("_gone_id")), F.xxhash64("doc_id"), "_loses")
+    same = (F.col("doc_id") == F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_body"))
+    lose = told.filter("_loses").join(gone, same, "left").select(*docs.columns, "_gone")
+    joined = told.filter("NOT _loses").select(*docs.columns, F.lit(None).cast("array<int>").alias("_gone")).unionByName(lose)
     # a column of its own, so that it is split once and not for each line
     joined = joined.withColumn("_raw", F.when(F.col("_gone").isNotNull(), F.split("text", "\n")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), F.col("_gone"))

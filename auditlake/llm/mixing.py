@@ -27,6 +27,8 @@ SHARE_PERCENT = 150
 MAX_EPOCHS = 2
 BLOCK_TOKENS = 16
 SHARD_TOKENS = 500_000
+# A source's quotas are ranked over its shards, so these are bounded; they grow instead.
+MAX_SHARDS = 100_000
 SEED = 17
 
 
@@ -127,12 +129,13 @@ def mix(
     """``doc_id, source, size, source_size, target, taken, draw`` of every document.
 
     Texts are read once; what is shuffled is a row of numbers a document. A shard holds
-    about ``shard_tokens`` words of all sources, so a source with a third of all rows is
+    about ``shard_tokens`` words of all sources, more where there would be more than
+    ``MAX_SHARDS``, so a source with a third of all rows is
     spread over all shards, and no task orders more than one shard of it.
     """
     rows = table(sized(docs, seed), "sized")
     words = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    n_shards = max(1, -(-words // shard_tokens))
+    n_shards = min(MAX_SHARDS, max(1, -(-words // shard_tokens)))
     rows = rows.withColumn("shard", F.pmod(F.shiftright("draw", 20), F.lit(n_shards)).cast("int"))
     cells = rows.groupBy("source", "shard").agg(F.sum("size").alias("cell_size"))
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))

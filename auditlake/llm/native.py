@@ -29,15 +29,6 @@ def table(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-# A row of a list is a few numbers, so such a list takes some 60 MB of an executor.
-MAX_LISTED = 1_000_000
-
-
-def listed(frame: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a list of keys made from a counted number of rows, up to a fixed number."""
-    return F.broadcast(frame) if rows <= MAX_LISTED else frame
-
-
 # Keys with more than this part of all rows are hot; there can be no more than so many.
 HOT_KEYS = 1_000
 
@@ -71,15 +62,30 @@ def key_sketch(keys: DataFrame, hashed: Column) -> DataFrame:
     return placed.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
 
 
-def may_hold(rows: DataFrame, sketch: DataFrame, hashed: Column) -> DataFrame:
-    """Rows whose key may be in a sketch: all that are, and few others while the sketch has
-    many more bits than keys. It has at most ``SKETCH_BITS`` bits, so it may be broadcast."""
+def hinted(rows: DataFrame, sketch: DataFrame, hashed: Column, name: str) -> DataFrame:
+    """``rows`` and whether their key may be in a sketch: true for all that are, and for few
+    others while the sketch has many more bits than keys. It has ``SKETCH_BITS`` bits at
+    most, so it may be broadcast."""
     bit = F.pmod(hashed, F.lit(SKETCH_BITS))
-    byte = F.floor(F.bitmap_bit_position(bit) / 8).cast("int")
-    held = rows.withColumns({"_at": F.bitmap_bucket_number(bit), "_byte": byte, "_bit": (F.bitmap_bit_position(bit) % 8).cast("int")})
-    held = held.join(F.broadcast(sketch), F.col("_at") == F.col("_bucket"))
+    place = {"_at": F.bitmap_bucket_number(bit), "_byte": F.floor(F.bitmap_bit_position(bit) / 8).cast("int")}
+    held = rows.withColumns({**place, "_bit": (F.bitmap_bit_position(bit) % 8).cast("int")})
+    held = held.join(F.broadcast(sketch), F.col("_at") == F.col("_bucket"), "left")
     value = F.conv(F.hex(F.substr("_bits", F.col("_byte") + 1, F.lit(1))), 16, 10).cast("int")
-    return held.filter(F.getbit(value, F.col("_bit")) == 1).select(*rows.columns)
+    hint = F.coalesce(F.getbit(value, F.col("_bit")) == 1, F.lit(False))
+    return held.select(*[F.col(f"`{c}`") for c in rows.columns], hint.alias(name))
+
+
+def may_hold(rows: DataFrame, sketch: DataFrame, hashed: Column) -> DataFrame:
+    """Rows whose key may be in a sketch."""
+    return hinted(rows, sketch, hashed, "_may").filter("_may").drop("_may")
+
+
+def without(rows: DataFrame, gone: DataFrame, same: Column, hashed: Column, hashed_gone: Column) -> DataFrame:
+    """Rows that are ``same`` as none of ``gone``. Only rows that a sketch of the gone ones
+    cannot rule out are joined, so few others are ever shuffled, whatever the sizes."""
+    told = hinted(rows, key_sketch(gone, hashed_gone), hashed, "_may")
+    asked = told.filter("_may").drop("_may").join(gone, same, "left_anti")
+    return told.filter("NOT _may").drop("_may").unionByName(asked)
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:

@@ -77,7 +77,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("item_ids").cast("bigint").alias("n_items"),
+        "n_items",
         F.sha2(names, 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )

@@ -5,11 +5,12 @@ becomes ``com.example.www.``. A rule's host is then a prefix of the keys it fits
 an interval of the sorted keys, and two such intervals are nested or disjoint. URLs and
 rules are cut into ranges of the key order; a rule is sent to every range its interval
 meets. Each range is swept in order with a stack of the rule hosts that are open at the
-current key; on one host, the rule path that is the longest prefix of the URL's wins. The
-innermost open host with a fitting path decides.
+current key. On each open host the longest of its paths that begins the URL's path fits; of
+these rules the longest, host and path together, decides, of equals the innermost.
 
-Range bounds come from a sample of about ``BOUND_SAMPLE`` keys, and only balance the
-work. The sort key ends with a hash of the row's id, so a host, or even one URL, with a
+Range bounds come from a sample of about ``SAMPLES`` keys a range, and only balance the
+work. Ranges grow in number with the rows, beyond ``LINEAR_RANGES`` with the root of them.
+The sort key ends with a hash of the row's id, so a host, or even one URL, with a
 third of all rows is cut into several ranges.
 
 The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
@@ -30,9 +31,9 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BOUND_SAMPLE = 10_000
+SAMPLES = 10
 ROWS_PER_RANGE = 8_000
-MAX_RANGES = 4_000
+LINEAR_RANGES = 4_000
 DEFAULT_VERDICT = "allow"
 
 
@@ -78,9 +79,8 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if is_url:
                 for _, rule_host, known, lengths in reversed(stack):
                     hit = next((path[:n] for n in lengths if n <= len(path) and path[:n] in known), None)
-                    if hit is not None:
+                    if hit is not None and (rule is None or len(rule_host) + len(hit) > len(rule)):
                         rule, said = rule_host + hit, known[hit]
-                        break
             else:
                 if not stack or stack[-1][0] != key:
                     stack.append((key, host, {}, []))
@@ -156,9 +156,11 @@ def judge(
 def _bounds(asked: DataFrame) -> list[tuple[bytes, bytes, int]]:
     """Where the ranges begin, but for the first, from a sample of the keys."""
     rows = asked.count()
-    ranges = min(MAX_RANGES, -(-rows // ROWS_PER_RANGE))
+    ranges = -(-rows // ROWS_PER_RANGE)
+    if ranges > LINEAR_RANGES:
+        ranges = int((LINEAR_RANGES * ranges) ** 0.5)
     if ranges < 2:
         return []
-    drawn = asked.select("key", "path", "salt").sample(min(1.0, BOUND_SAMPLE / rows), seed=3).collect()
+    drawn = asked.select("key", "path", "salt").sample(min(1.0, SAMPLES * ranges / rows), seed=3).collect()
     drawn = sorted({(r.key.encode(), r.path.encode(), r.salt) for r in drawn})
     return sorted({drawn[len(drawn) * k // ranges] for k in range(1, ranges)}) if drawn else []

@@ -15,9 +15,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from auditlake.llm import chat, decontaminate, langid, mixing, quality, queries, tokens, toxicity, urls, warc
+from auditlake.llm import chat, decontaminate, langid, mixing, native, quality, queries, tokens, toxicity, urls, warc
 from auditlake.llm.oracles import ORACLES
 from auditlake.llm.queries import HOSTILE, URL_RULES
+from conftest import SMALL_DIR
 
 LONG = " ".join(f"word{i % 977}" for i in range(2_500))
 TEXTS = [None, "", " \n\t ", "one", "One one ONE", LONG, "é É ß 語 語 語", "a\nb\na\nb\n\n", "same text here", "same text here", "x" * 3_000_000]
@@ -103,6 +104,49 @@ def test_items_without_id_hit_and_have_no_name(spark):
     assert found == {1: (12, []), 2: (24, [5]), 3: (0, []), 4: (12, [5])}
 
 
+@pytest.mark.parametrize("block_words", [1, 30, 4_000_000])
+def test_items_without_id_count_as_in_sql(spark, monkeypatch, block_words):
+    """Also where the items come to the tasks in many blocks."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
+    item, other, short = "a b c d e f g h i j k l", "m n o p q r s t u v w x", "uno dos"
+    texts = [f"zz {item} zz", f"{other} {item}", "zz", other, f"{item[6:]} {other} Uno, dos", f"{item} {item} {short}"]
+    docs = frame(spark, [*enumerate(texts), (None, other)], "doc_id bigint, text string")
+    items = frame(spark, [(None, item), (None, item), (None, short), (5, other), (6, other), (5, item), (7, "f g h i j k l m n o p")], "item_id bigint, text string")
+    names = F.array_join(F.sort_array(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    found = decontaminate.contaminated(docs, items).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+    judged(spark, "op6_decontaminate", found, documents=docs, benchmark=items)
+
+
+def test_items_stay_out_of_the_rows_of_documents(spark):
+    """Documents that share one passage with many items do not carry the items' words."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    docs = frame(spark, [(i, f"{passage} d{i}") for i in range(60)], "doc_id bigint, text string")
+    items = frame(spark, [(i, f"i{i} {passage} " + " ".join(f"t{i}x{k}" for k in range(500))) for i in range(60)], "item_id bigint, text string")
+    found = decontaminate.contaminated(docs, items)
+    assert {(r.n_hit, r.n_items) for r in found.collect()} == {(12, 60)}
+
+
+# --- sketches -------------------------------------------------------------------
+
+
+def test_sketches_keep_all_keys_and_few_others(spark):
+    keys = spark.range(0, 30_000, 7)
+    told = native.hinted(spark.range(30_000), native.key_sketch(keys, F.xxhash64("id")), F.xxhash64("id"), "hint")
+    held = {r.id for r in told.filter("hint").collect()}
+    assert held >= set(range(0, 30_000, 7)) and len(held) < 4_286 * 1.02 and told.count() == 30_000
+    none = native.key_sketch(keys.limit(0), F.xxhash64("id"))
+    assert native.may_hold(spark.range(5), none, F.xxhash64("id")).count() == 0
+
+
+def test_rows_that_may_go_are_joined_alone(spark):
+    rows = spark.range(1_000).select(F.when(F.col("id") != 3, F.col("id")).alias("k"), F.lit("long text").alias("text"))
+    gone = spark.range(0, 1_000, 2).withColumnRenamed("id", "g")
+    left = native.without(rows, gone, F.col("k") == F.col("g"), F.xxhash64("k"), F.xxhash64("g"))
+    assert sorted(r.k or 3 for r in left.collect()) == list(range(1, 1_000, 2))
+
+
 URLS = [None, "", "no scheme", "HTTP://WWW.Example.COM/en/x?y#z", "http://example.com/en", "https://a.b.example.com/en/", "http://example.net/fr/1", "http://net/es/", "http://xnet/es/",
         "http://com", "http://com/", "http://com.", "http://.com/", "http://a..com/", "http://com:80/", "http://é.com/é", "x://y://com/", "http://example.com\n/en/", "http:///en/", "http://WWW.example.com/EN/"]
 
@@ -117,6 +161,27 @@ def test_urls_of_odd_rows_in_many_ranges(spark, monkeypatch, rows_per_range):
     assert {r.verdict for r in urls.judge(pages, rules.limit(0)).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize("rows_per_range", [1, 8_000])
+def test_the_longest_rule_wins_over_the_innermost_host(spark, monkeypatch, rows_per_range):
+    monkeypatch.setattr(urls, "ROWS_PER_RANGE", rows_per_range)
+    rules = [("com", "/long/path/", "block"), ("a.com", "/", "allow"), ("b.a.com", "/long", "block"), ("a.com", "/long/p", "allow"), ("com", "/", "allow")]
+    asked = [f"http://{host}com{path}" for host in ("", "a.", "b.a.", "x.b.a.", "z.") for path in ("", "/", "/long/path/x", "/long/p", "/longer")]
+    pages = frame(spark, list(enumerate(asked)), "page_id bigint, url string")
+    found = {r.page_id: (r.rule, r.verdict) for r in urls.judge(pages, frame(spark, rules, "host string, path string, verdict string")).collect()}
+    for i, url in enumerate(asked):
+        host, _, path = url.removeprefix("http://").partition("/")
+        path = "/" + path if _ else ""
+        fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert found[i] == (max(fits)[1:] if fits else (None, "allow")), url
+
+
+def test_ranges_follow_the_rows_and_then_their_root(spark, monkeypatch):
+    monkeypatch.setattr(urls, "ROWS_PER_RANGE", 10)
+    monkeypatch.setattr(urls, "LINEAR_RANGES", 20)
+    asked = spark.range(5_000).selectExpr("CAST(id AS STRING) AS key", "'' AS path", "id AS salt")
+    assert len(urls._bounds(asked.limit(150))) == 14 and 80 <= len(urls._bounds(asked)) <= 99
+
+
 def test_chats_of_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, 1, "assistant", "a\\b<s>[INST]\\<|end|>"), (1, 1, "assistant", "tie"), (1, 1, "assistant", "tie"), (2, None, None, None), (None, 0, "assistant", "no id"), (3, 0, "<|end|>", "語 é"), (4, 0, "assistant", "\\\\<\\s>" * 50)]
     table = frame(spark, [(*r, "clash") for r in rows], "conv_id bigint, turn bigint, role string, text string, body string")
@@ -274,6 +339,43 @@ def test_mix_of_odd_rows(spark, shard_tokens):
     assert {r.taken for r in mixing.mix(docs.limit(3)).collect()} == {0}
 
 
+@pytest.mark.parametrize("shard_tokens", [700, 500_000])
+def test_what_is_taken_equals_a_plain_walk(spark, shard_tokens):
+    """Documents of a shard in seeded order, as many words as its quota, round again."""
+    docs = docs_of(spark, [f"w{i} " * (i * 7 % 90) for i in range(300)] + [None, "", "end"])
+    rows = mixing.mix(docs, shard_tokens=shard_tokens).collect()
+    words = sum(r.size for r in rows)
+    n_shards = max(1, -(-words // shard_tokens))
+    cells, goal = {}, {}
+    for r in rows:
+        cells.setdefault((r.source, (r.draw >> 20) % n_shards), []).append(r)
+        goal[r.source] = r.target
+
+    def seats(votes, n):
+        """Sainte-Laguë, one seat after another."""
+        won, order = dict.fromkeys(votes, 0), sorted(votes, key=lambda k: (k is None, k or ""))
+        for _ in range(n if any(votes.values()) else 0):
+            top = max(order, key=lambda k: (votes[k] / (2 * won[k] + 1), -order.index(k)))
+            won[top] += 1
+        return won
+
+    blocks = seats(goal, int(sum(goal.values()) / 16 + 0.5))
+    for source, own_blocks in blocks.items():
+        sizes = {k[1]: sum(r.size for r in own) for k, own in cells.items() if k[0] == source}
+        quotas = {str(k).zfill(9): v for k, v in sizes.items()}
+        won = seats(quotas, own_blocks)
+        for shard, total in sizes.items():
+            left = min(16 * won[str(shard).zfill(9)], 2 * total)
+            own = sorted(cells[source, shard], key=lambda r: (r.draw, r.doc_id, r.size))
+            taken = Counter()
+            while left and total:
+                for at, r in enumerate(own):
+                    step = min(left, r.size)
+                    taken[at] += step
+                    left -= step
+            assert [r.taken for r in own] == [taken[at] for at in range(len(own))]
+
+
 # --- language and toxicity ------------------------------------------------------
 
 
@@ -291,6 +393,30 @@ def test_profiles_equal_plain_counting(spark):
     assert {k: v.tolist() for k, v in found.items()} == {"en": plain(["The cat. THE cat", "a cat"]), "de": plain(["Die Katze"])}
 
 
+def test_choices_equal_those_of_plain_distances(spark):
+    """Out-of-place distances, rank by rank, on whole texts of a table."""
+    rows = [r for r in spark.read.parquet(f"{SMALL_DIR}/documents.parquet").select("doc_id", "lang", "text").collect()]
+    docs = frame(spark, [tuple(r) for r in rows], "doc_id bigint, lang string, text string")
+    size = 60
+    profiles = langid.learn(docs.filter("doc_id % 3 = 0"), size)
+    found = {r.doc_id: r for r in langid.identify(docs.select("doc_id", "text"), profiles, size).collect()}
+    for row in rows:
+        counts = Counter()
+        for word in re.findall(r"[^\W\d_]+", row.text.lower()):
+            line = f"\x01{word}\x01"
+            counts.update(sum(ord(c) << 21 * i for i, c in enumerate(line[k : k + n])) for n in (1, 2, 3) for k in range(len(line) - n + 1) if line[k : k + n] != "\x01")
+        own = [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]]
+        if not own:
+            assert found[row.doc_id].lang_pred == "und"
+            continue
+        away = {}
+        for lang, profile in profiles.items():
+            place = {g: i for i, g in enumerate(profile.tolist())}
+            away[lang] = sum(abs(place[g] - i) if g in place else size for i, g in enumerate(own))
+        best = min(sorted(away), key=away.get)
+        assert (found[row.doc_id].lang_pred, found[row.doc_id].score) == (best, pytest.approx(1 - away[best] / (size * len(own))))
+
+
 def test_language_of_odd_rows(spark, monkeypatch):
     docs = docs_of(spark)
     profiles = {"a": langid.ranked(*langid.counted("one same text here")), "b": langid.ranked(*langid.counted("語 é"))}

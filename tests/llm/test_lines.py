@@ -112,3 +112,21 @@ def test_query_drops_short_copies_of_a_whole_table(spark):
     expected = without_short_copies([(r.doc_id, r.text) for r in docs.collect()])
     found = {r.doc_id: r.text for r in queries.op3_line_dedup(spark, SMALL_DIR).collect()}
     assert found == expected and found != brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_only_texts_that_may_lose_lines_are_joined(spark, monkeypatch):
+    """One form at every size: no list is broadcast for its length, and texts that a sketch
+    of fixed size rules out stay where they are."""
+    base = "a b c d e f g h i j"
+    docs = spark.createDataFrame([(i, f"{base} {i}\nown line of {i} with some more words {i}\n{base} same") for i in range(50)], "doc_id bigint, text string")
+    done = lines.dedup_lines(docs, short_copies=True)
+    optimized = done._jdf.queryExecution().optimizedPlan().toString()
+    # the sketch is the only thing that is broadcast by a hint
+    assert optimized.count("strategy=broadcast") == 2 and "Union" in optimized
+    expected = {r.doc_id: r.text for r in done.collect()}
+    assert expected == without_short_copies([(r.doc_id, r.text) for r in docs.collect()])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r.doc_id: r.text for r in lines.dedup_lines(docs, short_copies=True).collect()} == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline as pipeline
 from auditlake.llm.oracles import ORACLES
 from conftest import SMALL_DIR
-from test_lines import brute as brute_lines
+from test_lines import without_short_copies
 from test_minhash import brute as brute_groups
 
 SHAPE = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -48,7 +48,7 @@ def test_quality(stages):
 
 def test_lines(stages):
     before, after = stages["line dedup"]
-    expected = brute_lines(list(zip(before.doc_id, before.text, strict=True)))
+    expected = without_short_copies(list(zip(before.doc_id, before.text, strict=True)))
     texts = dict(zip(before.doc_id, before.text, strict=True))
     kept = {i: t for i, t in expected.items() if t == texts[i] or t.strip()}
     assert dict(zip(after.doc_id, after.text, strict=True)) == kept and kept != texts
