@@ -17,21 +17,11 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from auditlake.llm import decontaminate, lines, minhash, mixing, quality  # noqa: E402
-from auditlake.llm.native import listed, read_table, table  # noqa: E402
+from auditlake.llm.native import read_table, table, without  # noqa: E402
 
 SHINGLE, PERCENT = 5, 80
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Documents that are not among the ``(doc_id, body)`` of ``gone``; body hashes a text.
-
-    The list is counted, so it is broadcast when it is short and joined by key otherwise.
-    """
-    gone = table(gone.select(F.col("doc_id").alias("_gone_id"), F.col("body").alias("_gone_body")).distinct(), "gone")
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_gone_body"))
-    return docs.join(listed(gone, gone.count()), same, "left_anti")
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break no quality rule."""
     return quality.judge(docs).filter("kept").select(*docs.columns)
@@ -39,7 +29,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier one has; documents left with none go."""
-    shorter = lines.dedup_lines(docs)
+    shorter = lines.dedup_lines(docs, short_copies=True)
     changed = F.col("n_dropped") > 0
     rest = shorter.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     n_chars = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
@@ -50,13 +40,16 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     """The document with the least id of each group."""
     found = minhash.near_duplicates(docs, SHINGLE, PERCENT)
     gone = table(found.filter("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct(), "copies")
-    return docs.join(listed(gone, gone.count()), F.col("doc_id") == F.col("_gone_id"), "left_anti")
+    return without(docs, gone, F.col("doc_id") == F.col("_gone_id"), F.xxhash64("doc_id"), F.xxhash64("_gone_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with the benchmark."""
     found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.filter("n_hit > 0"))
+    gone = found.filter("n_hit > 0").select(F.col("doc_id").alias("_gone_id"), F.col("body").alias("_gone_body")).distinct()
+    body = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (body == F.col("_gone_body"))
+    return without(docs, table(gone, "gone"), same, F.xxhash64("doc_id", body), F.xxhash64("_gone_id", "_gone_body"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
