@@ -59,6 +59,7 @@ class Network:
     out: np.ndarray
     bias: np.ndarray
     shift: float = 0.0
+    seed: int = SEED
     sums: dict = field(default_factory=dict)
 
     @classmethod
@@ -70,8 +71,22 @@ class Network:
             {w: np.zeros(FILTERS, np.float32) for w in WIDTHS},
             (draw.standard_normal(len(WIDTHS) * FILTERS) * 0.1).astype(np.float32),
             np.zeros(1, np.float32),
+            seed=seed,
         )
 
+    def pack(self) -> bytes:
+        """Without the embedding rows that are as the seed made them."""
+        moved = np.flatnonzero((self.embedding != Network.fresh(self.seed).embedding).any(1))
+        rest = (self.filters, self.offsets, self.out, self.bias, self.shift, self.seed)
+        return pickle.dumps((moved.astype(np.int32), self.embedding[moved], *rest))
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Network:
+        moved, rows, filters, offsets, out, bias, shift, seed = pickle.loads(data)
+        embedding = cls.fresh(seed).embedding
+        embedding[moved] = rows
+        return cls(embedding, filters, offsets, out, bias, shift, seed)
+
     def vectors(self, buckets: np.ndarray) -> np.ndarray:
         return self.embedding[buckets].mean(axis=1)
 
@@ -188,23 +203,27 @@ def score_of(nets: Sequence[Network], buckets: np.ndarray, ends: np.ndarray) ->
     return 1 / (1 + np.exp(-odds / len(nets)))
 
 
-def score(docs: DataFrame, net: Sequence[Network] | float) -> DataFrame:
-    """``docs`` with ``score`` in place of the text; ``net`` may be a constant score."""
+def score(docs: DataFrame, net: Sequence[bytes] | float) -> DataFrame:
+    """``docs`` with ``score`` in place of the text; ``net`` holds packed networks, or is a
+    constant score."""
     if isinstance(net, float):
         return docs.drop("text").withColumn("score", F.lit(net))
     return _scored(docs.withColumn("_net", F.lit(0)), [net]).drop("_net")
 
 
-def _scored(docs: DataFrame, nets: Sequence[Sequence[Network]]) -> DataFrame:
-    """``docs`` with ``score`` in place of the text, by the networks that ``_net`` names."""
+def _scored(docs: DataFrame, nets: Sequence[Sequence[bytes]]) -> DataFrame:
+    """``docs`` with ``score`` in place of the text, by the packed networks ``_net`` names."""
     rest = [f for f in docs.schema.fields if f.name != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(list(nets))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models: dict[int, list[Network]] = {}
         for whole in batches:
             picked = whole.column("_net").to_numpy()
             for number in np.unique(picked):
-                model, batch = shared.value[number], whole.filter(pa.array(picked == number))
+                if number not in models:
+                    models[number] = [Network.unpack(data) for data in shared.value[number]]
+                model, batch = models[number], whole.filter(pa.array(picked == number))
                 scores = []
                 for _, _, data, offsets in text_slices(batch, "text"):
                     scores.append(score_of(model, *word_buckets(data, offsets)))
@@ -218,10 +237,10 @@ def _scored(docs: DataFrame, nets: Sequence[Sequence[Network]]) -> DataFrame:
 
 @dataclass
 class Trained:
-    """Networks, or the constant that stands in for them; thresholds by language, and the
-    one of the languages that have none."""
+    """Packed networks, or the constant that stands in for them; thresholds by language, and
+    the one of the languages that have none."""
 
-    net: list[Network] | float
+    net: list[bytes] | float
     thresholds: dict[str, float]
     texts: int
     common: float = 0.5
@@ -243,8 +262,11 @@ class _Sample:
         return len(set(self.labels[self.without(fold)])) == 2
 
 
-def _fitted(spark: SparkSession, sample: _Sample, wanted: Sequence[tuple[int | None, int]], shift: float) -> list[Network]:
-    """A network for each ``(fold to leave out, seed)``, each fitted in a task of its own."""
+def _fitted(spark: SparkSession, sample: _Sample, wanted: Sequence[tuple[int | None, int]], shift: float) -> list[bytes]:
+    """A packed network for each ``(fold to leave out, seed)``, each fitted in a task of its own.
+
+    They are a table first and come to the driver one after another.
+    """
     shared = spark.sparkContext.broadcast((sample, list(wanted)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,14 +276,13 @@ def _fitted(spark: SparkSession, sample: _Sample, wanted: Sequence[tuple[int | N
                 fold, seed = jobs[job]
                 at = own.without(fold)
                 net = fit([own.texts[i] for i in at], own.vocabulary, own.labels[at], seed=seed)
-                yield pa.RecordBatch.from_arrays([pa.array([job]), pa.array([pickle.dumps(net)])], ["job", "net"])
+                net.shift = shift
+                yield pa.RecordBatch.from_arrays([pa.array([job]), pa.array([net.pack()])], ["job", "net"])
 
     jobs = spark.range(len(wanted), numPartitions=len(wanted)).withColumnRenamed("id", "job")
-    rows = sorted(jobs.mapInArrow(work, "job bigint, net binary").collect(), key=lambda r: r.job)
-    nets = [pickle.loads(bytes(r.net)) for r in rows]
-    for net in nets:
-        net.shift = shift
-    return nets
+    nets = table(jobs.mapInArrow(work, "job bigint, net binary"), "networks")
+    shared.unpersist()
+    return [bytes(nets.filter(F.col("job") == k).first().net) for k in range(len(wanted))]
 
 
 def _sample(chosen: DataFrame, most_words: int) -> _Sample:
