@@ -379,4 +379,55 @@ WHERE hour <= (SELECT coalesce(min(hour) FILTER (n >= 12000), max(hour)) FROM (
        THEN '2024-01-30T11:00:00.000Z' ELSE saved END AS position
 FROM (SELECT user_id, CASE WHEN user_id % 11 <> 0 THEN strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') END AS saved,
         date_trunc('milliseconds', max(ts)) AS created_at FROM events GROUP BY user_id)""",
+    # open bodies
+    "prune_open": """SELECT event_id AS id, '{"a":{"at":"' || day || '","deep":' || CASE WHEN event_type = 'click' THEN '{}' ELSE '{"at":"' || event_type || '"}' END
+  || CASE WHEN event_type = 'click' THEN '' ELSE ',"kind":"' || event_type || '"' END
+  || ',"list":[' || CASE WHEN event_type = 'click' THEN '' ELSE '"' || event_type || '",' END || '{"size":' || user_id || '},[1.5]]},"data":{"time":"' || day
+  || '"},"empty":{},"id":' || event_id || CASE WHEN event_type = 'click' THEN '' ELSE ',"kind":"' || event_type || '"' END
+  || ',"n":null,"ok":true,"time":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || '"}' AS body
+FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events)""",
+    "epoch_open": """SELECT event_id AS id, CAST(epoch_us(date_trunc('milliseconds', ts)) // 1000000 AS BIGINT) AS time,
+  CAST(epoch_us(date_trunc('day', ts)) // 1000000 AS BIGINT) AS a_at, event_type AS deep_at, strftime(ts, '%Y-%m-%d') AS data_time,
+  '["' || event_type || '","click",{"click":2,"size":' || user_id || '},["click",1.5]]' AS list, 'BIGINT' AS time_kind
+FROM events""",
+    "schema_paths": """WITH e AS (SELECT event_type AS class_name, * FROM events),
+total AS (SELECT class_name, count(*) AS n_all FROM e GROUP BY class_name),
+found AS (
+  SELECT class_name, path, type, count(*) AS n FROM (
+    SELECT class_name, unnest([
+      {'path': '', 'type': 'OBJECT'}, {'path': 'type', 'type': 'STRING'},
+      {'path': 'size', 'type': CASE WHEN event_id % 3 = 0 THEN 'STRING' ELSE 'BIGINT' END},
+      {'path': CASE WHEN event_id % 4 < 2 THEN 'note' END, 'type': CASE WHEN event_id % 4 = 0 THEN 'VOID' ELSE 'STRING' END},
+      {'path': 'tags', 'type': 'ARRAY'}, {'path': 'tags[]', 'type': 'STRING'}, {'path': 'tags[]', 'type': 'ARRAY'},
+      {'path': 'tags[][]', 'type': 'STRING'}, {'path': 'tags[][]', 'type': 'BIGINT'},
+      {'path': 'by_user', 'type': 'OBJECT'}, {'path': 'by_user.*', 'type': 'OBJECT'}, {'path': 'by_user.*.seen', 'type': 'BOOLEAN'},
+      {'path': '[''a.b'']', 'type': 'OBJECT'}], recursive := true) FROM e)
+  WHERE path IS NOT NULL GROUP BY ALL
+)
+SELECT class_name, path, type, CAST(n AS BIGINT) AS n, CAST(CASE WHEN is_key THEN n_all END AS BIGINT) AS n_objects,
+  CASE WHEN is_key THEN sum(n) OVER (PARTITION BY class_name, path) < n_all END AS optional,
+  count(*) FILTER (type <> 'VOID') OVER (PARTITION BY class_name, path) > 1 AS conflict
+FROM (SELECT *, path <> '' AND NOT ends_with(path, '[]') AND NOT ends_with(path, '*') AS is_key FROM found) JOIN total USING (class_name)""",
+    # catalog, hooks, history
+    "catalog_lake": _LANDED,
+    "hooked_transform": _with(_AUDIT, _CLASSES, _TERMS)
+    + """SELECT a.id, c.class_name, actor_name[1:5] || repeat('*', length(actor_name) - 5) AS who,
+  CAST(length(operation) * 10 AS INTEGER) AS load, coalesce(t.caption, 'Other') AS label
+FROM audit a JOIN classes c ON c.type = a.type LEFT JOIN terms t ON t.type = a.type AND t.term = a.operation""",
+    "run_history": _with(_AUDIT, _CLASSES, _TERMS, f"ready AS (SELECT * FROM audit WHERE {_SETTLED} AND type IN {_MAPPED})")
+    + """SELECT source, type, hit, CAST(count(*) AS BIGINT) AS n_events, CAST(count(DISTINCT term) AS BIGINT) AS n_terms,
+  CAST(3 AS BIGINT) AS n_runs, CAST(any_value(n_written) AS BIGINT) AS n_written
+FROM (
+  SELECT u.*, t.term IS NOT NULL AS hit
+  FROM (SELECT 'operation' AS source, type, operation AS term FROM ready UNION ALL SELECT 'status', type, status FROM ready) u
+  LEFT JOIN terms t ON t.type = u.type AND t.term = u.term
+), (SELECT count(*) AS n_written FROM ready) GROUP BY source, type, hit""",
+    "compacted_lake": _ALL
+    + """SELECT class_name, day AS "eventDay", CAST(count(*) AS BIGINT) AS n_events,
+  CAST(CASE WHEN max(day) < '20240125' THEN 1 ELSE count(DISTINCT CAST(id AS BIGINT) % 3) END AS BIGINT) AS n_leaves
+FROM (SELECT class_name, id, substr(created, 1, 4) || substr(created, 6, 2) || substr(created, 9, 2) AS day FROM records) GROUP BY class_name, day""",
+    "replay_dedup": _AC
+    + """SELECT CASE WHEN event_id % 50 <> 0 THEN a.id END AS id, class_name, created
+FROM audit a JOIN classes c ON c.type = a.type,
+  range(CASE WHEN event_id % 50 = 0 AND event_id % 4 < 3 AND user_id % 3 = 0 THEN 2 ELSE 1 END)""",
 }

@@ -15,19 +15,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlake import fixtures as fx
-from auditlake.functions import nested, temporal, text
+from auditlake.functions import nested, open_bodies, temporal, text
 from auditlake.operators import filters, lookups, metrics, paging
 from auditlake.plans.compiler import compile_mapping
 from auditlake.plans.conditions import condition_column
+from auditlake.plans.hooks import sql_functions
 from auditlake.plans.mapping import EventMapping, load_mapping
-from auditlake.sources import lake, raw as raw_source
+from auditlake.sources import discovery, lake, raw as raw_source
 from auditlake.sources.local import local_frame, small
 from auditlake.sources.lookups import enums_frame, rules_frame, terms_frame, types_frame, with_defaults
 from auditlake.sources.terms import ENUMS, TERMS
 from auditlake.sources.workspace import fresh_folder
-from auditlake.streaming.ingest import ingest_stream
+from auditlake.streaming.history import RunHistory
+from auditlake.streaming.ingest import ingest_stream, without_replays
 from auditlake.streaming.ledger import FILE_COLUMN, FileLedger, RawFiles, ingest_files
-from auditlake.streaming.loading import LoadJob, LoadResult, load_batch, load_tables, write_classes
+from auditlake.streaming.loading import LoadJob, LoadResult, compact_days, load_batch, load_tables, write_classes
 from auditlake.streaming.position import Position, PositionStore, run_once
 from auditlake.streaming.position import clamp_checkpoint as clamp_saved
 
@@ -945,3 +947,135 @@ def clamp_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = events.groupBy("user_id").agg(F.max("ts").alias("ts"))
     saved = F.when(F.col("user_id") % 11 != 0, F.date_format("ts", temporal.ISO_PATTERN))
     return clamp_saved(last.select("user_id", saved.alias("saved")), "saved", CLAMP_NOW)
+
+
+# --- open bodies ----------------------------------------------------------------
+
+OPEN_BODY = """concat('{"id": ', event_id, ', "kind": "', event_type, '", "click": {"gone": true}, "time": "',
+  date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), '", "n": null, "ok": true, "a": {"click": 1, "kind": "', event_type,
+  '", "list": ["', event_type, '", "click", {"click": 2, "size": ', user_id, '}, ["click", 1.5]], "at": "',
+  date_format(ts, 'yyyy-MM-dd'), '", "deep": {"at": "', event_type, '"}}, "data": {"time": "', date_format(ts, 'yyyy-MM-dd'), '"}, "empty": {}}')"""
+
+
+@query
+def prune_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key and a text removed everywhere from bodies of open shape."""
+    bodies = events_of(spark, sf_dir).selectExpr("event_id AS id", f"parse_json({OPEN_BODY}) AS body")
+    return bodies.select("id", F.to_json(open_bodies.prune_open("body", "click")).alias("body"))
+
+
+@query
+def epoch_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bodies = events_of(spark, sf_dir).selectExpr("event_id AS id", f"parse_json({OPEN_BODY}) AS body")
+    paths = [("time",), ("a", "at"), ("a", "deep", "at"), ("a", "list", "size"), ("data", "time"), ("missing",)]
+    done = bodies.select("id", open_bodies.epoch_open("body", paths).alias("body"))
+    get = lambda path, kind: F.try_variant_get("body", path, kind)
+    return done.select(
+        "id",
+        get("$.time", "bigint").alias("time"),
+        get("$.a.at", "bigint").alias("a_at"),
+        get("$.a.deep.at", "string").alias("deep_at"),
+        get("$.data.time", "string").alias("data_time"),
+        F.to_json(get("$.a.list", "variant")).alias("list"),
+        F.schema_of_variant(get("$.time", "variant")).alias("time_kind"),
+    )
+
+
+# bodies whose size is a number or text, whose note may be missing, with lists of lists and
+# keys that are ids
+PATHS_BODY = """concat('{"type": "', event_type, '", "size": ', CASE WHEN event_id % 3 = 0 THEN '"large"' ELSE CAST(event_id AS STRING) END,
+  CASE WHEN event_id % 4 = 0 THEN ', "note": null' WHEN event_id % 4 = 1 THEN ', "note": "n"' ELSE '' END,
+  ', "tags": ["a", ["b", ', user_id, ']], "by_user": {"', user_id, '": {"seen": true}}, "a.b": {}}')"""
+
+
+@query
+def schema_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths and kinds of open bodies, of two halves of the events and then merged."""
+    events = events_of(spark, sf_dir)
+    bodies = events.selectExpr("event_id", "event_type AS class_name", f"parse_json({PATHS_BODY}) AS body")
+    halves = [discovery.discover_paths(bodies.filter(half)) for half in ("event_id % 2 = 0", "event_id % 2 = 1")]
+    return discovery.with_shares(discovery.merge_paths(*halves))
+
+
+# --- catalog, hooks, history ----------------------------------------------------
+
+
+@query
+def catalog_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class tables by name, after two loads that kept them up to date."""
+    raw = raw_of(spark, sf_dir)
+    database = f"auditlake_lake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{fresh_folder(spark, 'lake-catalog')}'")
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "named-lake"), fx.TENANT, database=database)
+    for batch_id, half in enumerate(("created < '2024-01-20'", "created >= '2024-01-20'")):
+        load_batch(raw.filter(half), job, batch_id)
+    parts = []
+    for class_name in job.mapping.classes():
+        if spark.catalog.tableExists(f"{database}.{class_name}"):
+            named = raw_source.scan_table(spark, database, class_name).withColumn("class_name", F.lit(class_name))
+            parts.append(flat(named, *lake.PARTITION_KEYS))
+    return paging.append_pages(*parts)
+
+
+@query
+def hooked_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transforms of the mapping document that are SQL functions of the session."""
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION auditlake_masked(name STRING) RETURNS STRING RETURN concat(left(name, 5), repeat('*', length(name) - 5))")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION auditlake_weight(word STRING) RETURNS INT RETURN length(word) * 10")
+    rules = {
+        "actor,name": [{"target_field": "who", "transform": "masked"}],
+        "operation": [{"target_field": "load", "transform": "weight"}, {"target_field": "label", "transform": "normalize"}],
+    }
+    hooks = sql_functions(spark, {"masked": "auditlake_masked", "weight": "auditlake_weight"})
+    raw = raw_of(spark, sf_dir)
+    job = LoadJob(mapping_of(rules), fresh_folder(spark, "hooked"), fx.TENANT, hooks=hooks)
+    load_batch(raw, job, 0)
+    record = job.compiled(raw).transform(raw).schema
+    found = lake.read_lake(spark, job.shared_location(), record, ("class_name", *lake.PARTITION_KEYS))
+    return found.select("data.id", "class_name", "who", "load", "label")
+
+
+@query
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms that hit or miss, added up from what three runs kept of themselves."""
+    folder = fresh_folder(spark, "history")
+    job = LoadJob(fx.demo_mapping(), f"{folder}/lake", fx.TENANT)
+    history, files = RunHistory(spark, f"{folder}/history"), event_files(f"{sf_dir}/events.parquet")
+    for now in (fx.CHECKPOINT, SAFETY_NOW, fx.NOW):
+        ingest_files(files, job, FileLedger(spark, f"{folder}/ledger"), now, history=history)
+    n_runs = history.runs().agg(F.count("*").alias("n_runs"), F.sum("transformed").alias("n_written"))
+    return history.coverage().crossJoin(F.broadcast(n_runs))
+
+
+@query
+def compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake of three batches whose closed days are merged, and an old batch that comes again."""
+    raw = raw_of(spark, sf_dir)
+    job = LoadJob(fx.demo_mapping(), fresh_folder(spark, "compacted"), fx.TENANT)
+    for batch_id in range(3):
+        load_batch(raw.filter(F.pmod(F.col("id").cast("bigint"), F.lit(3)) == batch_id), job, batch_id)
+    compact_days(spark, job, before="20240125")
+    load_batch(raw.filter(F.pmod(F.col("id").cast("bigint"), F.lit(3)) == 1), job, 1)
+    leaves = lake.read_lake(spark, job.shared_location(), T.StructType(), ("class_name", "eventDay"), with_path=True)
+    batches = F.count_distinct(F.regexp_extract("path", "batch=([^/]+)", 1)).alias("n_leaves")
+    return leaves.groupBy("class_name", "eventDay").agg(F.count("*").alias("n_events"), batches)
+
+
+@query
+def replay_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that a stream delivers again, in the next file, some without an id.
+
+    Four files are four micro-batches; the stream is stopped after two and started again.
+    """
+    events = events_of(spark, sf_dir)
+    folder = fresh_folder(spark, "delivered")
+    shape = lambda stored: fx.audit_view(stored).withColumn("id", F.when(F.col("id").cast("bigint") % 50 != 0, F.col("id")))
+    job = LoadJob(fx.demo_mapping(), f"{folder}/lake", fx.TENANT)
+    for part in range(4):
+        own = events.filter(F.pmod("event_id", F.lit(4)) == part)
+        again = events.filter((F.pmod("event_id", F.lit(4)) == part - 1) & (F.col("user_id") % 3 == 0))
+        own.unionByName(again).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+        if part % 2:
+            stored = raw_source.stream_events(spark, f"{folder}/raw", schema=EVENTS_SCHEMA, max_files=1)
+            ingest_stream(without_replays(shape(stored)), job, f"{folder}/offsets").awaitTermination()
+    return landed(spark, job, shape(events)).select("id", "class_name", "created")

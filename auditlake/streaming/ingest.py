@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from auditlake.functions.temporal import SAFETY_LAG_MINUTES
 from auditlake.sources.raw import require_utc
 from auditlake.streaming.loading import LoadJob, LoadResult, load_batch
 
+ARRIVED = "_arrived"
+
 
 def ingest_stream(
     events: DataFrame,
@@ -56,12 +59,14 @@ def ingest_stream(
     )
 
 
-def without_replays(
-    events: DataFrame, time: str, key: str = "id", lag_minutes: int = SAFETY_LAG_MINUTES
-) -> DataFrame:
-    """Drop events delivered again within the late-data allowance.
+def without_replays(events: DataFrame, key: str = "id", lag_minutes: int = SAFETY_LAG_MINUTES) -> DataFrame:
+    """Drop events of a stream that are delivered again within the late-data allowance.
 
-    ``time`` must be a TIMESTAMP column. The watermark bounds the state kept; it
-    filters no late event, as file offsets already pick those up.
+    The allowance runs from the arrival of an event, that is the clock of its micro-batch,
+    which Spark keeps with the offsets: so no event ever comes behind the watermark and is
+    lost, a batch that is repeated is the same again, and the ids of one allowance are all
+    that is kept as state. Events without the key are no replays of each other and pass.
     """
-    return events.withWatermark(time, f"{lag_minutes} minutes").dropDuplicatesWithinWatermark([key])
+    known = events.filter(F.col(key).isNotNull()).withColumn(ARRIVED, F.current_timestamp())
+    first = known.withWatermark(ARRIVED, f"{lag_minutes} minutes").dropDuplicatesWithinWatermark([key])
+    return first.drop(ARRIVED).unionByName(events.filter(F.col(key).isNull()))

@@ -29,6 +29,7 @@ from auditlake.operators.filters import DEFAULT_START, format_instant, parse_ins
 from auditlake.operators.paging import bounded_batch
 from auditlake.sources.files import exists
 from auditlake.sources.raw import RAW_EVENT, require_utc
+from auditlake.streaming.history import RunHistory
 from auditlake.streaming.loading import LoadJob, LoadResult, load_batch
 from auditlake.streaming.position import Position, PositionStore
 
@@ -157,12 +158,14 @@ def ingest_files(
     bounded: bool = False,
     start: str = DEFAULT_START,
     lag_minutes: int = SAFETY_LAG_MINUTES,
+    history: RunHistory | None = None,
 ) -> LoadResult | None:
     """One incremental run over the raw files; None when there is nothing to read.
 
     Takes every wanted event that has settled and was not taken before; with ``bounded``
     only about ``limit`` of the oldest of these, whole groups of equal times. Events of a
-    new file without a type or a usable time go to the side table in the same pass.
+    new file without a type or a usable time go to the side table in the same pass. What
+    the run did is added to the ``history`` before it is committed.
     """
     spark = ledger.spark
     require_utc(spark)
@@ -183,6 +186,8 @@ def ingest_files(
         ledger.store.write(plan)
     rows = _rows(files, job, chosen, plan.until, start)
     loaded = load_batch(rows.drop(FILE_COLUMN), job, plan.batch_id, plan.run)
+    if history is not None:
+        history.note(rows.drop(FILE_COLUMN), job, loaded, plan.run)
     ledger.commit(_after(files, job, chosen, plan.until), plan.batch_id)
     ledger.store.write(Position(plan.batch_id, True, plan.until, run=plan.run))
     return loaded

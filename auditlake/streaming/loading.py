@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlake.functions.sqltext import literal
 from auditlake.functions.temporal import event_day, instant
@@ -18,6 +19,7 @@ from auditlake.operators.metrics import observed
 from auditlake.operators.paging import append_pages
 from auditlake.plans.compiler import CompiledMapping, Hook, compile_mapping
 from auditlake.plans.mapping import EventMapping
+from auditlake.sources.catalog import add_leaves, ensure_table, leaves_of, table_name
 from auditlake.sources.files import exists
 from auditlake.sources.lake import (
     BATCH_KEY,
@@ -29,6 +31,7 @@ from auditlake.sources.lake import (
     write_lake_once,
 )
 from auditlake.sources.raw import require_utc, scan_table
+from auditlake.streaming.compaction import SMALL_BYTES, Compacted, already_merged, compact
 
 REJECTED_FOLDER = "rejected"
 
@@ -39,6 +42,7 @@ class LoadJob:
 
     With ``one_scan`` all classes are written in one pass over the raw events, below
     ``class_name=`` folders; without it each goes to its own folder in a pass of its own.
+    With a ``database`` a load keeps a catalog table of each class, named after it.
     """
 
     mapping: EventMapping
@@ -53,6 +57,7 @@ class LoadJob:
     hooks: Mapping[str, Hook] | None = None
     ignore_offset: bool = False
     one_scan: bool = True
+    database: str | None = None
 
     def created_sql(self, record: bool) -> str:
         """Creation time in a raw event, or in the ``data`` of a record."""
@@ -106,8 +111,39 @@ def load_batch(raw: DataFrame, job: LoadJob, batch_id: int, run: str = "run") ->
     or a usable day go to the side table.
     """
     require_utc(raw.sparkSession)
-    if job.one_scan:
-        return load_in_one_scan(raw, job, batch_id, run)
+    loaded = load_in_one_scan(raw, job, batch_id, run) if job.one_scan else _load_by_class(raw, job, batch_id, run)
+    if job.database:
+        name_leaves(raw, job, [c for c, n in loaded.per_class.items() if n], f"{run}-{batch_id}")
+    return loaded
+
+
+def compact_days(spark: SparkSession, job: LoadJob, before: str, small_bytes: int = SMALL_BYTES) -> Compacted:
+    """Merge the small leaves of the days before ``before`` that ``job`` wrote in one scan."""
+    root = job.shared_location()
+    folders = {c: f"{root}/class_name={c}" for c in job.mapping.classes()}
+    done = compact(spark, root, folders, job.tenant, before, small_bytes)
+    if job.database and done.leaves:
+        for class_name in folders:
+            if spark.catalog.tableExists(f"{job.database}.{class_name}"):
+                spark.sql(f"MSCK REPAIR TABLE {table_name(job.database, class_name)} SYNC PARTITIONS")
+    return done
+
+
+def name_leaves(raw: DataFrame, job: LoadJob, classes: Collection[str], batch: str) -> None:
+    """Make the leaves that a batch wrote known to the tables of its classes."""
+    spark = raw.sparkSession
+    shared = job.compiled(raw).transform(raw).schema if job.one_scan else None
+    for class_name in classes:
+        if shared is not None:
+            record = T.StructType([f for f in shared.fields if f.name != "class_name"])
+            path = f"{job.shared_location()}/class_name={class_name}"
+        else:
+            record, path = job.compiled(raw, class_name).transform(raw).schema, job.location(class_name)
+        ensure_table(spark, job.database, class_name, path, record)
+        add_leaves(spark, job.database, class_name, job.tenant, leaves_of(spark, path, job.tenant, batch), batch)
+
+
+def _load_by_class(raw: DataFrame, job: LoadJob, batch_id: int, run: str) -> LoadResult:
     written = write_classes(raw, job, f"{run}-{batch_id}")
     suspects = [c for c, done in written.items() if done.suspect]
     rejected = _write_rejected(rejected_events(raw, job, suspects), job, f"{run}-{batch_id}")
@@ -174,8 +210,12 @@ def load_in_one_scan(raw: DataFrame, job: LoadJob, batch_id: int, run: str = "ru
     records = compiled.transform(read, job.on_bad, unmapped if set_aside else None)
     keyed = with_partition_keys(records, job.tenant, job.created_sql(record=True))
     seen = Observation()
-    keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless"))
-    written = write_lake_once(keyed.filter("eventDay IS NOT NULL"), job.shared_location(), batch=f"{run}-{batch_id}")
+    keyed = keyed.observe(seen, F.count_if(F.col("eventDay").isNull()).alias("dayless")).filter("eventDay IS NOT NULL")
+    # days of this batch that a compaction has merged hold its rows already
+    merged = already_merged(raw.sparkSession, job.shared_location(), job.tenant, f"{run}-{batch_id}")
+    if merged is not None:
+        keyed = keyed.join(F.broadcast(merged), ["class_name", "eventDay"], "left_anti")
+    written = write_lake_once(keyed, job.shared_location(), batch=f"{run}-{batch_id}")
     suspects = [] if (observed(seen) or {}).get("dayless") == 0 else job.mapping.classes()
     read_counts = observed(typed) or {}
     aside = suspects or read_counts.get("untyped") != 0 or (set_aside and (observed(unmapped) or {}).get("bad") != 0)
