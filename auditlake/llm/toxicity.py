@@ -174,14 +174,12 @@ def word_keys(buckets: np.ndarray) -> np.ndarray:
     return (buckets.astype(np.uint64) @ powers).astype(np.int64)
 
 
-def pooled_of(net: Network, buckets: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Largest responses in each of several texts."""
+def pooled_of(net: Network, known: np.ndarray, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Largest responses in each of several texts, given as numbers of known words."""
     out = np.zeros((len(ends) - 1, len(WIDTHS), FILTERS), np.float32)
-    if not len(buckets):
+    if not len(words):
         return out.reshape(len(out), -1)
-    # each distinct word's vector is made once
-    _, first, words = np.unique(word_keys(buckets), return_index=True, return_inverse=True)
-    vectors = net.vectors(buckets[first])
+    vectors = net.vectors(known)
     sizes = np.diff(ends)
     for k, width in enumerate(WIDTHS):
         long = sizes >= width
@@ -199,7 +197,10 @@ def pooled_of(net: Network, buckets: np.ndarray, ends: np.ndarray) -> np.ndarray
 
 def score_of(nets: Sequence[Network], buckets: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Scores of several texts by some networks together."""
-    odds = sum((pooled_of(net, buckets, ends) @ net.out + net.bias + net.shift).astype(np.float64) for net in nets)
+    # each distinct word's vector is made once
+    _, first, words = np.unique(word_keys(buckets), return_index=True, return_inverse=True)
+    known = buckets[first]
+    odds = sum((pooled_of(net, known, words, ends) @ net.out + net.bias + net.shift).astype(np.float64) for net in nets)
     return 1 / (1 + np.exp(-odds / len(nets)))
 
 
