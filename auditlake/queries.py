@@ -1043,8 +1043,8 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     history, files = RunHistory(spark, f"{folder}/history"), event_files(f"{sf_dir}/events.parquet")
     for now in (fx.CHECKPOINT, SAFETY_NOW, fx.NOW):
         ingest_files(files, job, FileLedger(spark, f"{folder}/ledger"), now, history=history)
-    n_runs = history.runs().agg(F.count("*").alias("n_runs"), F.sum("transformed").alias("n_written"))
-    return history.coverage().crossJoin(F.broadcast(n_runs))
+    n_runs, n_written = history.runs().agg(F.count("*"), F.sum("transformed")).first()
+    return history.coverage().withColumns({"n_runs": F.lit(n_runs).cast("bigint"), "n_written": F.lit(n_written).cast("bigint")})
 
 
 @query

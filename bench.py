@@ -56,6 +56,12 @@ def main() -> None:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     n_events = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+    # the same work each round, so that a slower machine can be told from a slower query
+    calibration = []
+    for _ in range(RUNS + 1):
+        start = time.perf_counter()
+        spark.range(100_000_000).selectExpr("sum(xxhash64(id))").collect()
+        calibration.append(time.perf_counter() - start)
     seconds = {}
     for name in HEADLINE:
         times = []
@@ -74,6 +80,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "events": n_events,
+                "calibration": round(min(calibration[1:] or calibration), 3),
                 "events_per_sec": {name: round(n_events / seconds[name]) for name in PER_SECOND},
                 "conf": {"master": f"local[{CPUS}]", **conf},
             }
