@@ -42,7 +42,7 @@ from auditlake.llm.native import joined_by_key, table
 
 THRESHOLD = 0.93
 SAMPLE, MOST_LISTS, SUBSPACES, CODES, TURNS = 20_000, 1_024, 8, 64, 8
-BLOCK, SLICE, PAIRS_AT_ONCE = 1_024, 1_024, 100_000
+BLOCK, SLICE, PAIRS_AT_ONCE = 4_096, 1_024, 100_000
 SLACK = 1e-6
 
 
