@@ -408,6 +408,10 @@ SELECT class_name, path, type, CAST(n AS BIGINT) AS n, CAST(CASE WHEN is_key THE
   CASE WHEN is_key THEN sum(n) OVER (PARTITION BY class_name, path) < n_all END AS optional,
   count(*) FILTER (type <> 'VOID') OVER (PARTITION BY class_name, path) > 1 AS conflict
 FROM (SELECT *, path <> '' AND NOT ends_with(path, '[]') AND NOT ends_with(path, '*') AS is_key FROM found) JOIN total USING (class_name)""",
+    "landed_open": _A
+    + """SELECT id, list_contains(tags, 't1') AS has_t1, actor_name FROM audit
+WHERE contains(coalesce(actor_name, 'System'), 'user_1') OR contains(operation, 'E')""",
+    "bucketed_lookup": _with(_AUDIT, _TERMS, _CAPTIONED) + "SELECT id, type, operation, caption, hit FROM captioned",
     # catalog, hooks, history
     "catalog_lake": _LANDED,
     "hooked_transform": _with(_AUDIT, _CLASSES, _TERMS)

@@ -22,8 +22,8 @@ from auditlake.plans.conditions import condition_column
 from auditlake.plans.hooks import sql_functions
 from auditlake.plans.mapping import EventMapping, load_mapping
 from auditlake.sources import discovery, lake, raw as raw_source
-from auditlake.sources.local import local_frame, small
-from auditlake.sources.lookups import enums_frame, rules_frame, terms_frame, types_frame, with_defaults
+from auditlake.sources.local import MAX_BROADCAST_ROWS, local_frame, small
+from auditlake.sources.lookups import enums_frame, rules_frame, store_bucketed, terms_frame, types_frame, with_defaults
 from auditlake.sources.terms import ENUMS, TERMS
 from auditlake.sources.workspace import fresh_folder
 from auditlake.streaming.history import RunHistory
@@ -997,6 +997,36 @@ def schema_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.with_shares(discovery.merge_paths(*halves))
 
 
+@query
+def landed_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions over open bodies that were landed as Parquet."""
+    folder = fresh_folder(spark, "landed")
+    text = fx.audit_view(events_of(spark, sf_dir)).select(F.to_json(F.struct("*")).alias("text"))
+    raw_source.land_open_events(text.select(F.parse_json("text").alias("body")), folder)
+    bodies = raw_source.scan_landed_open(spark, folder)
+    found = bodies.filter(condition_column("user_1 in actor.name", bodies, "body") | condition_column("E in operation", bodies, "body"))
+    opened = nested.VariantBody("body")
+    return found.select(
+        nested.nested_get(opened, ["id"]).alias("id"),
+        condition_column("t1 in attributes.tags", found, "body").alias("has_t1"),
+        nested.nested_get(opened, ["actor", "name"]).alias("actor_name"),
+    )
+
+
+@query
+def bucketed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captions from a stored lookup, joined bucket by bucket as one too large to broadcast."""
+    database = f"auditlake_buckets_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{fresh_folder(spark, 'buckets')}'")
+    keys = ("type", "operation")
+    raw = raw_of(spark, sf_dir).select("id", *keys)
+    stored = store_bucketed(raw, f"{database}.events", keys, 8)
+    terms = terms_frame(spark, TERMS).withColumnRenamed("term", "operation")
+    lookup = store_bucketed(terms, f"{database}.terms", keys, 8).withColumnRenamed("operation", "term")
+    found = lookups.normalize_term(stored, lookup.hint("merge"), "operation", MAX_BROADCAST_ROWS + 1, hit="hit")
+    return found.select("id", "type", "operation", "caption", "hit")
+
+
 # --- catalog, hooks, history ----------------------------------------------------
 
 

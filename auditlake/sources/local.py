@@ -14,6 +14,8 @@ from auditlake.functions.sqltext import ident, literal
 # so their row count is known; a larger one is joined without a hint and AQE
 # splits hot keys.
 MAX_BROADCAST_ROWS = 100_000
+# Rows up to which a frame is written as SQL text.
+MAX_SQL_ROWS = 2_000
 
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
@@ -22,6 +24,9 @@ def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructT
         schema = T.StructType.fromDDL(schema)
     if not rows:
         return spark.createDataFrame([], schema)
+    if len(rows) > MAX_SQL_ROWS:
+        # too long for SQL text; these rows are shipped to the JVM instead
+        return spark.createDataFrame([tuple(r) for r in rows], schema)
     names = schema.fieldNames()
     values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
     frame = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(ident(n) for n in names)})")

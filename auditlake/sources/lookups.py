@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,3 +95,15 @@ def types_frame(spark: SparkSession, mapping: EventMapping) -> DataFrame:
     """``(type, class_name)`` of every mapped type."""
     rows = [(t, rules.class_name) for t, rules in mapping.types.items()]
     return local_frame(spark, rows, "type string, class_name string")
+
+
+def store_bucketed(frame: DataFrame, table: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """A catalog table whose rows lie in buckets by ``keys``, sorted within them.
+
+    Events and a lookup that are stored in the same number of buckets by the keys of the
+    join meet bucket by bucket: neither is shuffled, however large the lookup is. A key with
+    a third of all rows is a third of all rows of one bucket, so this is for lookups too
+    large to broadcast, whose keys are many.
+    """
+    frame.write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").saveAsTable(table)
+    return frame.sparkSession.table(table)

@@ -8,11 +8,13 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from auditlake import fixtures as fx
+from auditlake import fixtures as fx, queries
+from auditlake.plans.conditions import condition_column
 from auditlake.plans.hooks import sql_function, sql_functions
 from auditlake.plans.mapping import MappingError, load_mapping
 from auditlake.sources import raw as raw_source
 from auditlake.sources.catalog import leaves_of
+from auditlake.sources.local import local_frame
 from auditlake.sources.terms import ENUMS, TERMS
 from auditlake.streaming.history import RunHistory
 from auditlake.streaming.ingest import ingest_stream, without_replays
@@ -116,3 +118,25 @@ def test_state_of_replays_is_bounded_by_the_lag(spark, tmp_path):
         # no event is late, however old it says it is
         assert ids.count(None) == 8 and len(set(ids)) == 201 and len(ids) == 208
     assert max(sizes[60]) == 200 and max(sizes[0]) <= 100
+
+
+def test_conditions_read_their_fields_alone(spark, raw, tmp_path):
+    text = raw.select(F.to_json(F.struct("*")).alias("text"))
+    raw_source.land_open_events(text.select(F.parse_json("text").alias("body")), str(tmp_path / "open"))
+    bodies = raw_source.scan_landed_open(spark, str(tmp_path / "open"))
+    tests = [condition_column(c, bodies, "body") for c in ("user_1 in actor.name", "E in operation")]
+    plan = bodies.filter(tests[0] & tests[1]).select(F.lit(1))._jdf.queryExecution().executedPlan().toString()
+    schema = plan.split("ReadSchema: ")[1].splitlines()[0]
+    assert schema.startswith("struct<body:struct<0:variant") and "2:" not in schema, schema
+
+
+def test_events_are_not_shuffled_for_a_stored_lookup(spark):
+    found = queries.bucketed_lookup(spark, SMALL_DIR)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+
+
+def test_long_lookups_are_no_sql_text(spark):
+    rows = [(f"t{i}", f"term '{i}", None if i % 2 else f"c{i}", i) for i in range(5_000)]
+    found = local_frame(spark, rows, "type string, term string, caption string, id int")
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[3]) == rows

@@ -25,7 +25,7 @@ def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
     assert QUERIES.keys() <= entry_points.queries().keys()
     assert ORACLES.items() <= entry_points.oracle_sql().items()
-    assert len(QUERIES) == 78
+    assert len(QUERIES) == 80
 
 
 @pytest.mark.parametrize("name", QUERIES)
