@@ -168,10 +168,6 @@ def compile_mapping(
     types = mapping.types_of(class_name) if class_name else list(mapping.types)
     if not types:
         raise MappingError(f"no event type maps to class {class_name!r}")
-    if hooks is not None:
-        named = {r.transform for t in types for r in mapping.types[t].rules if r.transform and not r.normalizes}
-        if unknown := sorted(named - hooks.keys()):
-            raise MappingError(f"no hook for the transforms {unknown}")
     declared = {tuple(k.split(".")): T.DataType.fromDDL(v) for k, v in (target_types or {}).items()}
     builder = _Builder(mapping, body, dict(hooks or {}), declared)
     per_type = {t: builder.leaves(mapping.types[t]) for t in types}

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from auditlake.functions.sqltext import ident
 from auditlake.plans.compiler import Hook
-from auditlake.plans.mapping import MappingError, Rule, Target
+from auditlake.plans.mapping import EventMapping, MappingError, Rule, Target
 
 
 def sql_function(spark: SparkSession, function: str) -> Hook:
@@ -30,6 +30,14 @@ def sql_function(spark: SparkSession, function: str) -> Hook:
     return hook
 
 
-def sql_functions(spark: SparkSession, functions: Mapping[str, str]) -> dict[str, Hook]:
-    """Hooks by the name of the transform, for SQL functions by their name."""
+def sql_functions(spark: SparkSession, functions: Mapping[str, str], mapping: EventMapping | None = None) -> dict[str, Hook]:
+    """Hooks by the name of the transform, for SQL functions by their name.
+
+    With the ``mapping`` that they are for, a transform of its rules that has none is refused.
+    """
+    if mapping is not None:
+        rules = [r for kind in mapping.types.values() for r in kind.rules]
+        named = {r.transform for r in rules if r.transform and not r.normalizes}
+        if unknown := sorted(named - functions.keys()):
+            raise MappingError(f"no hook for the transforms {unknown}")
     return {transform: sql_function(spark, function) for transform, function in functions.items()}

@@ -1056,9 +1056,10 @@ def hooked_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
         "actor,name": [{"target_field": "who", "transform": "masked"}],
         "operation": [{"target_field": "load", "transform": "weight"}, {"target_field": "label", "transform": "normalize"}],
     }
-    hooks = sql_functions(spark, {"masked": "auditlake_masked", "weight": "auditlake_weight"})
+    mapping = mapping_of(rules)
+    hooks = sql_functions(spark, {"masked": "auditlake_masked", "weight": "auditlake_weight"}, mapping)
     raw = raw_of(spark, sf_dir)
-    job = LoadJob(mapping_of(rules), fresh_folder(spark, "hooked"), fx.TENANT, hooks=hooks)
+    job = LoadJob(mapping, fresh_folder(spark, "hooked"), fx.TENANT, hooks=hooks)
     load_batch(raw, job, 0)
     record = job.compiled(raw).transform(raw).schema
     found = lake.read_lake(spark, job.shared_location(), record, ("class_name", *lake.PARTITION_KEYS))

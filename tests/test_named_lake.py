@@ -81,7 +81,8 @@ def test_hooks_are_inlined_and_unknown_ones_refused(spark, raw):
     with pytest.raises(MappingError, match="there is no SQL function"):
         sql_function(spark, "no_such_function")
     with pytest.raises(MappingError, match="no hook"):
-        LoadJob(hooked("other"), "unused", fx.TENANT, hooks=hooks).compiled(raw)
+        sql_functions(spark, {"upper_name": "named_upper"}, hooked("other"))
+    assert sql_functions(spark, {"upper_name": "named_upper"}, hooked()).keys() == {"upper_name"}
 
 
 def test_history_adds_up_and_repeats_replace(spark, raw, tmp_path):
