@@ -5,10 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from auditlake.sources.files import remove
+
 _FALLBACK: dict[str, str] = {}
+_RUN: ContextVar[str | None] = ContextVar("run folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,4 +32,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A folder nobody has written to yet."""
-    return f"{shared_folder(spark)}/auditlake/{name}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or shared_folder(spark) + '/auditlake'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What operators write for themselves inside the block is removed when it ends.
+
+    Their results read it, so a result has to be stored within the block.
+    """
+    folder = fresh_folder(spark, "run")
+    before = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(before)
+        remove(spark, folder)
