@@ -8,7 +8,7 @@ input that share a name with a result are replaced by it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -71,6 +71,10 @@ def stop_list() -> list[str]:
     return sorted(small | {w.capitalize() for w in small})
 
 
+def window_hash(*words: Column) -> Column:
+    return F.xxhash64(*words)
+
+
 def _covered(positions: Column, width: int) -> Column:
     """Places covered by spans of ``width`` at ascending start positions."""
     gap = F.transform(
@@ -85,7 +89,8 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Windows of three words are sorted by a hash that holds their position in its low
     bits, so equal windows are neighbours and no step is quadratic in the length of a
-    text. Neighbours count as equal only if their words are.
+    text. Neighbours count as equal only if their words are; where words differ under one
+    hash, all windows are asked.
     """
     stop = stop_list()
     has_word = r"[^\x20\x09-\x0D]"
@@ -115,18 +120,26 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     high = F.bitwise_not("_low")
     windows = F.transform(
         F.slice("_words", 1, F.greatest(n - 2, F.lit(0))),
-        lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)).bitwiseAND(high) + i,
+        lambda w, i: window_hash(w, F.get("_words", i + 1), F.get("_words", i + 2)).bitwiseAND(high) + i,
     )
 
+    def near(key: Column, other: Column) -> Column:
+        return key.bitwiseXOR(other).bitwiseAND(high) == 0
+
     def same(key: Column, other: Column) -> Column:
         at, there = key.bitwiseAND(F.col("_low")).cast("int"), other.bitwiseAND(F.col("_low")).cast("int")
-        equal = key.bitwiseXOR(other).bitwiseAND(high) == 0
+        equal = near(key, other)
         for k in range(3):
             equal = equal & (F.get("_words", at + k) == F.get("_words", there + k))
         return equal
 
-    before = lambda w, k: same(w, F.get("_sorted", k - 1))
-    either = lambda w, k: before(w, k) | same(w, F.get("_sorted", k + 1))
+    def found_at(w: Column, place: Column, side: Callable[[Column], Column]) -> Column:
+        """Whether a window equals the one at a place, or another one on that side of it."""
+        other = F.get("_sorted", place)
+        return near(w, other) & (same(w, other) | F.exists("_sorted", lambda o: side(o) & same(w, o)))
+
+    before = lambda w, k: found_at(w, k - 1, lambda o: o < w)
+    either = lambda w, k: before(w, k) | found_at(w, k + 1, lambda o: o > w)
     at = F.sort_array(F.transform(F.filter("_sorted", either), lambda w: w.bitwiseAND(F.col("_low"))))
     found = found.withColumn("_sorted", F.sort_array(windows))
     found = found.withColumn("_repeats", F.size(F.filter("_sorted", before)))

@@ -79,6 +79,16 @@ def test_quality_of_odd_rows(spark):
     assert quality.judge(docs).count() == len(TEXTS)
 
 
+@pytest.mark.parametrize("hashes", [1, 3, 20])
+def test_equal_windows_are_found_among_others_of_one_hash(spark, monkeypatch, hashes):
+    monkeypatch.setattr(quality, "window_hash", lambda *words: F.shiftleft(F.pmod(F.xxhash64(*words), F.lit(hashes)), 40))
+    draw = random.Random(hashes)
+    texts = [" ".join(draw.choices("abcdef", k=draw.randrange(90))) for _ in range(40)] + ["a b c d a b c", "a a a a"]
+    docs = docs_of(spark, texts)
+    found = quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    judged(spark, "op2_quality_rules", found, documents=docs.select("doc_id", "text"))
+
+
 def test_contamination_of_odd_rows(spark):
     item = "A b c d e f g h i j k l"
     short = "uno dos tres"
