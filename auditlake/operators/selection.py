@@ -1,9 +1,11 @@
 """The row at a place of a sort order, found by counting instead of sorting.
 
-Some keys are drawn by a hash and cut the keys into ranges; rows are counted by range, and
+The keys of some rows are drawn and cut the keys into ranges; rows are counted by range, and
 only the range that holds the place is looked at in the next pass. A pass shuffles one count
 per range from each task, so no task holds, sorts or receives the rows in front of the place.
-A key that many rows share is a range of its own, so it ends the search at once.
+A key that many rows share is drawn early and is a range of its own, so it ends the search.
+Rows are drawn and not keys, as the rows of one key would all be drawn together: the passes
+are then as many as the logarithm of the rows to the number drawn, whatever the repeats.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,31 +82,37 @@ def _range_number(columns: Sequence[Column], pivots: Sequence[tuple]) -> Column:
 def nth_key(rows: DataFrame, keys: Sequence[Column], place: int, few: int | None = None) -> Place | None:
     """The key at a place, counted from 0, of rows sorted by their keys; None beyond the end.
 
-    Keys must be numbers or text. Once at most ``few`` rows are left they are a top-n.
+    Keys must be numbers or text. Once at most ``few`` rows are left they are a top-n. The keys
+    are kept on executor disks meanwhile; a lost block is read again.
     """
     names = [f"k{i}" for i in range(len(keys))]
     columns = [F.col(n) for n in names]
     left = rows.select(*[k.alias(n) for k, n in zip(keys, names, strict=True)])
     few, before, n_left = FEW_ROWS if few is None else few, 0, None
-    for turn in range(MAX_PASSES):
-        if n_left is not None and n_left <= few:
-            top = left.orderBy(*names).limit(place - before + 1)
-            found = tuple(top.orderBy(*[F.desc_nulls_last(n) for n in names]).first())
-            return Place(found, before + left.filter(is_before(columns, found)).count())
-        by_hash = left.orderBy(F.xxhash64(F.lit(turn), *columns)).limit(PIVOTS)
-        pivots = sorted({tuple(r) for r in by_hash.collect()}, key=_sorting)
-        counts = left.groupBy(_range_number(columns, pivots).alias("range")).agg(F.count("*").alias("n"))
-        for number, n in sorted(tuple(r) for r in counts.collect()):
-            if before + n > place:
-                break
-            before += n
-        else:
-            return None
-        if number % 2:
-            return Place(pivots[number // 2], before)
-        at, n_left = number // 2, n
-        if at < len(pivots):
-            left = left.filter(is_before(columns, pivots[at]))
-        if at > 0:
-            left = left.filter(~is_before(columns, pivots[at - 1]) & ~_is_key(columns, pivots[at - 1]))
-    raise RuntimeError(f"no place found in {MAX_PASSES} passes")
+    # computing the keys may cost far more than comparing them, and each pass reads them twice
+    kept = left.persist(StorageLevel.DISK_ONLY)
+    try:
+        for turn in range(MAX_PASSES):
+            if n_left is not None and n_left <= few:
+                top = left.orderBy(*names).limit(place - before + 1)
+                found = tuple(top.orderBy(*[F.desc_nulls_last(n) for n in names]).first())
+                return Place(found, before + left.filter(is_before(columns, found)).count())
+            drawn = left.orderBy(F.rand(turn)).limit(PIVOTS)
+            pivots = sorted({tuple(r) for r in drawn.collect()}, key=_sorting)
+            counts = left.groupBy(_range_number(columns, pivots).alias("range")).agg(F.count("*").alias("n"))
+            for number, n in sorted(tuple(r) for r in counts.collect()):
+                if before + n > place:
+                    break
+                before += n
+            else:
+                return None
+            if number % 2:
+                return Place(pivots[number // 2], before)
+            at, n_left = number // 2, n
+            if at < len(pivots):
+                left = left.filter(is_before(columns, pivots[at]))
+            if at > 0:
+                left = left.filter(~is_before(columns, pivots[at - 1]) & ~_is_key(columns, pivots[at - 1]))
+        raise RuntimeError(f"no place found in {MAX_PASSES} passes")
+    finally:
+        kept.unpersist()

@@ -129,3 +129,16 @@ def test_large_bounds_hold_no_rows_in_one_task(spark, monkeypatch):
     # the times below 10 000 are there twice
     assert bounded.rows.count() == 12_000 and bounded.rows.agg(F.max("created")).first()[0].second == 59
     assert paging.bounded_batch(rows, 40_000).rows.count() == 30_000
+
+
+def test_few_passes_where_many_rows_share_a_key(spark, monkeypatch):
+    """The rows of one key used to be drawn together, so that a pass cut at one key only."""
+    rows = spark.range(40_000, numPartitions=4).select((F.col("id") % 700).alias("number"))
+    drawn, real = [], type(rows).limit
+    monkeypatch.setattr(type(rows), "limit", lambda self, n: drawn.append(n) or real(self, n))
+    for place in (5, 12_000, 31_234):
+        drawn.clear()
+        # each key is there 57 or 58 times
+        found = selection.nth_key(rows, [F.col("number")], place, few=0)
+        assert found.before <= place < found.before + 58 and len(drawn) <= 4
+        assert found.before == rows.filter(F.col("number") < found.key[0]).count()
