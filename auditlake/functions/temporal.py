@@ -27,11 +27,11 @@ ISO_8601 = (
 
 
 def instant_sql(text: str) -> str:
-    """Timestamp of ISO-8601 text; NULL for anything else."""
-    return (
-        f"CASE WHEN {text} RLIKE {literal(ISO_8601)} "
-        f"THEN try_to_timestamp({text}) END"
-    )
+    """Timestamp of ISO-8601 text; NULL for anything else.
+
+    The text is mentioned once, as a filter computes each mention of it again.
+    """
+    return f"try_to_timestamp(regexp_extract({text}, {literal(ISO_8601)}, 0))"
 
 
 def epoch_sql(text: str, ignore_offset: bool = False) -> str:

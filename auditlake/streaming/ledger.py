@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,11 +137,22 @@ class _Times:
     def settled(self, after: str | None, until: str, start: str):
         """Wanted events of a file that was taken up to ``after``; of a new one also those
         without a type or a usable time, which no range can pick."""
-        at = lambda text: F.lit(text).cast("timestamp")
         if after is not None:
-            return self.wanted & (self.made > at(after)) & (self.made <= at(until))
-        in_range = self.made.between(at(start), at(until)) & (self.made > at(start))
-        return F.expr(f"{self.type_sql} IS NULL") | (self.wanted & (self.made.isNull() | in_range))
+            return self.wanted & _within(F.unix_micros(self.made), after, until)
+        timeless_or_in_range = _within(F.coalesce(F.unix_micros(self.made), _micros(until)), start, until)
+        return F.expr(f"{self.type_sql} IS NULL") | (self.wanted & timeless_or_in_range)
+
+
+def _micros(text: str) -> Column:
+    return F.unix_micros(F.lit(text).cast("timestamp"))
+
+
+def _within(micros: Column, after: str, until: str) -> Column:
+    """Whether a time is later than ``after`` and not than ``until``, told by its distance from
+    the middle: two comparisons would parse the text of the time twice. An ``until`` before
+    ``after`` gives a negative length, which no distance is below."""
+    first, last = _micros(after) + 1, _micros(until)
+    return F.abs(micros * 2 - (first + last)) <= last - first
 
 
 def _instants(text: str) -> str:

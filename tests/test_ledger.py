@@ -186,3 +186,17 @@ def test_listing_reads_no_content(spark, tmp_path):
     row = listed.first()
     assert row.path.endswith("in/day=1/a.json") and row.size > 0
     assert RawFiles(str(tmp_path / "in"), "json", RAW_EVENT).scan(spark, [row.path]).select(F.col(by_file.FILE_COLUMN)).first()[0] == row.name
+
+
+def test_bounds_of_a_run_read_the_time_once(spark):
+    """A filter computes each mention of a parsed time again."""
+    after, until = "2024-01-05T00:00:00.000000Z", "2024-01-06T00:00:00.000000Z"
+    times = by_file._Times(LoadJob(fx.demo_mapping(), "/nowhere", fx.TENANT), "type")
+    created = ["2024-01-05T00:00:00Z", "2024-01-05T00:00:00.000001Z", until, "2024-01-06T00:00:00.000001Z", "0001-01-01", "9999-12-31", "soon", None]
+    rows = spark.createDataFrame([("AUTH", c) for c in created] + [(None, created[0]), ("UNMAPPED", created[1])], "type string, created string")
+    new, again = times.settled(None, until, after), times.settled(after, until, "")
+    assert str(new).count("created") == str(again).count("created") == 1
+    taken = lambda test: [tuple(r) for r in rows.filter(test).collect()]
+    assert taken(again) == [("AUTH", created[1]), ("AUTH", until)]
+    assert taken(new) == [("AUTH", created[1]), ("AUTH", until), ("AUTH", "soon"), ("AUTH", None), (None, created[0])]
+    assert taken(times.settled(until, after, "")) == []
