@@ -29,8 +29,10 @@ def _items(value: str) -> str:
 
 
 def _is_text(value: str, text: str) -> str:
-    # a number casts to text as well, so the kind is asked for where the text is equal
-    return f"(coalesce(try_variant_get({value}, {_ROOT}, 'string') = {text}, FALSE) AND schema_of_variant({value}) = 'STRING')"
+    # an object or list casts to its whole JSON text, which would be written again at each level
+    # above; a number casts to text as well, so the kind is asked for where the text is equal
+    is_text = f"coalesce(try_variant_get({value}, {_ROOT}, 'string') = {text}, FALSE) AND schema_of_variant({value}) = 'STRING'"
+    return f"({_items(value)} IS NULL AND {_entries(value)} IS NULL AND {is_text})"
 
 
 def _with(name: str, value: str, then: str) -> str:
