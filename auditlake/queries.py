@@ -1094,19 +1094,21 @@ def compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def replay_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that a stream delivers again, in the next file, some without an id.
+    """Events that a stream delivers again, in the next delivery, some without an id.
 
-    Four files are four micro-batches; the stream is stopped after two and started again.
+    Four deliveries, of as many files as tasks wrote them, are four micro-batches; the stream
+    is stopped after two and started again.
     """
     events = events_of(spark, sf_dir)
     folder = fresh_folder(spark, "delivered")
     shape = lambda stored: fx.audit_view(stored).withColumn("id", F.when(F.col("id").cast("bigint") % 50 != 0, F.col("id")))
     job = LoadJob(fx.demo_mapping(), f"{folder}/lake", fx.TENANT)
     for part in range(4):
-        own = events.filter(F.pmod("event_id", F.lit(4)) == part)
-        again = events.filter((F.pmod("event_id", F.lit(4)) == part - 1) & (F.col("user_id") % 3 == 0))
-        own.unionByName(again).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+        own = F.pmod("event_id", F.lit(4)) == part
+        again = (F.pmod("event_id", F.lit(4)) == part - 1) & (F.col("user_id") % 3 == 0)
+        events.filter(own | again).write.mode("append").parquet(f"{folder}/raw")
         if part % 2:
-            stored = raw_source.stream_events(spark, f"{folder}/raw", schema=EVENTS_SCHEMA, max_files=1)
+            n_files = len(spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/raw").inputFiles())
+            stored = raw_source.stream_events(spark, f"{folder}/raw", schema=EVENTS_SCHEMA, max_files=max(1, -(-n_files // (part + 1))))
             ingest_stream(without_replays(shape(stored)), job, f"{folder}/offsets").awaitTermination()
     return landed(spark, job, shape(events)).select("id", "class_name", "created")

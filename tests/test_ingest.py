@@ -334,3 +334,17 @@ def test_other_zones_are_refused(spark, landed, tmp_path, name):
             calls[name]()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_deliveries_are_written_by_all_tasks(spark, tmp_path):
+    """Each delivery used to be one file, so one task wrote it and few read it."""
+    folder = tmp_path / "in" / "events.parquet"
+    events = spark.range(120, numPartitions=3).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-05 10:00:00' AS ts", "id % 10 AS user_id", "'view' AS event_type", "1.0D AS value", "'{\"k\": 2}' AS props"
+    )
+    events.write.parquet(str(folder))
+    found = queries.replay_dedup(spark, str(tmp_path / "in"))
+    # the three events without an id come again and are no replays
+    assert found.count() == 123 and found.filter("id IS NOT NULL").distinct().count() == 117
+    raw = next(f for f in found.inputFiles()).split("/lake/")[0] + "/raw"
+    assert len(spark.read.parquet(raw).inputFiles()) > 4
