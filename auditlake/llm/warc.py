@@ -144,8 +144,12 @@ def records_of(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]
         return piece is not None
 
     while True:
-        while buffer[:2] == b"\r\n":
-            del buffer[:2]
+        # the line ends between two records may come in different pieces
+        while b"\r\n".startswith(bytes(buffer[:2])):
+            if len(buffer) < 2 and not more():
+                break
+            if buffer[:2] == b"\r\n":
+                del buffer[:2]
         searched = 0
         while (at := buffer.find(end, searched)) < 0:
             searched = max(0, len(buffer) - len(end))

@@ -302,6 +302,19 @@ def test_archives_of_nothing_and_of_damage(spark, tmp_path):
             warc.normalise_file(str(tmp_path / f"{n}.gz"), str(tmp_path), "out.gz")
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 38, 1 << 20])
+def test_records_that_pieces_cut_anywhere(tmp_path, monkeypatch, size):
+    blocks = [b"", b"hello", b"\r\n", b"\r\n\r\nWARC/1.1\r\n\r\n", b"last"]
+    records = [b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % len(b) + b for b in blocks]
+    whole = b"".join(r + b"\r\n\r\n" for r in records)
+    for cut in range(len(whole) + 1):
+        assert [r for _, r in warc.records_of(iter([whole[:cut], b"", whole[cut:]]))] == records
+    (tmp_path / "one.gz").write_bytes(gzip.compress(whole))
+    monkeypatch.setattr(warc, "READ_BYTES", size)
+    n, _ = warc.normalise_file(str(tmp_path / "one.gz"), str(tmp_path), "two.gz")
+    assert n == len(records) and gzip.decompress((tmp_path / "two.gz").read_bytes()) == whole
+
+
 # --- mixing ---------------------------------------------------------------------
 
 
